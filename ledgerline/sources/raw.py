@@ -93,26 +93,27 @@ def read_raw(spark: SparkSession, path: str, columns: Sequence[str] | None = Non
     schema = StructType([StructField(c, StringType(), True) for c in columns]
                         + [StructField(CORRUPT_COL, StringType(), True)])
     df = reader.schema(schema).csv(path)
-    if fail_long_rows:
-        _raise_on_long_rows(df, columns)
-    df = df.drop(CORRUPT_COL)
-    if na_strings:
-        df = df.select(*[na_to_null(c, na_strings).alias(c) for c in columns])
+    cols = []
+    for i, c in enumerate(columns):
+        col = na_to_null(c, na_strings) if na_strings else F.col(c)
+        if i == 0 and fail_long_rows:
+            # Single pass: a row longer than the header raises inside the
+            # landing task itself (re-parsed only when Spark flagged it).
+            col = long_row_guard(columns).otherwise(col)
+        cols.append(col.alias(c))
+    df = df.select(*cols)
     if not allow_empty and df.isEmpty():
         raise ValueError(f"source {path} parsed to 0 rows; refusing to land an empty batch")
     return df
 
 
-def _raise_on_long_rows(df: DataFrame, columns: Sequence[str]) -> None:
-    """Re-parse only the flagged rows with one extra field; any value there
-    means the row was longer than the header."""
+def long_row_guard(columns: Sequence[str]) -> Column:
+    """``CASE WHEN <row has more fields than the header> THEN raise_error``."""
     wide = ", ".join(f"`c{i}` STRING" for i in range(len(columns) + 1))
-    flagged = df.filter(F.col(CORRUPT_COL).isNotNull()).select(
-        F.from_csv(F.col(CORRUPT_COL), wide, {"escape": '"'}).alias("r"))
-    long_rows = flagged.filter(F.col(f"r.c{len(columns)}").isNotNull())
-    if not long_rows.isEmpty():
-        sample = long_rows.limit(3).collect()
-        raise ValueError(f"rows longer than the header ({len(columns)} fields): {sample}")
+    extra = F.from_csv(F.col(CORRUPT_COL), wide, {"escape": '"'}).getField(f"c{len(columns)}")
+    is_long = F.col(CORRUPT_COL).isNotNull() & extra.isNotNull()
+    msg = F.concat(F.lit(f"row longer than the header ({len(columns)} fields): "), F.col(CORRUPT_COL))
+    return F.when(is_long, F.raise_error(msg))
 
 
 def now_utc() -> datetime:
