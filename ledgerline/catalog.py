@@ -31,7 +31,7 @@ TRACE_CELL = ("2023-01-15", "TRANSFER", "high")
 FILTER_TYPES = ("TRANSFER", "CASH_OUT")
 FILTER_SEGMENTS = ("high",)
 FRESHNESS_AS_OF = "2024-03-15 00:00:00"
-VOLUME_WINDOW = ("1995-01-08", "1995-01-21")
+VOLUME_WINDOW = ("1998-06-08", "1998-06-21")
 FRAGMENTS = 24
 LAYOUT_FILES = 8
 

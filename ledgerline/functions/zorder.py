@@ -1,26 +1,33 @@
 """Z-order (Morton) keys from built-in bit functions.
 
-Each clustering column is mapped to an order-preserving non-negative integer,
-scaled onto ``bits`` bits using the column's min/max (one tiny aggregate),
-and the bits are interleaved with ``shiftleft`` / ``bitwise_or``.  Rows close
-in every clustering column get close keys, so range-partitioning by the key
-yields files whose min/max boxes are small in every column.
+Each clustering column becomes a non-negative integer grid coordinate:
+
+* dates / timestamps / integers: ``value - min`` (exact, no rescaling);
+* low-cardinality columns (at most ``max_distinct`` values, checked with a
+  bounded ``limit`` before anything is collected): the dense rank of the value;
+* anything else: an order-preserving ordinal scaled onto ``max_bits`` bits.
+
+Each coordinate uses only the bits its range needs (capped at ``max_bits``)
+and the bits are interleaved LSB-aligned with ``shiftleft`` / ``bitwise_or``
+-- the canonical Morton order on an integer grid.  A 3-value column thus
+contributes 2 bits instead of swamping a 2,500-day date axis, and rows close
+in every clustering column get close keys.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    DateType, IntegralType, NumericType, StringType, TimestampNTZType, TimestampType,
+)
 
+MAX_BITS = 20
+MAX_DISTINCT = 4096
 
-def ordinal(df: DataFrame, col: str) -> Column:
-    """An order-preserving BIGINT view of ``col``.
 
-    Dates -> days since epoch, timestamps -> seconds, integers as is,
-    strings -> their first four bytes as a big-endian number (order-preserving
-    on the prefix, which is all a clustering key needs).
-    """
+def ordinal(df: DataFrame, col: str) -> Column:
+    """An order-preserving BIGINT view of ``col``."""
     dtype = df.schema[col].dataType
     c = F.col(col)
     if isinstance(dtype, DateType):
@@ -38,27 +45,44 @@ def ordinal(df: DataFrame, col: str) -> Column:
     raise TypeError(f"no Z-order ordinal for {col}: {dtype}")
 
 
-def zorder_key(df: DataFrame, cols: list[str], bits: int = 16) -> Column:
-    """Interleaved key over ``cols``; needs one aggregate for min/max."""
+def _coordinate(df: DataFrame, col: str, max_bits: int, max_distinct: int) -> tuple[Column, int]:
+    dtype = df.schema[col].dataType
+    exact = isinstance(dtype, (DateType, IntegralType))
+    if not exact:
+        few = [r[0] for r in df.select(col).distinct().limit(max_distinct + 1).collect()]
+        if len(few) <= max_distinct:
+            values = sorted(v for v in few if v is not None)
+            if len(values) <= 1:
+                return F.lit(0).cast("bigint"), 0
+            pairs = []
+            for i, v in enumerate(values):
+                pairs += [F.lit(v), F.lit(i)]
+            rank = F.element_at(F.create_map(*pairs), F.col(col))
+            return F.coalesce(rank, F.lit(0)).cast("bigint"), (len(values) - 1).bit_length()
+    o = ordinal(df, col)
+    lo, hi = df.agg(F.min(o), F.max(o)).first()
+    if lo is None or hi is None or hi == lo:
+        return F.lit(0).cast("bigint"), 0
+    span = hi - lo
+    if span.bit_length() <= max_bits:
+        return F.coalesce(o - F.lit(lo), F.lit(0)).cast("bigint"), span.bit_length()
+    top = (1 << max_bits) - 1
+    scaled = F.floor((o - F.lit(lo)).cast("double") * F.lit(top / span)).cast("bigint")
+    return F.coalesce(scaled, F.lit(0).cast("bigint")), max_bits
+
+
+def zorder_key(df: DataFrame, cols: list[str], max_bits: int = MAX_BITS,
+               max_distinct: int = MAX_DISTINCT) -> Column:
+    """Interleaved key over ``cols`` (first column wins ties at each level)."""
     if not cols:
         raise ValueError("zorder_key needs at least one column")
-    ords = {c: ordinal(df, c) for c in cols}
-    stats = df.agg(*[F.min(o).alias(f"lo_{i}") for i, o in enumerate(ords.values())],
-                   *[F.max(o).alias(f"hi_{i}") for i, o in enumerate(ords.values())]).first()
-    top = (1 << bits) - 1
-    scaled = []
-    for i, o in enumerate(ords.values()):
-        lo, hi = stats[f"lo_{i}"], stats[f"hi_{i}"]
-        if lo is None or hi is None or hi == lo:
-            scaled.append(F.lit(0).cast("bigint"))
-            continue
-        s = F.floor((o - F.lit(lo)).cast("double") * F.lit(top / (hi - lo))).cast("bigint")
-        scaled.append(F.coalesce(s, F.lit(0).cast("bigint")))
-    n = len(scaled)
+    coords = [_coordinate(df, c, max_bits, max_distinct) for c in cols]
+    levels = max(b for _, b in coords) if coords else 0
+    # positions from the most significant level down; LSB-aligned coordinates
+    order = [(level, j) for level in range(levels - 1, -1, -1)
+             for j, (_, b) in enumerate(coords) if b > level]
     key = F.lit(0).cast("bigint")
-    for bit in range(bits):
-        for j, s in enumerate(scaled):
-            shift = bit * n + (n - 1 - j)
-            piece = F.shiftleft(F.shiftright(s, bit).bitwiseAND(F.lit(1)), shift)
-            key = key.bitwiseOR(piece)
+    for pos, (level, j) in enumerate(reversed(order)):
+        bit = F.shiftright(coords[j][0], level).bitwiseAND(F.lit(1))
+        key = key.bitwiseOR(F.shiftleft(bit, pos))
     return key
