@@ -18,7 +18,7 @@ from ledgerline.operators import layout, quality
 from ledgerline.operators.upsert import high_water_mark, upsert
 from ledgerline.plans import gold, governance, measures, registry, silver
 from ledgerline.plans.rollup import rollup
-from ledgerline.session import scratch_path
+from ledgerline.session import checkpoint_root, scratch_path
 from ledgerline.sources import bronze as bronze_table
 from ledgerline.sources import fixture
 from ledgerline.sources.raw import RAW_COLUMNS, read_raw
@@ -38,18 +38,34 @@ LAYOUT_FILES = 8
 
 @dataclass
 class Chain:
+    """Lazy medallion chain over one bronze frame.
+
+    ``silver`` is the deduplicated table as gold consumers read it: computed
+    once and written to the shared checkpoint folder (reliable checkpoint),
+    so the fact, the calendar and the customer profile do not each re-run
+    the dedup, and a lost executor re-reads the checkpoint instead of
+    recomputing bronze -> silver.
+    """
     bronze: DataFrame
     staged: DataFrame
     eligible: DataFrame
     clean: DataFrame
+    _silver: DataFrame | None = None
+
+    @property
+    def silver(self) -> DataFrame:
+        if self._silver is None:
+            checkpoint_root(self.clean.sparkSession)
+            self._silver = self.clean.checkpoint(eager=True)
+        return self._silver
 
     @property
     def fact(self) -> DataFrame:
-        return gold.fact(self.clean)
+        return gold.fact(self.silver)
 
     @property
     def profile(self) -> DataFrame:
-        return gold.account_profile(self.clean)
+        return gold.account_profile(self.silver)
 
     @property
     def dim_account(self) -> DataFrame:
@@ -57,7 +73,7 @@ class Chain:
 
     @property
     def dim_date(self) -> DataFrame:
-        return gold.dim_date(self.clean)
+        return gold.dim_date(self.silver)
 
     def dim_customer(self) -> DataFrame:
         return gold.dim_customer(self.profile)
