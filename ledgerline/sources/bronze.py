@@ -49,6 +49,16 @@ def already_loaded(spark: SparkSession, path: str, source_file: str) -> bool:
                 .filter(F.col(SOURCE_FILE_COL) == F.lit(source_file)).isEmpty())
 
 
+def loaded_rows_sql(spark: SparkSession, table: str, source_file: str) -> int:
+    """Row count of one batch in a catalog table or view, with the name bound
+    as a SQL parameter (``spark.sql(..., args=...)``), never spliced in."""
+    validate_source_name(source_file)
+    if not table.replace(".", "").replace("_", "").isalnum():
+        raise ValueError(f"bad table name {table!r}")
+    return spark.sql(f"SELECT count(*) FROM {table} WHERE {SOURCE_FILE_COL} = :source_file",
+                     args={"source_file": source_file}).first()[0]
+
+
 def row_count(spark: SparkSession, path: str) -> int:
     return spark.read.parquet(path).count() if table_exists(spark, path) else 0
 
