@@ -10,6 +10,8 @@ DataFrame plans, so Catalyst sees each model whole.
 from __future__ import annotations
 
 import os
+import time
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -193,34 +195,93 @@ class RunResult:
     tables: dict[str, DataFrame]
     checks: list
     gate: list
+    timings: dict = field(default_factory=dict)  # model -> (materialise s, checks s)
+
+
+def _materialize(spark: SparkSession, m: Model, inputs: dict[str, DataFrame], root: str,
+                 materialize_views: bool) -> DataFrame:
+    df = m.build(spark, inputs)
+    path = os.path.join(root, m.layer, m.name)
+    if m.materialized == "incremental":
+        hw = high_water_mark(spark, path)
+        inc = df.filter(F.col("_load_ts") > F.lit(hw.isoformat(sep=" ")).cast("timestamp_ntz"))
+        upsert(spark, path, inc, "transaction_id", m.partition_by or "date_key")
+        return spark.read.parquet(path).select(*df.columns)
+    if m.materialized == "table" or materialize_views:
+        w = df.write.mode("overwrite")
+        if m.partition_by:
+            w = w.partitionBy(m.partition_by)
+        w.parquet(path)
+        return spark.read.parquet(path).select(*df.columns)
+    return df
+
+
+def _check(m: Model, df: DataFrame, tables: dict[str, DataFrame]) -> list:
+    return quality.union_checks(model_checks(m, df, tables)).collect()
 
 
 def run(spark: SparkSession, bronze: DataFrame, root: str, fail_fast: bool = True,
-        materialize_views: bool = True) -> RunResult:
-    """Build every model into ``root/<layer>/<name>``; raise on a failed check."""
+        materialize_views: bool = True, threads: int = 4) -> RunResult:
+    """Build every model into ``root/<layer>/<name>`` and check it.
+
+    Models run as soon as their inputs are built *and* checked, up to
+    ``threads`` at a time (independent models -- the dimensions, the fact,
+    the quarantine -- are separate Spark jobs that can share the cluster).
+    A model's checks additionally wait for the tables their relationship
+    tests reference.  When a check fails nothing new is started, work in
+    flight finishes, and the failure is raised: what is downstream of a
+    failed model is never built.
+    """
+    models = {m.qualified: m for m in topo_order()}
     tables: dict[str, DataFrame] = {"bronze.transactions_raw": bronze}
-    results = []
-    for m in topo_order():
-        df = m.build(spark, {d: tables[d] for d in m.depends_on})
-        path = os.path.join(root, m.layer, m.name)
-        if m.materialized == "incremental":
-            hw = high_water_mark(spark, path)
-            inc = df.filter(F.col("_load_ts") > F.lit(hw.isoformat(sep=" ")).cast("timestamp_ntz"))
-            upsert(spark, path, inc, "transaction_id", m.partition_by or "date_key")
-            df = spark.read.parquet(path).select(*df.columns)
-        elif m.materialized == "table" or materialize_views:
-            w = df.write.mode("overwrite")
-            if m.partition_by:
-                w = w.partitionBy(m.partition_by)
-            w.parquet(path)
-            df = spark.read.parquet(path).select(*df.columns)
-        tables[m.qualified] = df
-        if m.checks:
-            rows = quality.union_checks(model_checks(m, df, tables)).collect()
-            results.extend(rows)
-            failed = [r for r in rows if r["status"] != "pass"]
-            if failed and fail_fast:
-                raise quality.QualityError(f"{m.qualified}: failed checks {failed}; downstream not built")
+    built, passed = set(SOURCES), set(SOURCES)
+    check_parents = {q: {s[2] for s in m.checks if s[0] == "relationships"} for q, m in models.items()}
+    to_build, to_check = list(models), []
+    results, timings, errors = [], {}, []
+    running: dict = {}
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        while True:
+            if not errors:
+                for q in [q for q in to_build if all(d in passed for d in models[q].depends_on)]:
+                    to_build.remove(q)
+                    inputs = {d: tables[d] for d in models[q].depends_on}
+                    fut = pool.submit(_materialize, spark, models[q], inputs, root, materialize_views)
+                    running[fut] = ("build", q, time.perf_counter())
+                for q in [q for q in to_check if check_parents[q] <= built]:
+                    to_check.remove(q)
+                    fut = pool.submit(_check, models[q], tables[q], dict(tables))
+                    running[fut] = ("check", q, time.perf_counter())
+            if not running:
+                break
+            done, _ = wait(list(running), return_when=FIRST_COMPLETED)
+            for fut in done:
+                kind, q, t0 = running.pop(fut)
+                elapsed = round(time.perf_counter() - t0, 3)
+                try:
+                    out = fut.result()
+                except Exception as exc:  # noqa: BLE001 - re-raised below
+                    errors.append(exc)
+                    continue
+                if kind == "build":
+                    tables[q] = out
+                    built.add(q)
+                    timings[q] = (elapsed, 0.0)
+                    if models[q].checks:
+                        to_check.append(q)
+                    else:
+                        passed.add(q)
+                    continue
+                results.extend(out)
+                timings[q] = (timings[q][0], elapsed)
+                failed = [r for r in out if r["status"] != "pass"]
+                if failed and fail_fast:
+                    errors.append(quality.QualityError(
+                        f"{q}: failed checks {failed}; downstream not built"))
+                else:
+                    passed.add(q)
+    if errors:
+        raise errors[0]
+    results.sort(key=lambda r: (r["table_name"], r["check"], r["column_name"]))
     g = gate(tables["gold.fact_transaction"], tables["gold.mart_daily_settled_volume"],
              tables["silver.audit_silver_reconciliation"]).collect()
-    return RunResult(tables, results, g)
+    return RunResult(tables, results, g, timings)
