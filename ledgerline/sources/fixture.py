@@ -99,18 +99,15 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def volume_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as a wide-date fact stand-in for the rollup and layout jobs.
 
-    ``transaction_id`` = sha2 over every column plus an ordinal among exact
-    duplicates; duplicates are counted with an aggregate (partial, so a hot
-    duplicate group collapses map-side) and re-expanded, which keeps the key
-    deterministic without a window or a global sort.
+    ``transaction_id`` = sha2 of the row's physical identity (file name and
+    Parquet row index, both produced by the scan itself): deterministic,
+    unique, and free -- no aggregate or shuffle is needed to number rows,
+    and (``l_orderkey``, ``l_linenumber``) is not a key in this data.
     """
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    cols = li.columns
-    grouped = li.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    expanded = grouped.withColumn("_ord", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols] + [F.col("_ord").cast("string")]
-    return expanded.select(
-        F.sha2(F.concat_ws("|", *parts), 256).alias("transaction_id"),
+    rid = F.concat_ws("|", F.col("_metadata.file_name"), F.col("_metadata.row_index").cast("string"))
+    return li.select(
+        F.sha2(rid, 256).alias("transaction_id"),
         F.to_date("l_shipdate").alias("date_key"),
         F.col("l_returnflag").alias("transaction_type"),
         F.col("l_extendedprice").cast(MONEY).alias("amount"),

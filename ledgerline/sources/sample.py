@@ -25,3 +25,39 @@ def systematic_sample(df: DataFrame, n: int, order_by: Sequence[str | Column],
     stride = max(1, total // n)
     idx = F.col(index_col)
     return indexed.filter((F.pmod(idx, F.lit(stride)) == 0) & (idx < F.lit(n * stride)))
+
+
+def systematic_sample_files(spark, path: str, n: int, index_col: str = "_index",
+                            broadcast_max_files: int = 1_000_000) -> DataFrame:
+    """Systematic sample of a Parquet table in *file order* (files by path,
+    rows by their position inside the file) -- the order of lines in the
+    source, with no sort and no shuffle of the data.
+
+    Global position = offset of the file + Parquet row index.  The offsets
+    come from one aggregate with one row per file (bounded by the file count,
+    checked before it is broadcast), so the cost is one extra metadata pass.
+    """
+    from ledgerline.operators.sizing import broadcast_if_bounded
+
+    if n < 1:
+        raise ValueError("sample size must be >= 1")
+    df = spark.read.parquet(path)
+    data_cols = df.columns
+    tagged = df.select("*", F.col("_metadata.file_path").alias("_file"),
+                       F.col("_metadata.row_index").alias("_row"))
+    per_file = tagged.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    w_prev = F.sum("_n").over(_file_order_window()) - F.col("_n")
+    offsets = per_file.select("_file", w_prev.alias("_offset"), "_n")
+    total = offsets.agg(F.sum("_n")).first()[0] or 0
+    stride = max(1, total // n)
+    offsets = broadcast_if_bounded(offsets.select("_file", "_offset"), broadcast_max_files)
+    idx = (F.col("_offset") + F.col("_row")).alias(index_col)
+    out = tagged.join(offsets, "_file").select(*data_cols, idx)
+    i = F.col(index_col)
+    return out.filter((F.pmod(i, F.lit(stride)) == 0) & (i < F.lit(n * stride)))
+
+
+def _file_order_window():
+    # runs over the per-file counts only (one row per file), never over data rows
+    from pyspark.sql import Window
+    return Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -61,3 +61,16 @@ def test_unsafe_name_never_reaches_sql(spark):
         bronze_table.loaded_rows_sql(spark, "bronze_raw_t", "x' OR '1'='1")
     with pytest.raises(ValueError):
         bronze_table.loaded_rows_sql(spark, "t; DROP TABLE x", "events/batch-0")
+
+
+def test_file_order_sample_matches_brute_force(spark, tmp):
+    from ledgerline.sources.sample import systematic_sample_files
+    path = os.path.join(tmp, "t")
+    spark.range(0, 1000).select((F.col("id") * 7 % 1000).alias("v")).repartition(5).write.parquet(path)
+    df = spark.read.parquet(path).select("v", F.col("_metadata.file_path").alias("f"),
+                                         F.col("_metadata.row_index").alias("r"))
+    ordered = [row["v"] for row in sorted(df.collect(), key=lambda x: (x["f"], x["r"]))]
+    stride = len(ordered) // 30
+    want = [v for i, v in enumerate(ordered) if i % stride == 0 and i < 30 * stride]
+    got = [r["v"] for r in systematic_sample_files(spark, path, 30).orderBy("_index").collect()]
+    assert got == want and len(got) == 30
