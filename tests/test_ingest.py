@@ -19,7 +19,7 @@ def test_unsafe_source_names(bad):
 
 
 def test_safe_source_names():
-    for ok in ("raw/paysim.csv", "events/batch-0", "a__b", "v1.2_x-y"):
+    for ok in ("raw/source.csv", "events/batch-0", "a__b", "v1.2_x-y"):
         assert validate_source_name(ok) == ok
 
 
