@@ -20,16 +20,14 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.session import scratch_path
+from ledgerline.session import parquet_exists, scratch_path
 
 # High-water mark used when the target is empty.
 EMPTY_HIGH_WATER = "1900-01-01 00:00:00"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
-    return fs.exists(jvm_path) and len(fs.listStatus(jvm_path)) > 0
+    return parquet_exists(spark, path)
 
 
 def high_water_mark(spark: SparkSession, path: str, col: str = "_load_ts") -> datetime:

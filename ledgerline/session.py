@@ -88,3 +88,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint root."""
     root = checkpoint_root(spark)
     return os.path.join(root, "ledgerline", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def parquet_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a readable Parquet table (any data file or
+    partition folder).  Uses only the DataFrame reader, so it works the same
+    on a classic session and over Spark Connect."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.parquet(path).schema  # noqa: B018 - resolves the file listing
+        return True
+    except AnalysisException:
+        return False

@@ -13,19 +13,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.session import parquet_exists
 from ledgerline.sources.raw import (
     LOAD_TS_COL, PII_COLUMNS, SOURCE_FILE_COL, bronze_schema, stamp, validate_source_name,
 )
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when the bronze folder holds at least one batch partition."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
-    if not fs.exists(jvm_path):
-        return False
-    return any(st.getPath().getName().startswith(SOURCE_FILE_COL + "=")
-               for st in fs.listStatus(jvm_path))
+    """True when the bronze folder holds at least one landed batch."""
+    return parquet_exists(spark, path)
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
