@@ -17,7 +17,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -28,7 +27,7 @@ from ledgerline import catalog  # noqa: E402
 from ledgerline.operators import layout  # noqa: E402
 from ledgerline.plans import gold, registry, silver  # noqa: E402
 from ledgerline.plans.rollup import rollup  # noqa: E402
-from ledgerline.session import get_session, scratch_path  # noqa: E402
+from ledgerline.session import checkpoint_root, get_session, scratch_path  # noqa: E402
 from ledgerline.sources import bronze as bronze_table  # noqa: E402
 from ledgerline.sources import fixture  # noqa: E402
 
@@ -57,8 +56,7 @@ def main() -> None:
              "spark.eventLog.enabled": "false"}
     spark = get_session(f"local[{cpus}]", max(8, cpus * 2), "ledgerline-bench", extra)
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ledgerline-bench-"))
+    checkpoint_root(spark)  # the session's shared folder; a temp one only when unset
 
     q: dict[str, float] = {}
     lay_info: dict = {}

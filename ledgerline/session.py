@@ -53,14 +53,20 @@ def apply_runtime_conf(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+SCRATCH_KEY = "ledgerline.scratch.dir"
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     On a cluster this is ``spark.checkpoint.dir`` (a shared file system the
-    cluster names).  Only when it is unset -- local runs and tests -- is a
-    folder under the system temp directory created and registered.
+    cluster names), read from the session.  Only when it is unset -- local
+    runs and tests -- is a folder under the system temp directory created and
+    registered with ``SparkContext.setCheckpointDir`` (``spark.checkpoint.dir``
+    itself cannot be changed at run time); the choice is remembered in the
+    session under ``ledgerline.scratch.dir``.
     """
-    conf = spark.conf.get("spark.checkpoint.dir", None)
+    conf = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH_KEY, None)
     if not conf:
         try:
             conf = spark.sparkContext.getCheckpointDir()
@@ -70,7 +76,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         _register_checkpoint_dir(spark, conf)
         return conf.rstrip("/")
     local = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
+    spark.conf.set(SCRATCH_KEY, local)
     _register_checkpoint_dir(spark, local)
     return local
 
