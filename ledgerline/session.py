@@ -107,3 +107,28 @@ def parquet_exists(spark: SparkSession, path: str) -> bool:
         return True
     except AnalysisException:
         return False
+
+
+def scale_profile(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
+                  min_partitions: int = 200, max_partitions: int = 100_000) -> dict[str, str]:
+    """Size shuffles and scan splits for an input of ``input_bytes``.
+
+    Shuffle partitions are set high enough that each holds about
+    ``target_partition_bytes`` of the largest stage (input size as the upper
+    bound), and AQE coalesces small ones back to that advisory size -- so
+    partitions fit executor memory at 100 TB without leaving thousands of
+    tiny tasks at small scale.  Scan splits use the same size.  Returns the
+    settings applied (all runtime SQL confs).
+    """
+    n = max(min_partitions, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    conf = {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf

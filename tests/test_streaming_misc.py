@@ -74,3 +74,21 @@ def test_file_order_sample_matches_brute_force(spark, tmp):
     want = [v for i, v in enumerate(ordered) if i % stride == 0 and i < 30 * stride]
     got = [r["v"] for r in systematic_sample_files(spark, path, 30).orderBy("_index").collect()]
     assert got == want and len(got) == 30
+
+
+def test_scale_profile_sizes_partitions(spark):
+    from ledgerline.session import scale_profile
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions",
+                                           "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                                           "spark.sql.files.maxPartitionBytes",
+                                           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")}
+    try:
+        big = scale_profile(spark, 100 * (1 << 40))  # 100 TiB: 409,600 raw, capped
+        assert big["spark.sql.shuffle.partitions"] == "100000"
+        mid = scale_profile(spark, 1 << 40)  # 1 TiB at 256 MiB per partition
+        assert mid["spark.sql.shuffle.partitions"] == "4096"
+        small = scale_profile(spark, 10 << 20)
+        assert small["spark.sql.shuffle.partitions"] == "200"
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
