@@ -3,8 +3,9 @@
 Each clustering column becomes a non-negative integer grid coordinate:
 
 * dates / timestamps / integers: ``value - min`` (exact, no rescaling);
-* low-cardinality columns (at most ``max_distinct`` values, checked with a
-  bounded ``limit`` before anything is collected): the dense rank of the value;
+* low-cardinality columns (an HLL sketch, computed in the same single pass
+  as the min/max, shows fewer than ``max_distinct`` values -- only then is
+  the value list collected): the dense rank of the value;
 * anything else: an order-preserving ordinal scaled onto ``max_bits`` bits.
 
 Each coordinate uses only the bits its range needs (capped at ``max_bits``)
@@ -45,22 +46,23 @@ def ordinal(df: DataFrame, col: str) -> Column:
     raise TypeError(f"no Z-order ordinal for {col}: {dtype}")
 
 
-def _coordinate(df: DataFrame, col: str, max_bits: int, max_distinct: int) -> tuple[Column, int]:
-    dtype = df.schema[col].dataType
-    exact = isinstance(dtype, (DateType, IntegralType))
-    if not exact:
-        few = [r[0] for r in df.select(col).distinct().limit(max_distinct + 1).collect()]
-        if len(few) <= max_distinct:
-            values = sorted(v for v in few if v is not None)
-            if len(values) <= 1:
-                return F.lit(0).cast("bigint"), 0
-            pairs = []
-            for i, v in enumerate(values):
-                pairs += [F.lit(v), F.lit(i)]
-            rank = F.element_at(F.create_map(*pairs), F.col(col))
-            return F.coalesce(rank, F.lit(0)).cast("bigint"), (len(values) - 1).bit_length()
-    o = ordinal(df, col)
-    lo, hi = df.agg(F.min(o), F.max(o)).first()
+def _rank_coordinate(df: DataFrame, col: str, limit: int) -> tuple[Column, int] | None:
+    """Dense rank of a low-cardinality column; ``None`` when the column has
+    more than ``limit`` values after all (the collect stays bounded)."""
+    found = df.select(col).distinct().limit(limit + 1).collect()
+    if len(found) > limit:
+        return None
+    values = sorted(r[0] for r in found if r[0] is not None)
+    if len(values) <= 1:
+        return F.lit(0).cast("bigint"), 0
+    pairs = []
+    for i, v in enumerate(values):
+        pairs += [F.lit(v), F.lit(i)]
+    rank = F.element_at(F.create_map(*pairs), F.col(col))
+    return F.coalesce(rank, F.lit(0)).cast("bigint"), (len(values) - 1).bit_length()
+
+
+def _scaled_coordinate(o: Column, lo, hi, max_bits: int) -> tuple[Column, int]:
     if lo is None or hi is None or hi == lo:
         return F.lit(0).cast("bigint"), 0
     span = hi - lo
@@ -71,12 +73,37 @@ def _coordinate(df: DataFrame, col: str, max_bits: int, max_distinct: int) -> tu
     return F.coalesce(scaled, F.lit(0).cast("bigint")), max_bits
 
 
+def _coordinates(df: DataFrame, cols: list[str], max_bits: int,
+                 max_distinct: int) -> list[tuple[Column, int]]:
+    """One aggregate pass: min/max of every ordinal and an HLL distinct
+    estimate per column; only columns the sketch shows to be small get an
+    exact (bounded) value list."""
+    ords = [ordinal(df, c) for c in cols]
+    aggs = []
+    for i, (c, o) in enumerate(zip(cols, ords)):
+        aggs += [F.min(o).alias(f"lo{i}"), F.max(o).alias(f"hi{i}"),
+                 F.approx_count_distinct(c, 0.02).alias(f"nd{i}")]
+    stats = df.agg(*aggs).first()
+    out = []
+    for i, (c, o) in enumerate(zip(cols, ords)):
+        exact = isinstance(df.schema[c].dataType, (DateType, IntegralType))
+        # 2% relative error: a sketch under 0.9 * limit is safely under the limit
+        ranked = None
+        if not exact and stats[f"nd{i}"] <= int(max_distinct * 0.9):
+            ranked = _rank_coordinate(df, c, max_distinct)
+        out.append(ranked if ranked is not None
+                   else _scaled_coordinate(o, stats[f"lo{i}"], stats[f"hi{i}"], max_bits))
+    return out
+
+
 def zorder_key(df: DataFrame, cols: list[str], max_bits: int = MAX_BITS,
                max_distinct: int = MAX_DISTINCT) -> Column:
     """Interleaved key over ``cols`` (first column wins ties at each level)."""
     if not cols:
         raise ValueError("zorder_key needs at least one column")
-    coords = [_coordinate(df, c, max_bits, max_distinct) for c in cols]
+    # every coordinate's bits must fit one signed 64-bit key
+    max_bits = max(1, min(max_bits, 62 // len(cols)))
+    coords = _coordinates(df, list(cols), max_bits, max_distinct)
     levels = max(b for _, b in coords) if coords else 0
     # positions from the most significant level down; LSB-aligned coordinates
     order = [(level, j) for level in range(levels - 1, -1, -1)
