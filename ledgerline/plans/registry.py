@@ -22,6 +22,7 @@ from ledgerline.functions.contract import REASONS
 from ledgerline.operators import quality
 from ledgerline.operators.upsert import high_water_mark, upsert
 from ledgerline.plans import gold, silver
+from ledgerline.session import parquet_exists
 
 # Accepted values used by the data tests.
 TXN_TYPES = ("CASH_IN", "CASH_OUT", "TRANSFER", "PAYMENT", "DEBIT")
@@ -288,3 +289,22 @@ def run(spark: SparkSession, bronze: DataFrame, root: str, fail_fast: bool = Tru
     g = gate(tables["gold.fact_transaction"], tables["gold.mart_daily_settled_volume"],
              tables["silver.audit_silver_reconciliation"]).collect()
     return RunResult(tables, results, g, timings)
+
+
+def register_tables(spark: SparkSession, root: str, models=MODELS) -> list[str]:
+    """Expose the materialised models as ``<layer>.<name>`` tables in the
+    session catalog (external Parquet tables over ``root``), so SQL users can
+    write ``SELECT ... FROM gold.mart_daily_settled_volume``.  Partition
+    folders of partitioned tables are recovered from storage."""
+    names = []
+    for m in models:
+        path = os.path.join(root, m.layer, m.name)
+        if not parquet_exists(spark, path):
+            continue
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {m.layer}")
+        spark.sql(f"DROP TABLE IF EXISTS {m.qualified}")
+        spark.catalog.createTable(m.qualified, path=path, source="parquet")
+        if m.partition_by or m.materialized == "incremental":
+            spark.sql(f"ALTER TABLE {m.qualified} RECOVER PARTITIONS")
+        names.append(m.qualified)
+    return names

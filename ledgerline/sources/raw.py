@@ -78,15 +78,18 @@ def na_to_null(col: str, na_strings: Sequence[str] = NA_STRINGS) -> Column:
 
 def read_raw(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
              na_strings: Sequence[str] | None = NA_STRINGS, fail_long_rows: bool = True,
-             allow_empty: bool = False) -> DataFrame:
+             allow_empty: bool = False, multi_line: bool = False) -> DataFrame:
     """Read a headed CSV file or folder with every column a string.
 
     ``columns`` pins the expected header (all strings); when omitted the header
     of the files decides.  Short rows are padded with NULL; a row with more
     fields than the header fails the batch (the reference's reader raises on
     those).  An empty source is an error unless ``allow_empty``.
+    ``multi_line`` accepts quoted fields with embedded newlines; it is off by
+    default because it makes every file a single, unsplittable task.
     """
     reader = (spark.read.option("header", "true").option("escape", '"')
+              .option("multiLine", "true" if multi_line else "false")
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL))
     if columns is None:
         columns = spark.read.option("header", "true").option("escape", '"').csv(path).columns

@@ -92,3 +92,32 @@ def test_scale_profile_sizes_partitions(spark):
     finally:
         for k, v in keep.items():
             spark.conf.set(k, v)
+
+
+def test_cli_ingest_run_register(spark, tmp):
+    """End to end through the command line entry points, in-process."""
+    import json as _json
+    from contextlib import redirect_stdout
+    from io import StringIO
+
+    from ledgerline.__main__ import main
+    csv_dir, bronze_path, root = (os.path.join(tmp, n) for n in ("csv", "bronze", "lake"))
+    for w in (0, 1):
+        fixture.batch(spark, SF001, w, stamped=False).write.option("header", "true") \
+            .csv(os.path.join(csv_dir, f"b{w}"))
+
+    def call(*argv):
+        buf = StringIO()
+        with redirect_stdout(buf):
+            main(list(argv))
+        return _json.loads(buf.getvalue().strip().splitlines()[-1])
+
+    assert call("ingest", "--bronze", bronze_path, "--source", os.path.join(csv_dir, "b0"),
+                "--name", "events/batch-0")["rows"] > 0
+    assert call("ingest", "--bronze", bronze_path, "--source", os.path.join(csv_dir, "b1"),
+                "--name", "events/batch-1")["rows"] == 1048
+    out = call("run", "--bronze", bronze_path, "--root", root, "--register")
+    assert out["passed"] == out["checks"] == 49
+    assert "gold.mart_daily_settled_volume" in out["tables"]
+    n = spark.sql("SELECT count(*) FROM gold.fact_transaction WHERE date_key >= DATE'2023-01-15'").first()[0]
+    assert n > 0
