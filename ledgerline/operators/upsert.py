@@ -15,7 +15,7 @@ plan that still reads it.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,13 +30,43 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return parquet_exists(spark, path)
 
 
+WATERMARK_DIR = "_watermark"
+
+
+def watermark_path(path: str) -> str:
+    return path.rstrip("/") + "/" + WATERMARK_DIR
+
+
 def high_water_mark(spark: SparkSession, path: str, col: str = "_load_ts") -> datetime:
-    """``max(col)`` of the target, or 1900-01-01 when it is empty/missing.
-    One scalar aggregate; Parquet min/max statistics keep it cheap."""
+    """The target's committed high-water mark.
+
+    When the target keeps a ``_watermark`` record (appended only after an
+    upsert has fully committed) its maximum is used, so a run that died in
+    the middle of a partition overwrite is simply processed again.
+    Otherwise ``max(col)`` of the target (Parquet statistics keep it
+    cheap), or 1900-01-01 when the target is empty or missing.
+    """
+    empty = datetime.fromisoformat(EMPTY_HIGH_WATER)
+    wm = watermark_path(path)
+    if _exists(spark, wm):
+        v = spark.read.parquet(wm).agg(F.max("high_water_mark")).first()[0]
+        return v if v is not None else empty
     if not _exists(spark, path):
-        return datetime.fromisoformat(EMPTY_HIGH_WATER)
+        return empty
     v = spark.read.parquet(path).agg(F.max(col)).first()[0]
-    return v if v is not None else datetime.fromisoformat(EMPTY_HIGH_WATER)
+    return v if v is not None else empty
+
+
+def commit_watermark(spark: SparkSession, path: str, value: datetime | None) -> None:
+    """Append the new high-water mark after a successful upsert (append-only,
+    one small file per commit, so a half-written record is never read as a
+    lower mark)."""
+    if value is None:
+        return
+    row = spark.createDataFrame([(value,)], "high_water_mark timestamp_ntz")
+    now = datetime.now(timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
+    (row.withColumn("committed_at", F.lit(now).cast("timestamp_ntz"))
+     .coalesce(1).write.mode("append").parquet(watermark_path(path)))
 
 
 def increment(source: DataFrame, spark: SparkSession, target_path: str,

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.contract import REASONS
 from ledgerline.operators import quality
-from ledgerline.operators.upsert import high_water_mark, upsert
+from ledgerline.operators.upsert import commit_watermark, high_water_mark, upsert
 from ledgerline.plans import gold, silver
 from ledgerline.session import parquet_exists
 
@@ -210,6 +210,8 @@ def _materialize(spark: SparkSession, m: Model, inputs: dict[str, DataFrame], ro
         # own `unique` test runs next, so the upsert's separate duplicate-key
         # aggregation (a full shuffle of the ids) is skipped here
         upsert(spark, path, inc, "transaction_id", m.partition_by or "date_key", check_unique=False)
+        # the mark advances only after the upsert committed in full
+        commit_watermark(spark, path, inc.agg(F.max("_load_ts")).first()[0])
         return spark.read.parquet(path).select(*df.columns)
     if m.materialized == "table" or materialize_views:
         w = df.write.mode("overwrite")

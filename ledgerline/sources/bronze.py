@@ -1,9 +1,18 @@
 """Idempotent, append-only bronze table keyed by ``_source_file``.
 
-The table is Parquet partitioned by ``_source_file``: the ledger of loaded
-batches *is* the partition list, so "was this batch loaded?" is answered by
-partition pruning and never scans data.  A batch already present is a no-op,
-checked before its source is read.
+The table is Parquet partitioned by ``_source_file``.  Next to the data, in
+the hidden folder ``_ledger`` (Spark's file index skips ``_``-prefixed
+folders), one row per batch is appended *after* the batch's data has
+committed.  A batch counts as loaded only when its ledger row exists, so:
+
+* a re-run of a loaded batch is a no-op, decided before the source is read;
+* a run that died after writing (some of) a batch's files but before its
+  ledger row re-lands the batch, and because the data write is a dynamic
+  overwrite of that batch's own partition, partial files are replaced, never
+  duplicated.
+
+Tables written without a ledger (older or foreign ones) fall back to the
+partition list, answered by partition pruning.
 """
 
 from __future__ import annotations
@@ -13,9 +22,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.functions.columns import as_ntz
 from ledgerline.session import parquet_exists
 from ledgerline.sources.raw import (
-    LOAD_TS_COL, PII_COLUMNS, SOURCE_FILE_COL, bronze_schema, stamp, validate_source_name,
+    LOAD_TS_COL, PII_COLUMNS, SOURCE_FILE_COL, bronze_schema, now_utc, stamp, validate_source_name,
 )
 
 
@@ -24,25 +34,66 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return parquet_exists(spark, path)
 
 
+LEDGER_DIR = "_ledger"
+
+
+def ledger_path(path: str) -> str:
+    return path.rstrip("/") + "/" + LEDGER_DIR
+
+
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
+    lp = ledger_path(path)
+    return spark.read.parquet(lp) if parquet_exists(spark, lp) else None
+
+
 def loaded_sources(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
-    """The subset of ``names`` already present (one pruned scan for all)."""
-    if not table_exists(spark, path):
+    """The subset of ``names`` already loaded (one pruned scan for all)."""
+    ledger = read_ledger(spark, path)
+    if ledger is not None:
+        src = ledger.select(SOURCE_FILE_COL)
+    elif table_exists(spark, path):
+        src = spark.read.parquet(path).select(SOURCE_FILE_COL)
+    else:
         return spark.createDataFrame([], f"{SOURCE_FILE_COL} string")
-    return (spark.read.parquet(path).select(SOURCE_FILE_COL)
-            .filter(F.col(SOURCE_FILE_COL).isin(*names)).distinct())
+    return src.filter(F.col(SOURCE_FILE_COL).isin(*names)).distinct()
 
 
 def already_loaded(spark: SparkSession, path: str, source_file: str) -> bool:
-    """Partition-pruned existence check (bound value, never spliced into SQL)."""
+    """Ledger lookup (partition-pruned fallback); the name is bound as a
+    literal value, never spliced into SQL text."""
     validate_source_name(source_file)
-    if not table_exists(spark, path):
-        return False
-    return not (spark.read.parquet(path).select(SOURCE_FILE_COL)
-                .filter(F.col(SOURCE_FILE_COL) == F.lit(source_file)).isEmpty())
+    return not loaded_sources(spark, path, [source_file]).isEmpty()
+
+
+LEDGER_SCHEMA = (f"{SOURCE_FILE_COL} string, rows bigint, {LOAD_TS_COL} timestamp_ntz, "
+                 "committed_at timestamp_ntz")
+
+
+def ensure_ledger(spark: SparkSession, path: str) -> None:
+    """Create the (empty) ledger of a new table before any data lands, so the
+    table is in ledger mode from its first write."""
+    if read_ledger(spark, path) is None and not table_exists(spark, path):
+        spark.createDataFrame([], LEDGER_SCHEMA).write.mode("append").parquet(ledger_path(path))
+
+
+def write_batches(df: DataFrame, path: str) -> None:
+    """Land the batches in ``df`` (stamped, bronze schema): dynamic overwrite
+    of exactly their ``_source_file`` partitions, then one ledger row per
+    batch.  Safe to repeat after a crash at any point."""
+    spark = df.sparkSession
+    ensure_ledger(spark, path)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(SOURCE_FILE_COL).option("compression", "zstd").parquet(path))
+    names = [r[0] for r in df.select(SOURCE_FILE_COL).distinct().collect()]  # batches in this write
+    landed = (spark.read.parquet(path).filter(F.col(SOURCE_FILE_COL).isin(*names))
+              .groupBy(SOURCE_FILE_COL).agg(F.count(F.lit(1)).alias("rows"),
+                                            F.max(LOAD_TS_COL).alias(LOAD_TS_COL)))
+    (landed.select(SOURCE_FILE_COL, "rows", LOAD_TS_COL, as_ntz(now_utc()).alias("committed_at"))
+     .write.mode("append").parquet(ledger_path(path)))
 
 
 def loaded_rows_sql(spark: SparkSession, table: str, source_file: str) -> int:
@@ -76,8 +127,7 @@ def ingest_batch(spark: SparkSession, path: str, source_file: str,
     schema = bronze_schema(raw_cols, pii)
     stamped = stamp(df.select(*raw_cols), source_file, load_ts)
     stamped = stamped.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    (stamped.write.mode("append").partitionBy(SOURCE_FILE_COL)
-     .option("compression", "zstd").parquet(path))
+    write_batches(stamped, path)
     return row_count(spark, path)
 
 

@@ -22,7 +22,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerline.operators.dedup import latest_by
 from ledgerline.operators.upsert import merge_latest
-from ledgerline.sources.bronze import loaded_sources
+from ledgerline.sources.bronze import loaded_sources, write_batches
 from ledgerline.sources.raw import (
     LOAD_TS_COL, NA_STRINGS, RAW_COLUMNS, SOURCE_FILE_COL, na_to_null, now_utc,
 )
@@ -60,8 +60,10 @@ def ingest_stream(spark: SparkSession, in_dir: str, table_path: str, checkpoint:
         done = loaded_sources(spark, table_path, names)
         fresh = batch.join(F.broadcast(done), SOURCE_FILE_COL, "left_anti")
         stamped = fresh.withColumn(LOAD_TS_COL, as_ntz(now_utc()))
-        (stamped.select(*columns, SOURCE_FILE_COL, LOAD_TS_COL).write.mode("append")
-         .partitionBy(SOURCE_FILE_COL).parquet(table_path))
+        if stamped.isEmpty():
+            return
+        # dynamic overwrite of these files' partitions, then their ledger rows
+        write_batches(stamped.select(*columns, SOURCE_FILE_COL, LOAD_TS_COL), table_path)
 
     q = (stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
