@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.columns import grain_key, try_int, try_money
+from ledgerline.functions.columns import EVENT_CLOCK_ANCHOR, grain_key, try_int, try_money
 from ledgerline.functions.masking import mask_columns
 from ledgerline.plans.silver import stage
 from ledgerline.sources.raw import PII_COLUMNS
@@ -43,13 +43,21 @@ def trace_mart_cell(date_key: str, transaction_type: str, segment: str, fact: Da
     mart cell -> fact rows (day, type, customers of the segment) ->
     ``transaction_id`` -> bronze rows with the same recomputed key.  Both
     hops are semi joins, so no row is duplicated and nothing is collected.
+
+    The key embeds ``step`` and ``type``, so a raw row can only match when
+    its type is the cell's type (an equality pushed into the Parquet scan)
+    and its step falls on the cell's day (24 steps of the event clock); both
+    filters run before any hashing or shuffle and drop no matching row.
     """
+    day = F.lit(date_key).cast("date")
+    first_step = F.datediff(day, F.lit(EVENT_CLOCK_ANCHOR[:10]).cast("date")) * 24 + 1
+    candidates = bronze.filter((F.col("type") == transaction_type)
+                               & try_int("step").between(first_step, first_step + 23))
     customers = dim_customer.filter(F.col("segment") == segment).select(
         F.col("customer_key").alias("orig_customer_key"))
-    ids = (fact.filter((F.col("date_key") == F.lit(date_key).cast("date"))
-                       & (F.col("transaction_type") == transaction_type))
+    ids = (fact.filter((F.col("date_key") == day) & (F.col("transaction_type") == transaction_type))
            .join(customers, "orig_customer_key", "left_semi").select("transaction_id"))
-    return bronze_with_key(bronze).join(ids, "transaction_id", "left_semi")
+    return bronze_with_key(candidates).join(ids, "transaction_id", "left_semi")
 
 
 def raw_ids_absent(df: DataFrame, bronze: DataFrame, columns=PII_COLUMNS) -> DataFrame:
