@@ -39,6 +39,11 @@ def fragment(df: DataFrame, key: str, n: int, path: str) -> None:
      .write.mode("overwrite").parquet(path))
 
 
+def _row_hash(df: DataFrame):
+    """Deterministic 64-bit hash of the whole row (a tie-break key)."""
+    return F.xxhash64(*[F.col(c) for c in df.columns])
+
+
 def detail(spark: SparkSession, path: str) -> DataFrame:
     """``num_files``, ``size_bytes``, ``num_rows`` of a Parquet table."""
     files = (spark.read.parquet(path)
@@ -59,7 +64,10 @@ def compact(spark: SparkSession, path: str, out: str, target_bytes: int = DEFAUL
     n = _file_count(spark, path, target_bytes)
     df = spark.read.parquet(path)
     if cluster_by:
-        df = df.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
+        # row hash as last range key: a hot clustering value still spreads
+        # over several files instead of landing in one task
+        df = (df.withColumn("_tb", _row_hash(df)).repartitionByRange(n, *cluster_by, "_tb")
+              .sortWithinPartitions(*cluster_by).drop("_tb"))
     else:
         df = df.repartition(n)
     df.write.mode("overwrite").parquet(out)
@@ -72,7 +80,10 @@ def zorder(spark: SparkSession, path: str, out: str, cols: Sequence[str],
     n = n_files or _file_count(spark, path, target_bytes)
     df = spark.read.parquet(path)
     z = zorder_key(df, list(cols))
-    (df.withColumn("_z", z).repartitionByRange(n, "_z").sortWithinPartitions("_z").drop("_z")
+    # (z, row hash) as range key: rows sharing one Z value (a hot date x type
+    # cell) split over several files; each file's box stays one Z value wide
+    (df.withColumns({"_z": z, "_tb": _row_hash(df)}).repartitionByRange(n, "_z", "_tb")
+     .sortWithinPartitions("_z").drop("_z", "_tb")
      .write.mode("overwrite").parquet(out))
     return n
 

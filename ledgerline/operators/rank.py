@@ -34,7 +34,13 @@ def with_global_index(df: DataFrame, order: Sequence[Column | str],
     """Add a 0-based dense position under ``order``; returns (frame, row count)."""
     spark = df.sparkSession
     checkpoint_root(spark)
-    ordered = df.orderBy(*order).checkpoint(eager=True)
+    # A last tie-break makes every sort key unique, so even a group of
+    # identical rows holding a third of the input is spread over many range
+    # partitions (range partitioning cannot split one repeated key).  The id
+    # is taken in a projection before the sort and frozen by the checkpoint.
+    tb = "_gidx_tb"
+    ordered = (df.withColumn(tb, F.monotonically_increasing_id()).orderBy(*order, tb)
+               .checkpoint(eager=True).drop(tb))
     tagged = ordered.withColumns({"_pid": F.spark_partition_id(),
                                   "_mid": F.monotonically_increasing_id()})
     counts = {r["_pid"]: r["n"] for r in

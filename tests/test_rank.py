@@ -53,3 +53,22 @@ def test_tile_arithmetic_small(spark):
 def test_empty_input(spark):
     df = spark.createDataFrame([], "v long, k string")
     assert ntile_global(df, 3, ["v", "k"]).count() == 0
+
+
+def test_hot_identical_group_is_spread_over_partitions(spark):
+    """A third of the rows identical: the sorted, checkpointed frame must not
+    put them all into one range partition."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"  # tiny data would be merged back
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        hot = spark.range(0, 3000).select(F.lit(7).alias("v"))
+        rest = spark.range(0, 6000).select((F.col("id") % 977).alias("v"))
+        df = hot.unionByName(rest).repartition(8)
+        out, total = with_global_index(df, ["v"], "i")
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p"))
+                 .agg(F.count(F.lit(1)).alias("n")).collect()]
+    finally:
+        spark.conf.set(key, old)
+    assert total == 9000 and max(sizes) < 3000
+    assert sorted(r["i"] for r in out.select("i").collect()) == list(range(9000))
