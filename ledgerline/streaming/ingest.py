@@ -22,7 +22,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerline.operators.dedup import latest_by
 from ledgerline.operators.upsert import merge_latest
-from ledgerline.sources.bronze import loaded_sources, write_batches
+from ledgerline.sources.bronze import ensure_ledger, read_ledger, write_batches
 from ledgerline.sources.raw import (
     LOAD_TS_COL, NA_STRINGS, RAW_COLUMNS, SOURCE_FILE_COL, na_to_null, now_utc,
 )
@@ -42,23 +42,27 @@ def _re_escape(s: str) -> str:
 
 
 def ingest_stream(spark: SparkSession, in_dir: str, table_path: str, checkpoint: str,
-                  columns: Sequence[str] = RAW_COLUMNS, max_files_per_trigger: int | None = None,
+                  columns: Sequence[str] = RAW_COLUMNS, max_files_per_trigger: int = 1000,
                   na_strings: Sequence[str] = NA_STRINGS) -> None:
-    """Land every new CSV file under ``in_dir`` into bronze, once."""
+    """Land every new CSV file under ``in_dir`` into bronze, once.
+
+    Micro-batches hold at most ``max_files_per_trigger`` files, which bounds
+    the per-batch list of names the ledger records.  Files already in the
+    ledger are removed with an anti join against the ledger as a DataFrame
+    (no driver-side list; Spark sizes the join).
+    """
     schema = StructType([StructField(c, StringType(), True) for c in columns])
     reader = (spark.readStream.schema(schema).option("header", "true").option("escape", '"')
-              .option("recursiveFileLookup", "true"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+              .option("recursiveFileLookup", "true")
+              .option("maxFilesPerTrigger", str(max_files_per_trigger)))
     stream = reader.csv(in_dir).select(*[na_to_null(c, na_strings).alias(c) for c in columns],
                                        _relative_name(in_dir).alias(SOURCE_FILE_COL))
 
     def land(batch: DataFrame, epoch_id: int) -> None:
-        names = [r[0] for r in batch.select(SOURCE_FILE_COL).distinct().collect()]  # files per batch
-        if not names:
-            return
-        done = loaded_sources(spark, table_path, names)
-        fresh = batch.join(F.broadcast(done), SOURCE_FILE_COL, "left_anti")
+        ensure_ledger(spark, table_path)
+        done = read_ledger(spark, table_path)
+        fresh = batch if done is None else batch.join(
+            done.select(SOURCE_FILE_COL).distinct(), SOURCE_FILE_COL, "left_anti")
         stamped = fresh.withColumn(LOAD_TS_COL, as_ntz(now_utc()))
         if stamped.isEmpty():
             return
