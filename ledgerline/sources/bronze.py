@@ -107,6 +107,12 @@ def loaded_rows_sql(spark: SparkSession, table: str, source_file: str) -> int:
 
 
 def row_count(spark: SparkSession, path: str) -> int:
+    """Rows in the table: from the ledger (one row per batch, so no file
+    listing or footer reads over the data) when there is one, else a count."""
+    ledger = read_ledger(spark, path)
+    if ledger is not None:
+        per_batch = ledger.groupBy(SOURCE_FILE_COL).agg(F.max("rows").alias("rows"))
+        return int(per_batch.agg(F.sum("rows")).first()[0] or 0)
     return spark.read.parquet(path).count() if table_exists(spark, path) else 0
 
 
