@@ -1,7 +1,7 @@
 """Command line: the pipeline's entry points.
 
   python -m ledgerline ingest --bronze PATH --source CSV --name NAME
-  python -m ledgerline run --bronze PATH --root PATH [--threads 4] [--register]
+  python -m ledgerline run --bronze PATH --root PATH [--threads 4] [--register] [--incremental]
   python -m ledgerline layout --table PATH --out PATH --cols date_key,transaction_type
   python -m ledgerline profile --table PATH --col date_key --lo D --hi D
   python -m ledgerline sample --table PATH --n 10000 --out PATH
@@ -38,7 +38,8 @@ def cmd_run(args) -> dict:
     from ledgerline.plans import registry
     from ledgerline.sources import bronze
     spark = _session(args)
-    res = registry.run(spark, bronze.bronze_view(spark, args.bronze), args.root, threads=args.threads)
+    res = registry.run(spark, bronze.bronze_view(spark, args.bronze), args.root, threads=args.threads,
+                       incremental_silver=args.incremental, bronze_path=args.bronze)
     out = {"checks": len(res.checks), "passed": sum(r["status"] == "pass" for r in res.checks),
            "gate": res.gate[0].asDict(), "timings": res.timings}
     if args.register:
@@ -87,6 +88,8 @@ def main(argv=None) -> int:
     a.add_argument("--root", required=True)
     a.add_argument("--threads", type=int, default=4)
     a.add_argument("--register", action="store_true")
+    a.add_argument("--incremental", action="store_true",
+                   help="stage and merge only bronze batches not processed yet")
     a.set_defaults(fn=cmd_run)
     a = sub.add_parser("layout")
     a.add_argument("--table", required=True)
