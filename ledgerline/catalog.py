@@ -242,6 +242,28 @@ def q_rerun_idempotent(spark, sf_dir):
     return result.tables["gold.mart_daily_settled_volume"]
 
 
+def _incremental_lake(spark, sf_dir):
+    """Batch 0 lands and is processed; then batch 1 lands and only it is
+    staged and merged (plans.incremental)."""
+    from ledgerline.plans import incremental
+    bpath, root = scratch_path(spark, "bronze"), scratch_path(spark, "lake")
+    for which, (name, ts) in ((0, fixture.BATCH_0), (1, fixture.BATCH_1)):
+        bronze_table.ingest_batch(spark, bpath, name,
+                                  lambda w=which: fixture.batch(spark, sf_dir, w, stamped=False), ts)
+        incremental.update_silver(spark, bpath, root)
+    return root
+
+
+def q_silver_incremental(spark, sf_dir):
+    from ledgerline.plans import incremental
+    return incremental.read_silver(spark, _incremental_lake(spark, sf_dir))
+
+
+def q_audit_incremental(spark, sf_dir):
+    from ledgerline.plans import incremental
+    return incremental.audit(spark, _incremental_lake(spark, sf_dir))
+
+
 def q_dim_account(spark, sf_dir):
     return chain(spark, sf_dir).dim_account
 
@@ -446,6 +468,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_increment": q_fact_increment,
     "fact_merge": q_fact_merge,
     "rerun_idempotent": q_rerun_idempotent,
+    "silver_incremental": q_silver_incremental,
+    "audit_incremental": q_audit_incremental,
     "dim_account": q_dim_account,
     "customer_originated": q_customer_originated,
     "dim_customer": q_dim_customer,
