@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import layout, quality
 from ledgerline.operators.upsert import high_water_mark, upsert
-from ledgerline.plans import gold, governance, measures, registry, silver
+from ledgerline.plans import gold, governance, incremental, measures, registry, silver
 from ledgerline.plans.rollup import rollup
 from ledgerline.session import checkpoint_root, scratch_path
 from ledgerline.sources import bronze as bronze_table
@@ -245,7 +245,6 @@ def q_rerun_idempotent(spark, sf_dir):
 def _incremental_lake(spark, sf_dir):
     """Batch 0 lands and is processed; then batch 1 lands and only it is
     staged and merged (plans.incremental)."""
-    from ledgerline.plans import incremental
     bpath, root = scratch_path(spark, "bronze"), scratch_path(spark, "lake")
     for which, (name, ts) in ((0, fixture.BATCH_0), (1, fixture.BATCH_1)):
         bronze_table.ingest_batch(spark, bpath, name,
@@ -255,12 +254,10 @@ def _incremental_lake(spark, sf_dir):
 
 
 def q_silver_incremental(spark, sf_dir):
-    from ledgerline.plans import incremental
     return incremental.read_silver(spark, _incremental_lake(spark, sf_dir))
 
 
 def q_audit_incremental(spark, sf_dir):
-    from ledgerline.plans import incremental
     return incremental.audit(spark, _incremental_lake(spark, sf_dir))
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.contract import REASONS
 from ledgerline.operators import quality
 from ledgerline.operators.upsert import commit_watermark, high_water_mark, upsert
-from ledgerline.plans import gold, silver
+from ledgerline.plans import gold, incremental, silver
 from ledgerline.session import parquet_exists
 
 # Accepted values used by the data tests.
@@ -252,7 +252,6 @@ def run(spark: SparkSession, bronze: DataFrame, root: str, fail_fast: bool = Tru
     if incremental_silver:
         if not bronze_path:
             raise ValueError("incremental_silver needs bronze_path (its ledger lists the batches)")
-        from ledgerline.plans import incremental
         t0 = time.perf_counter()
         incremental.update_silver(spark, bronze_path, root)
         prebuilt = {"silver.stg_transactions": silver.stage(bronze),  # lazy; gold never reads it
