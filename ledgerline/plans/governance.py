@@ -75,3 +75,31 @@ def raw_ids_absent(df: DataFrame, bronze: DataFrame, columns=PII_COLUMNS) -> Dat
         vals = part if vals is None else vals.unionByName(part)
     leaked = vals.distinct().join(raw, "v", "left_semi")
     return leaked.agg(F.count(F.lit(1)).alias("raw_ids_found"))
+
+
+def register_bronze(spark, bronze_path: str, privileged: bool = False,
+                    view: str = "bronze_transactions_raw") -> str:
+    """Expose bronze to SQL with the mask bound in the view definition.
+
+    The mask expression (``***`` + last 4) is written into the view itself,
+    not called through a session function that could later be redefined,
+    so the view can never start returning raw ids, and there is no unmasked
+    window between landing and masking.  Refuses when a PII column is
+    missing.
+    """
+    from ledgerline.functions.masking import MASK_KEEP, MASK_PREFIX
+
+    df = spark.read.parquet(bronze_path)
+    missing = [c for c in PII_COLUMNS if c not in df.columns]
+    if missing:
+        raise ValueError(f"bronze at {bronze_path} lacks mask columns {missing}")
+    base = f"{view}__files"
+    df.createOrReplaceTempView(base)
+
+    def col(c):
+        if c in PII_COLUMNS and not privileged:
+            return f"concat('{MASK_PREFIX}', right(`{c}`, {MASK_KEEP})) AS `{c}`"
+        return f"`{c}`"
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {view} AS SELECT "
+              f"{', '.join(col(c) for c in df.columns)} FROM {base}")
+    return view

@@ -91,3 +91,23 @@ def test_delta_pct():
     assert layout.delta_pct(None, 3) == "n/a"
     assert layout.delta_pct(0, 3) == "0 -> 3"
     assert layout.delta_pct(96, 4) == "96 -> 4 (-96%)"
+
+
+def test_registered_bronze_view_is_masked(spark, tmp):
+    from ledgerline.plans.governance import register_bronze
+    from ledgerline.sources import bronze as bronze_table
+    path = os.path.join(tmp, "bronze")
+    bronze_table.ingest_batch(spark, path, "events/batch-0",
+                              lambda: fixture.batch(spark, SF001, 0, stamped=False), "2024-02-01 00:00:00")
+    view = register_bronze(spark, path)
+    ids = [r[0] for r in spark.sql(f"SELECT DISTINCT nameOrig FROM {view} WHERE nameOrig IS NOT NULL").collect()]
+    assert ids and all(v.startswith("***") for v in ids)
+    etl = register_bronze(spark, path, privileged=True, view="bronze_raw_etl")
+    ids = [r[0] for r in spark.sql(f"SELECT DISTINCT nameOrig FROM {etl} WHERE nameOrig IS NOT NULL").collect()]
+    assert ids and not any(v.startswith("***") for v in ids)
+    # registering a privileged view (or a privileged SQL function) never
+    # unmasks the consumer view: its mask is part of its definition
+    from ledgerline.functions.masking import register_sql_mask
+    register_sql_mask(spark, "mask_account", privileged=True)
+    ids = [r[0] for r in spark.sql(f"SELECT DISTINCT nameOrig FROM {view} WHERE nameOrig IS NOT NULL").collect()]
+    assert all(v.startswith("***") for v in ids)
