@@ -40,8 +40,10 @@ def fragment(df: DataFrame, key: str, n: int, path: str) -> None:
 
 
 def _row_hash(df: DataFrame):
-    """Deterministic 64-bit hash of the whole row (a tie-break key)."""
-    return F.xxhash64(*[F.col(c) for c in df.columns])
+    """Tie-break key from the row's physical identity in the Parquet table
+    being rewritten (file path + row index): unique even for identical rows
+    and the same on every recomputation."""
+    return F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
 
 
 def detail(spark: SparkSession, path: str) -> DataFrame:

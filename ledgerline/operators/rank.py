@@ -30,17 +30,27 @@ _LOW_BITS = 33
 
 
 def with_global_index(df: DataFrame, order: Sequence[Column | str],
-                      index_col: str = "_index") -> tuple[DataFrame, int]:
-    """Add a 0-based dense position under ``order``; returns (frame, row count)."""
+                      index_col: str = "_index", spread_ties: bool = False) -> tuple[DataFrame, int]:
+    """Add a 0-based dense position under ``order``; returns (frame, row count).
+
+    ``spread_ties``: when ``order`` may repeat (many identical keys), a row id
+    is added as the last sort key so a repeated key -- even a third of the
+    input -- spreads over many range partitions (range partitioning cannot
+    split one repeated key).  The ids are frozen by a reliable checkpoint
+    *before* the sort: a recomputed task after an executor loss then sees the
+    same ids, so no row can move to another range partition.  Callers whose
+    order is already unique (it ends with a key) leave it off.
+    """
     spark = df.sparkSession
     checkpoint_root(spark)
-    # A last tie-break makes every sort key unique, so even a group of
-    # identical rows holding a third of the input is spread over many range
-    # partitions (range partitioning cannot split one repeated key).  The id
-    # is taken in a projection before the sort and frozen by the checkpoint.
+    keys = list(order)
     tb = "_gidx_tb"
-    ordered = (df.withColumn(tb, F.monotonically_increasing_id()).orderBy(*order, tb)
-               .checkpoint(eager=True).drop(tb))
+    if spread_ties:
+        df = df.withColumn(tb, F.monotonically_increasing_id()).checkpoint(eager=True)
+        keys.append(tb)
+    ordered = df.orderBy(*keys).checkpoint(eager=True)
+    if spread_ties:
+        ordered = ordered.drop(tb)
     tagged = ordered.withColumns({"_pid": F.spark_partition_id(),
                                   "_mid": F.monotonically_increasing_id()})
     counts = {r["_pid"]: r["n"] for r in

@@ -21,7 +21,7 @@ def systematic_sample(df: DataFrame, n: int, order_by: Sequence[str | Column],
                       index_col: str = "_index") -> DataFrame:
     if n < 1:
         raise ValueError("sample size must be >= 1")
-    indexed, total = with_global_index(df, order_by, index_col)
+    indexed, total = with_global_index(df, order_by, index_col, spread_ties=True)
     stride = max(1, total // n)
     idx = F.col(index_col)
     return indexed.filter((F.pmod(idx, F.lit(stride)) == 0) & (idx < F.lit(n * stride)))

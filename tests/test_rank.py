@@ -65,7 +65,7 @@ def test_hot_identical_group_is_spread_over_partitions(spark):
         hot = spark.range(0, 3000).select(F.lit(7).alias("v"))
         rest = spark.range(0, 6000).select((F.col("id") % 977).alias("v"))
         df = hot.unionByName(rest).repartition(8)
-        out, total = with_global_index(df, ["v"], "i")
+        out, total = with_global_index(df, ["v"], "i", spread_ties=True)
         sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p"))
                  .agg(F.count(F.lit(1)).alias("n")).collect()]
     finally:
