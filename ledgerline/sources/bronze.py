@@ -80,15 +80,20 @@ def ensure_ledger(spark: SparkSession, path: str) -> None:
         spark.createDataFrame([], LEDGER_SCHEMA).write.mode("append").parquet(ledger_path(path))
 
 
-def write_batches(df: DataFrame, path: str) -> None:
+def write_batches(df: DataFrame, path: str, names: list[str] | None = None) -> None:
     """Land the batches in ``df`` (stamped, bronze schema): dynamic overwrite
     of exactly their ``_source_file`` partitions, then one ledger row per
-    batch.  Safe to repeat after a crash at any point."""
+    batch.  Safe to repeat after a crash at any point.
+
+    ``names`` (the batch names in ``df``) should be passed when known:
+    otherwise they are read from ``df``, which re-evaluates its source.
+    """
     spark = df.sparkSession
     ensure_ledger(spark, path)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(SOURCE_FILE_COL).option("compression", "zstd").parquet(path))
-    names = [r[0] for r in df.select(SOURCE_FILE_COL).distinct().collect()]  # batches in this write
+    if names is None:
+        names = [r[0] for r in df.select(SOURCE_FILE_COL).distinct().collect()]
     landed = (spark.read.parquet(path).filter(F.col(SOURCE_FILE_COL).isin(*names))
               .groupBy(SOURCE_FILE_COL).agg(F.count(F.lit(1)).alias("rows"),
                                             F.max(LOAD_TS_COL).alias(LOAD_TS_COL)))
@@ -133,7 +138,7 @@ def ingest_batch(spark: SparkSession, path: str, source_file: str,
     schema = bronze_schema(raw_cols, pii)
     stamped = stamp(df.select(*raw_cols), source_file, load_ts)
     stamped = stamped.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    write_batches(stamped, path)
+    write_batches(stamped, path, [source_file])
     return row_count(spark, path)
 
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -63,11 +64,16 @@ def ingest_stream(spark: SparkSession, in_dir: str, table_path: str, checkpoint:
         done = read_ledger(spark, table_path)
         fresh = batch if done is None else batch.join(
             done.select(SOURCE_FILE_COL).distinct(), SOURCE_FILE_COL, "left_anti")
-        stamped = fresh.withColumn(LOAD_TS_COL, as_ntz(now_utc()))
-        if stamped.isEmpty():
-            return
-        # dynamic overwrite of these files' partitions, then their ledger rows
-        write_batches(stamped.select(*columns, SOURCE_FILE_COL, LOAD_TS_COL), table_path)
+        # one parse of the micro-batch's files, shared by the name list and
+        # the write (executor-local; a lost block is recomputed from the files)
+        stamped = fresh.withColumn(LOAD_TS_COL, as_ntz(now_utc())).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            names = [r[0] for r in stamped.select(SOURCE_FILE_COL).distinct().collect()]
+            if names:
+                # dynamic overwrite of these files' partitions, then their ledger rows
+                write_batches(stamped.select(*columns, SOURCE_FILE_COL, LOAD_TS_COL), table_path, names)
+        finally:
+            stamped.unpersist()
 
     q = (stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
