@@ -22,7 +22,7 @@ from ledgerline.functions.contract import REASONS
 from ledgerline.operators import quality
 from ledgerline.operators.upsert import commit_watermark, high_water_mark, upsert
 from ledgerline.plans import gold, incremental, silver
-from ledgerline.session import parquet_exists
+from ledgerline.session import parquet_exists, scratch_path
 
 # Accepted values used by the data tests.
 TXN_TYPES = ("CASH_IN", "CASH_OUT", "TRANSFER", "PAYMENT", "DEBIT")
@@ -205,7 +205,12 @@ def _materialize(spark: SparkSession, m: Model, inputs: dict[str, DataFrame], ro
     path = os.path.join(root, m.layer, m.name)
     if m.materialized == "incremental":
         hw = high_water_mark(spark, path)
-        inc = df.filter(F.col("_load_ts") > F.lit(hw.isoformat(sep=" ")).cast("timestamp_ntz"))
+        # one filtered pass over silver; the upsert (touched dates, rewrite) and
+        # the new mark then read this small increment, not silver again
+        inc_path = scratch_path(spark, f"{m.name}-increment")
+        df.filter(F.col("_load_ts") > F.lit(hw.isoformat(sep=" ")).cast("timestamp_ntz")) \
+            .write.parquet(inc_path)
+        inc = spark.read.parquet(inc_path).select(*df.columns)
         # silver is unique per transaction_id by construction and the fact's
         # own `unique` test runs next, so the upsert's separate duplicate-key
         # aggregation (a full shuffle of the ids) is skipped here
