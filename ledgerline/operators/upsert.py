@@ -76,13 +76,26 @@ def increment(source: DataFrame, spark: SparkSession, target_path: str,
     return source.filter(F.col(col) > F.lit(hw.isoformat(sep=" ")).cast("timestamp_ntz"))
 
 
+def _staged(spark: SparkSession, updates: DataFrame, stage_updates: bool) -> DataFrame:
+    """The batch is read several times (checks, touched partitions, rewrite);
+    staging it once in the shared scratch folder evaluates its source once."""
+    if not stage_updates:
+        return updates
+    p = scratch_path(spark, "upsert-batch")
+    updates.write.parquet(p)
+    return spark.read.parquet(p).select(*updates.columns)
+
+
 def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = "transaction_id",
-           partition: str = "date_key", check_unique: bool = True) -> int:
+           partition: str = "date_key", check_unique: bool = True,
+           stage_updates: bool = True) -> int:
     """MERGE ``updates`` into the table at ``path`` on ``key``.
 
     Returns the number of touched partitions.  A batch holding the same key
-    twice is rejected: the result of such a MERGE is ambiguous.
+    twice is rejected: the result of such a MERGE is ambiguous.  Pass
+    ``stage_updates=False`` when ``updates`` is already a stored table.
     """
+    updates = _staged(spark, updates, stage_updates)
     if check_unique:
         dup = updates.groupBy(key).count().filter(F.col("count") > 1)
         if not dup.isEmpty():
@@ -112,13 +125,14 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = "trans
 
 def merge_latest(spark: SparkSession, path: str, updates: DataFrame, key: str = "transaction_id",
                  partition: str = "date_key",
-                 order=(("_load_ts", "desc"),)) -> int:
+                 order=(("_load_ts", "desc"),), stage_updates: bool = True) -> int:
     """Upsert where the row that ranks first under ``order`` wins, whether it
     is already in the table or in the batch -- an older correction arriving
     late never overwrites a newer one.  Same partition-scoped rewrite as
     ``upsert``."""
     from ledgerline.operators.dedup import latest_by
 
+    updates = _staged(spark, updates, stage_updates)
     if not _exists(spark, path):
         latest_by(updates, key, order).write.mode("overwrite").partitionBy(partition).parquet(path)
         return updates.select(partition).distinct().count()

@@ -76,7 +76,8 @@ def update_silver(spark: SparkSession, bronze_path: str, root: str) -> int:
     staged = spark.read.parquet(stg_path)
 
     eligible = silver.clean_eligible(staged).withColumn(EVENT_DATE, F.to_date("event_ts"))
-    merge_latest(spark, p["transactions"], eligible, "transaction_id", EVENT_DATE, silver.DEDUP_ORDER)
+    merge_latest(spark, p["transactions"], eligible, "transaction_id", EVENT_DATE, silver.DEDUP_ORDER,
+                 stage_updates=False)  # eligible reads the staged batch already written above
 
     (silver.quarantine(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(SOURCE_FILE_COL).parquet(p["quarantine"]))

@@ -214,7 +214,8 @@ def _materialize(spark: SparkSession, m: Model, inputs: dict[str, DataFrame], ro
         # silver is unique per transaction_id by construction and the fact's
         # own `unique` test runs next, so the upsert's separate duplicate-key
         # aggregation (a full shuffle of the ids) is skipped here
-        upsert(spark, path, inc, "transaction_id", m.partition_by or "date_key", check_unique=False)
+        upsert(spark, path, inc, "transaction_id", m.partition_by or "date_key", check_unique=False,
+               stage_updates=False)
         # the mark advances only after the upsert committed in full
         commit_watermark(spark, path, inc.agg(F.max("_load_ts")).first()[0])
         return spark.read.parquet(path).select(*df.columns)
