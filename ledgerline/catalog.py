@@ -373,19 +373,22 @@ def q_trace_mart_cell(spark, sf_dir):
 @dataclass
 class Layouts:
     fragmented: str
-    zordered: str
-    compacted: str
+    zordered: str | None
+    compacted: str | None
 
 
-def build_layouts(spark, sf_dir, n_files: int = LAYOUT_FILES) -> Layouts:
+def build_layouts(spark, sf_dir, n_files: int = LAYOUT_FILES,
+                  want: tuple[str, ...] = ("compacted", "zordered")) -> Layouts:
+    """The fragmented table plus the rewrites a query needs."""
     src = fixture.volume_fact(spark, sf_dir)
     frag, comp, zord = (scratch_path(spark, n) for n in ("frag", "compact", "zorder"))
     layout.fragment(src, "transaction_id", FRAGMENTS, frag)
-    size = layout.detail(spark, frag).first()["size_bytes"]
-    target = max(1, size // n_files + 1)
-    layout.compact(spark, frag, comp, target_bytes=target)
-    layout.zorder(spark, frag, zord, ["date_key", "transaction_type"], n_files=n_files)
-    return Layouts(frag, zord, comp)
+    if "compacted" in want:
+        size = layout.detail(spark, frag).first()["size_bytes"]
+        layout.compact(spark, frag, comp, target_bytes=max(1, size // n_files + 1))
+    if "zordered" in want:
+        layout.zorder(spark, frag, zord, ["date_key", "transaction_type"], n_files=n_files)
+    return Layouts(frag, zord if "zordered" in want else None, comp if "compacted" in want else None)
 
 
 def _type_totals(df: DataFrame) -> DataFrame:
@@ -401,18 +404,18 @@ def q_layout_fragment(spark, sf_dir):
 
 
 def q_layout_compact(spark, sf_dir):
-    lay = build_layouts(spark, sf_dir)
+    lay = build_layouts(spark, sf_dir, want=("compacted",))
     return spark.read.parquet(lay.compacted).groupBy("date_key").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("amount").cast("decimal(28,2)").alias("amount"))
 
 
 def q_layout_zorder(spark, sf_dir):
-    lay = build_layouts(spark, sf_dir)
+    lay = build_layouts(spark, sf_dir, want=("zordered",))
     return rollup(spark.read.parquet(lay.zordered), *VOLUME_WINDOW)
 
 
 def q_layout_rollup_equal(spark, sf_dir):
-    lay = build_layouts(spark, sf_dir)
+    lay = build_layouts(spark, sf_dir, want=("zordered",))
     keys = ["date_key", "transaction_type"]
     a = rollup(spark.read.parquet(lay.fragmented), *VOLUME_WINDOW, ordered=False)
     b = rollup(spark.read.parquet(lay.zordered), *VOLUME_WINDOW, ordered=False)
@@ -432,7 +435,7 @@ def q_layout_detail(spark, sf_dir):
 
 
 def q_layout_profile(spark, sf_dir):
-    lay = build_layouts(spark, sf_dir)
+    lay = build_layouts(spark, sf_dir, want=("zordered",))
     out = []
     for name, p in (("fragmented", lay.fragmented), ("zordered", lay.zordered)):
         m = layout.write_manifest(spark, p, ["date_key", "transaction_type"])
