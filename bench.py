@@ -21,7 +21,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from ledgerline import catalog  # noqa: E402
 from ledgerline.operators import layout  # noqa: E402

@@ -14,10 +14,9 @@ from collections import defaultdict
 
 sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from ledgerline.operators import layout  # noqa: E402
-from ledgerline.plans import gold, registry, silver  # noqa: E402
+from ledgerline.plans import gold, silver  # noqa: E402
 from ledgerline.plans.rollup import rollup  # noqa: E402
 from ledgerline.session import get_session, scratch_path  # noqa: E402
 from ledgerline.sources import bronze as bronze_table  # noqa: E402
