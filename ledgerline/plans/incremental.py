@@ -26,6 +26,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerline.functions.columns import as_ntz
 from ledgerline.operators.upsert import merge_latest
@@ -99,22 +100,39 @@ def update_silver(spark: SparkSession, bronze_path: str, root: str) -> int:
     return len(names)
 
 
-def read_silver(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(paths(root)["transactions"]).select(*silver.SILVER_COLUMNS)
+STATS_SCHEMA = ("bronze_rows bigint, bronze_amount decimal(28,2), eligible_rows bigint, "
+                "eligible_amount decimal(28,2), quarantine_rows bigint, quarantine_amount decimal(28,2), "
+                f"{SOURCE_FILE_COL} string")
 
 
-def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(paths(root)["quarantine"]).select(*silver.STAGED_COLUMNS)
+def _read(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A table that may have no files yet (e.g. no batch has quarantined a
+    row): an empty frame with the known schema instead of a failed read."""
+    if parquet_exists(spark, path):
+        return spark.read.parquet(path)
+    if schema is None:
+        raise FileNotFoundError(f"no table at {path} and no schema to fall back to")
+    return spark.createDataFrame([], schema)
 
 
-def audit(spark: SparkSession, root: str) -> DataFrame:
+def read_silver(spark: SparkSession, root: str, staged_schema=None) -> DataFrame:
+    schema = None if staged_schema is None else StructType(
+        [f for f in staged_schema.fields if f.name in silver.SILVER_COLUMNS])
+    return _read(spark, paths(root)["transactions"], schema).select(*silver.SILVER_COLUMNS)
+
+
+def read_quarantine(spark: SparkSession, root: str, staged_schema=None) -> DataFrame:
+    return _read(spark, paths(root)["quarantine"], staged_schema).select(*silver.STAGED_COLUMNS)
+
+
+def audit(spark: SparkSession, root: str, staged_schema=None) -> DataFrame:
     """The reconciliation row from per-batch statistics + silver totals
     (one aggregate over a UNION ALL, no join, no bronze scan)."""
     money = "decimal(28,2)"
-    stats = spark.read.parquet(paths(root)["stats"])
+    stats = _read(spark, paths(root)["stats"], STATS_SCHEMA)
     parts = stats.select(F.lit(0).alias("_p"), *STATS_COLUMNS,
                          F.lit(None).cast("decimal(18,2)").alias("amount")).unionByName(
-        read_silver(spark, root).select(F.lit(1).alias("_p"),
+        read_silver(spark, root, staged_schema).select(F.lit(1).alias("_p"),
                                         *[F.lit(None).cast("bigint" if c.endswith("rows") else money).alias(c)
                                           for c in STATS_COLUMNS], "amount"))
     s0 = F.col("_p") == 0

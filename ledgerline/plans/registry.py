@@ -199,6 +199,16 @@ class RunResult:
     timings: dict = field(default_factory=dict)  # model -> (materialise s, checks s)
 
 
+def _read_back(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
+    """The stored table in the model's column order.  An empty partitioned
+    write leaves no files, so an empty model reads back as an empty frame of
+    its own schema (downstream models and checks then see "empty", and the
+    gate reports it)."""
+    if parquet_exists(spark, path):
+        return spark.read.parquet(path).select(*df.columns)
+    return spark.createDataFrame([], df.schema)
+
+
 def _materialize(spark: SparkSession, m: Model, inputs: dict[str, DataFrame], root: str,
                  materialize_views: bool) -> DataFrame:
     df = m.build(spark, inputs)
@@ -210,7 +220,7 @@ def _materialize(spark: SparkSession, m: Model, inputs: dict[str, DataFrame], ro
         inc_path = scratch_path(spark, f"{m.name}-increment")
         df.filter(F.col("_load_ts") > F.lit(hw.isoformat(sep=" ")).cast("timestamp_ntz")) \
             .write.parquet(inc_path)
-        inc = spark.read.parquet(inc_path).select(*df.columns)
+        inc = _read_back(spark, inc_path, df)
         # silver is unique per transaction_id by construction and the fact's
         # own `unique` test runs next, so the upsert's separate duplicate-key
         # aggregation (a full shuffle of the ids) is skipped here
@@ -218,13 +228,13 @@ def _materialize(spark: SparkSession, m: Model, inputs: dict[str, DataFrame], ro
                stage_updates=False)
         # the mark advances only after the upsert committed in full
         commit_watermark(spark, path, inc.agg(F.max("_load_ts")).first()[0])
-        return spark.read.parquet(path).select(*df.columns)
+        return _read_back(spark, path, df)
     if m.materialized == "table" or materialize_views:
         w = df.write.mode("overwrite")
         if m.partition_by:
             w = w.partitionBy(m.partition_by)
         w.parquet(path)
-        return spark.read.parquet(path).select(*df.columns)
+        return _read_back(spark, path, df)
     return df
 
 
@@ -260,10 +270,12 @@ def run(spark: SparkSession, bronze: DataFrame, root: str, fail_fast: bool = Tru
             raise ValueError("incremental_silver needs bronze_path (its ledger lists the batches)")
         t0 = time.perf_counter()
         incremental.update_silver(spark, bronze_path, root)
-        prebuilt = {"silver.stg_transactions": silver.stage(bronze),  # lazy; gold never reads it
-                    "silver.transactions": incremental.read_silver(spark, root),
-                    "silver.transactions_quarantine": incremental.read_quarantine(spark, root),
-                    "silver.audit_silver_reconciliation": incremental.audit(spark, root)}
+        staged = silver.stage(bronze)  # lazy: only its schema is used, gold never reads it
+        schema = staged.schema
+        prebuilt = {"silver.stg_transactions": staged,
+                    "silver.transactions": incremental.read_silver(spark, root, schema),
+                    "silver.transactions_quarantine": incremental.read_quarantine(spark, root, schema),
+                    "silver.audit_silver_reconciliation": incremental.audit(spark, root, schema)}
         for q, df in prebuilt.items():
             tables[q] = df
             built.add(q)

@@ -168,3 +168,12 @@ def test_batch_with_equal_load_ts_is_skipped_by_the_fact(spark, tmp):
     silver_rows = second.tables["silver.transactions"].count()
     # ... but not in the fact: new events of that batch are missing there
     assert second.tables["gold.fact_transaction"].count() == n0 < silver_rows
+
+
+def test_empty_silver_run_stops_at_the_gate(spark, tmp):
+    """Every row quarantined: silver, dims, fact and mart are empty but
+    readable, all 49 checks pass, and the gate raises (fact is empty)."""
+    import pytest as _pytest
+    bad = fixture.bronze(spark, SF001).withColumn("nameDest", F.lit(""))
+    with _pytest.raises(Exception, match="fact_transaction is empty"):
+        registry.run(spark, bad, os.path.join(tmp, "lake"))

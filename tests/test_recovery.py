@@ -89,3 +89,21 @@ def test_incremental_silver_equals_full_rebuild(spark, tmp):
     again = registry.run(spark, bronze_table.bronze_view(spark, bpath), root,
                          incremental_silver=True, bronze_path=bpath)
     assert rows(again, "silver.transactions") == rows(full, "silver.transactions")
+
+
+def test_incremental_silver_with_no_quarantined_rows(spark, tmp):
+    """A first batch with only clean rows: the quarantine table is empty but
+    readable, and every check and the gate pass."""
+    from datetime import datetime as _dt
+    from ledgerline.sources.raw import RAW_COLUMNS
+    bpath, root = os.path.join(tmp, "bronze"), os.path.join(tmp, "lake")
+    row = {"step": "1", "type": "PAYMENT", "amount": "10.00", "nameOrig": "C1", "oldbalanceOrg": "100",
+           "newbalanceOrig": "90", "nameDest": "M1", "oldbalanceDest": "0", "newbalanceDest": "0",
+           "isFraud": "0", "isFlaggedFraud": "0"}
+    df = spark.createDataFrame([tuple(row[c] for c in RAW_COLUMNS)], ", ".join(f"{c} string" for c in RAW_COLUMNS))
+    bronze_table.ingest_batch(spark, bpath, "clean-only", df, _dt(2024, 2, 1))
+    res = registry.run(spark, bronze_table.bronze_view(spark, bpath), root,
+                       incremental_silver=True, bronze_path=bpath)
+    assert res.tables["silver.transactions_quarantine"].count() == 0
+    assert res.tables["silver.transactions"].count() == 1
+    assert tuple(res.gate[0]) == (True, True, True)
