@@ -80,6 +80,19 @@ def ensure_ledger(spark: SparkSession, path: str) -> None:
         spark.createDataFrame([], LEDGER_SCHEMA).write.mode("append").parquet(ledger_path(path))
 
 
+def partition_path(path: str, source_file: str) -> str:
+    """Folder of one batch.  Safe names use only ``[A-Za-z0-9._/-]``; of these
+    Spark escapes just ``/`` (as ``%2F``) in partition folder names."""
+    validate_source_name(source_file)
+    return f"{path.rstrip('/')}/{SOURCE_FILE_COL}={source_file.replace('/', '%2F')}"
+
+
+def read_batches(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """Only the given batches' folders (no listing of the whole table)."""
+    return (spark.read.option("basePath", path)
+            .parquet(*[partition_path(path, n) for n in names]))
+
+
 def write_batches(df: DataFrame, path: str, names: list[str] | None = None) -> None:
     """Land the batches in ``df`` (stamped, bronze schema): dynamic overwrite
     of exactly their ``_source_file`` partitions, then one ledger row per
@@ -94,7 +107,9 @@ def write_batches(df: DataFrame, path: str, names: list[str] | None = None) -> N
      .partitionBy(SOURCE_FILE_COL).option("compression", "zstd").parquet(path))
     if names is None:
         names = [r[0] for r in df.select(SOURCE_FILE_COL).distinct().collect()]
-    landed = (spark.read.parquet(path).filter(F.col(SOURCE_FILE_COL).isin(*names))
+    if not names:
+        return
+    landed = (read_batches(spark, path, names)
               .groupBy(SOURCE_FILE_COL).agg(F.count(F.lit(1)).alias("rows"),
                                             F.max(LOAD_TS_COL).alias(LOAD_TS_COL)))
     (landed.select(SOURCE_FILE_COL, "rows", LOAD_TS_COL, as_ntz(now_utc()).alias("committed_at"))

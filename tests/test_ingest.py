@@ -100,3 +100,13 @@ def test_stream_lands_each_file_once(spark, tmp):
     t = spark.read.parquet(table)
     assert t.count() == 1048
     assert t.filter(F.col("_source_file").startswith("/")).count() == 0
+
+
+def test_partition_path_matches_spark_escaping(spark, tmp):
+    path = os.path.join(tmp, "bronze")
+    for name in ("events/batch-0", "a.b_c-d"):
+        bronze_table.ingest_batch(spark, path, name, lambda: fixture.batch(spark, SF001, 1, stamped=False),
+                                  "2024-02-02 00:00:00")
+        assert os.path.isdir(bronze_table.partition_path(path, name))
+    got = bronze_table.read_batches(spark, path, ["events/batch-0"])
+    assert got.select("_source_file").distinct().collect()[0][0] == "events/batch-0"
