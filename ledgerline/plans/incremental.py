@@ -64,14 +64,12 @@ def new_batches(spark: SparkSession, bronze_path: str, root: str) -> DataFrame:
 def update_silver(spark: SparkSession, bronze_path: str, root: str) -> int:
     """Process the new batches; returns how many there were."""
     p = paths(root)
-    # batch names, not rows: one entry per landed batch (metadata-sized); as a
-    # literal set they become partition filters, so only the new batches'
-    # folders of bronze are listed and read
+    # batch names, not rows: one entry per landed batch (metadata-sized)
     names = sorted(r[0] for r in new_batches(spark, bronze_path, root).collect())
     if not names:
         return 0
-    bronze = bronze_table.bronze_view(spark, bronze_path)
-    staged = silver.stage(bronze.filter(F.col(SOURCE_FILE_COL).isin(*names)))
+    # only the new batches' folders are listed and read
+    staged = silver.stage(bronze_table.read_batches(spark, bronze_path, names))
     stg_path = scratch_path(spark, "stg-new")
     staged.write.parquet(stg_path)  # written once, read by the three consumers below
     staged = spark.read.parquet(stg_path)
