@@ -17,3 +17,12 @@ DEFAULT_MAX_ROWS = 1_000_000
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def sort_bounded(df: DataFrame, *cols) -> DataFrame:
+    """Total order for a result whose row count is bounded by its grouping
+    keys (days x types, a handful of segments).  The aggregate before it
+    stays parallel; only the bounded output moves, through one small
+    exchange, into a single sorting task -- no range-partition sampling job.
+    Not for data-sized frames: use ``orderBy`` there."""
+    return df.repartition(1).sortWithinPartitions(*cols)

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.operators.sizing import sort_bounded
+
 MONEY_SUM = "decimal(28,2)"
 
 
@@ -56,7 +58,8 @@ def kpi_fraud_rate(mart: DataFrame) -> DataFrame:
 def _by(mart: DataFrame, dim: str, measure: Column, name: str, descending: bool = True) -> DataFrame:
     out = mart.groupBy(dim).agg(measure.alias(name))
     order = [F.col(name).desc(), F.col(dim)] if descending else [F.col(dim)]
-    return out.orderBy(*order)
+    # one row per type / segment / day: bounded, sorted in one small task
+    return sort_bounded(out, *order)
 
 
 def volume_by_type(mart: DataFrame) -> DataFrame:
