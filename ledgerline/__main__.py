@@ -39,7 +39,8 @@ def cmd_run(args) -> dict:
     from ledgerline.sources import bronze
     spark = _session(args)
     res = registry.run(spark, bronze.bronze_view(spark, args.bronze), args.root, threads=args.threads,
-                       incremental_silver=args.incremental, bronze_path=args.bronze)
+                       incremental_silver=args.incremental, bronze_path=args.bronze,
+                       fact_buckets=args.fact_buckets)
     out = {"checks": len(res.checks), "passed": sum(r["status"] == "pass" for r in res.checks),
            "gate": res.gate[0].asDict(), "timings": res.timings}
     if args.register:
@@ -90,6 +91,8 @@ def main(argv=None) -> int:
     a.add_argument("--register", action="store_true")
     a.add_argument("--incremental", action="store_true",
                    help="stage and merge only bronze batches not processed yet")
+    a.add_argument("--fact-buckets", type=int, default=None,
+                   help="key buckets per fact date partition (new fact tables only)")
     a.set_defaults(fn=cmd_run)
     a = sub.add_parser("layout")
     a.add_argument("--table", required=True)

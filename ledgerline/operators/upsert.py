@@ -20,6 +20,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.operators.sizing import broadcast_if_bounded
 from ledgerline.session import parquet_exists, scratch_path
 
 # High-water mark used when the target is empty.
@@ -86,43 +87,76 @@ def _staged(spark: SparkSession, updates: DataFrame, stage_updates: bool) -> Dat
     return spark.read.parquet(p).select(*updates.columns)
 
 
+BUCKET_PREFIX = "_bucket_of_"
+
+
+def bucket_column(spark: SparkSession, path: str, requested: int | None) -> str | None:
+    """Name of the key-bucket partition column, ``_bucket_of_<B>``.
+
+    An existing table's own column decides (the bucket count is part of its
+    name, so the layout is self-describing and survives any crash); a new
+    table uses ``requested``.  ``None`` means no key buckets.
+    """
+    if _exists(spark, path):
+        cols = [c for c in spark.read.parquet(path).columns if c.startswith(BUCKET_PREFIX)]
+        return cols[0] if cols else None
+    return f"{BUCKET_PREFIX}{requested}" if requested and requested > 1 else None
+
+
 def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = "transaction_id",
            partition: str = "date_key", check_unique: bool = True,
-           stage_updates: bool = True) -> int:
+           stage_updates: bool = True, buckets: int | None = None) -> int:
     """MERGE ``updates`` into the table at ``path`` on ``key``.
 
-    Returns the number of touched partitions.  A batch holding the same key
-    twice is rejected: the result of such a MERGE is ambiguous.  Pass
-    ``stage_updates=False`` when ``updates`` is already a stored table.
+    Returns the number of rewritten partition folders.  A batch holding the
+    same key twice is rejected: the result of such a MERGE is ambiguous.
+    Pass ``stage_updates=False`` when ``updates`` is already a stored table.
+
+    ``buckets`` (new tables only) adds a second partition level,
+    ``pmod(xxhash64(key), B)``: the rewrite unit becomes one (date, bucket)
+    folder, so scattered late corrections rewrite the buckets they touch,
+    not whole days.  Size B so one folder is a few hundred MB.
     """
     updates = _staged(spark, updates, stage_updates)
     if check_unique:
         dup = updates.groupBy(key).count().filter(F.col("count") > 1)
         if not dup.isEmpty():
             raise ValueError(f"upsert batch has duplicate {key} values, e.g. {dup.first()}")
+    bcol = bucket_column(spark, path, buckets)
+    parts = [partition]
+    if bcol:
+        n = int(bcol[len(BUCKET_PREFIX):])
+        updates = updates.withColumn(bcol, F.pmod(F.xxhash64(F.col(key)), F.lit(n)))
+        parts.append(bcol)
     if not _exists(spark, path):
-        updates.write.mode("overwrite").partitionBy(partition).parquet(path)
-        return updates.select(partition).distinct().count()
-    # Touched partition values: one row per partition, a bounded list.
-    touched = [r[0] for r in updates.select(partition).distinct().collect()]
+        updates.write.mode("overwrite").partitionBy(*parts).parquet(path)
+        return updates.select(*parts).distinct().count()
+    # Touched folders: one row per (date[, bucket]) -- bounded by the layout.
+    touched = [tuple(r) for r in updates.select(*parts).distinct().collect()]
     if not touched:
         return 0
-    non_null = [t for t in touched if t is not None]
     target = spark.read.parquet(path)
+    dates = [t[0] for t in touched]
+    non_null = sorted({d for d in dates if d is not None})
     pred = F.col(partition).isin(*non_null) if non_null else F.lit(False)
-    if len(non_null) != len(touched):
+    if len(non_null) != len(set(dates)):
         pred = pred | F.col(partition).isNull()
-    current = target.filter(pred)  # partition pruning: only touched folders
+    if bcol:
+        pred = pred & F.col(bcol).isin(*sorted({t[1] for t in touched}))
+    current = target.filter(pred)  # static partition pruning: touched dates x buckets
+    if bcol:
+        # narrow the date x bucket superset to exactly the touched pairs
+        pairs = broadcast_if_bounded(updates.select(*parts).distinct(), 1_000_000)
+        current = current.join(pairs, [c for c in parts], "left_semi")
     kept = current.join(updates.select(key), key, "left_anti")
     merged = kept.unionByName(updates.select(*target.columns))
     staged = scratch_path(spark, "upsert-stage")
-    merged.write.mode("overwrite").partitionBy(partition).parquet(staged)
+    merged.write.mode("overwrite").partitionBy(*parts).parquet(staged)
     (spark.read.parquet(staged).select(*target.columns).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
     return len(touched)
 
 
-
 def merge_latest(spark: SparkSession, path: str, updates: DataFrame, key: str = "transaction_id",
                  partition: str = "date_key",
                  order=(("_load_ts", "desc"),), stage_updates: bool = True) -> int:

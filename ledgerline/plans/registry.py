@@ -210,7 +210,7 @@ def _read_back(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
 
 
 def _materialize(spark: SparkSession, m: Model, inputs: dict[str, DataFrame], root: str,
-                 materialize_views: bool) -> DataFrame:
+                 materialize_views: bool, fact_buckets: int | None = None) -> DataFrame:
     df = m.build(spark, inputs)
     path = os.path.join(root, m.layer, m.name)
     if m.materialized == "incremental":
@@ -225,7 +225,7 @@ def _materialize(spark: SparkSession, m: Model, inputs: dict[str, DataFrame], ro
         # own `unique` test runs next, so the upsert's separate duplicate-key
         # aggregation (a full shuffle of the ids) is skipped here
         upsert(spark, path, inc, "transaction_id", m.partition_by or "date_key", check_unique=False,
-               stage_updates=False)
+               stage_updates=False, buckets=fact_buckets)
         # the mark advances only after the upsert committed in full
         commit_watermark(spark, path, inc.agg(F.max("_load_ts")).first()[0])
         return _read_back(spark, path, df)
@@ -244,7 +244,7 @@ def _check(m: Model, df: DataFrame, tables: dict[str, DataFrame]) -> list:
 
 def run(spark: SparkSession, bronze: DataFrame, root: str, fail_fast: bool = True,
         materialize_views: bool = True, threads: int = 4, incremental_silver: bool = False,
-        bronze_path: str | None = None) -> RunResult:
+        bronze_path: str | None = None, fact_buckets: int | None = None) -> RunResult:
     """Build every model into ``root/<layer>/<name>`` and check it.
 
     Models run as soon as their inputs are built *and* checked, up to
@@ -255,6 +255,9 @@ def run(spark: SparkSession, bronze: DataFrame, root: str, fail_fast: bool = Tru
     flight finishes, and the failure is raised: what is downstream of a
     failed model is never built.
 
+    ``fact_buckets`` gives a new fact table a second partition level of key
+    buckets, so an upsert rewrites (date, bucket) folders instead of days.
+
     ``incremental_silver`` (needs ``bronze_path``) replaces the full silver
     rebuild by ``plans.incremental.update_silver``: only new bronze batches
     are staged and merged, and the silver tables are then checked as usual.
@@ -292,7 +295,8 @@ def run(spark: SparkSession, bronze: DataFrame, root: str, fail_fast: bool = Tru
                 for q in [q for q in to_build if all(d in passed for d in models[q].depends_on)]:
                     to_build.remove(q)
                     inputs = {d: tables[d] for d in models[q].depends_on}
-                    fut = pool.submit(_materialize, spark, models[q], inputs, root, materialize_views)
+                    fut = pool.submit(_materialize, spark, models[q], inputs, root, materialize_views,
+                                      fact_buckets)
                     running[fut] = ("build", q, time.perf_counter())
                 for q in [q for q in to_check if check_parents[q] <= built]:
                     to_check.remove(q)
