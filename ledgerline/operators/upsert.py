@@ -103,25 +103,16 @@ def bucket_column(spark: SparkSession, path: str, requested: int | None) -> str
     return f"{BUCKET_PREFIX}{requested}" if requested and requested > 1 else None
 
 
-def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = "transaction_id",
-           partition: str = "date_key", check_unique: bool = True,
-           stage_updates: bool = True, buckets: int | None = None) -> int:
-    """MERGE ``updates`` into the table at ``path`` on ``key``.
-
-    Returns the number of rewritten partition folders.  A batch holding the
-    same key twice is rejected: the result of such a MERGE is ambiguous.
-    Pass ``stage_updates=False`` when ``updates`` is already a stored table.
-
-    ``buckets`` (new tables only) adds a second partition level,
-    ``pmod(xxhash64(key), B)``: the rewrite unit becomes one (date, bucket)
-    folder, so scattered late corrections rewrite the buckets they touch,
-    not whole days.  Size B so one folder is a few hundred MB.
+def _rewrite(spark: SparkSession, path: str, updates: DataFrame, key: str, partition: str,
+             buckets: int | None, combine, first_write) -> int:
+    """Partition-scoped rewrite shared by ``upsert`` and ``merge_latest``.
+
+    Only the folders the batch touches -- (date) or (date, key bucket) -- are
+    read (static partition filters, narrowed to the exact touched pairs),
+    ``combine(current, updates)`` merges them, and those folders alone are
+    rewritten through a staged copy with dynamic partition overwrite.
+    Returns the number of rewritten folders.
     """
-    updates = _staged(spark, updates, stage_updates)
-    if check_unique:
-        dup = updates.groupBy(key).count().filter(F.col("count") > 1)
-        if not dup.isEmpty():
-            raise ValueError(f"upsert batch has duplicate {key} values, e.g. {dup.first()}")
     bcol = bucket_column(spark, path, buckets)
     parts = [partition]
     if bcol:
@@ -129,7 +120,7 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = "trans
         updates = updates.withColumn(bcol, F.pmod(F.xxhash64(F.col(key)), F.lit(n)))
         parts.append(bcol)
     if not _exists(spark, path):
-        updates.write.mode("overwrite").partitionBy(*parts).parquet(path)
+        first_write(updates).write.mode("overwrite").partitionBy(*parts).parquet(path)
         return updates.select(*parts).distinct().count()
     # Touched folders: one row per (date[, bucket]) -- bounded by the layout.
     touched = [tuple(r) for r in updates.select(*parts).distinct().collect()]
@@ -147,41 +138,50 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = "trans
     if bcol:
         # narrow the date x bucket superset to exactly the touched pairs
         pairs = broadcast_if_bounded(updates.select(*parts).distinct(), 1_000_000)
-        current = current.join(pairs, [c for c in parts], "left_semi")
-    kept = current.join(updates.select(key), key, "left_anti")
-    merged = kept.unionByName(updates.select(*target.columns))
-    staged = scratch_path(spark, "upsert-stage")
+        current = current.join(pairs, parts, "left_semi")
+    merged = combine(current, updates.select(*target.columns))
+    staged = scratch_path(spark, "rewrite-stage")
     merged.write.mode("overwrite").partitionBy(*parts).parquet(staged)
     (spark.read.parquet(staged).select(*target.columns).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
     return len(touched)
 
 
+def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = "transaction_id",
+           partition: str = "date_key", check_unique: bool = True,
+           stage_updates: bool = True, buckets: int | None = None) -> int:
+    """MERGE ``updates`` into the table at ``path`` on ``key``: rows of the
+    batch replace the target rows with the same key, other rows are inserted.
+
+    Returns the number of rewritten partition folders.  A batch holding the
+    same key twice is rejected: the result of such a MERGE is ambiguous.
+    Pass ``stage_updates=False`` when ``updates`` is already a stored table.
+
+    ``buckets`` (new tables only) adds a second partition level,
+    ``pmod(xxhash64(key), B)``: the rewrite unit becomes one (date, bucket)
+    folder, so scattered late corrections rewrite the buckets they touch,
+    not whole days.  Size B so one folder is a few hundred MB.
+    """
+    updates = _staged(spark, updates, stage_updates)
+    if check_unique:
+        dup = updates.groupBy(key).count().filter(F.col("count") > 1)
+        if not dup.isEmpty():
+            raise ValueError(f"upsert batch has duplicate {key} values, e.g. {dup.first()}")
+    return _rewrite(spark, path, updates, key, partition, buckets,
+                    lambda cur, upd: cur.join(upd.select(key), key, "left_anti").unionByName(upd),
+                    lambda upd: upd)
+
+
 def merge_latest(spark: SparkSession, path: str, updates: DataFrame, key: str = "transaction_id",
-                 partition: str = "date_key",
-                 order=(("_load_ts", "desc"),), stage_updates: bool = True) -> int:
+                 partition: str = "date_key", order=(("_load_ts", "desc"),),
+                 stage_updates: bool = True, buckets: int | None = None) -> int:
     """Upsert where the row that ranks first under ``order`` wins, whether it
     is already in the table or in the batch -- an older correction arriving
-    late never overwrites a newer one.  Same partition-scoped rewrite as
-    ``upsert``."""
+    late never overwrites a newer one.  Same partition-scoped rewrite (and
+    optional key buckets) as ``upsert``."""
     from ledgerline.operators.dedup import latest_by
 
     updates = _staged(spark, updates, stage_updates)
-    if not _exists(spark, path):
-        latest_by(updates, key, order).write.mode("overwrite").partitionBy(partition).parquet(path)
-        return updates.select(partition).distinct().count()
-    touched = [r[0] for r in updates.select(partition).distinct().collect()]
-    if not touched:
-        return 0
-    target = spark.read.parquet(path)
-    non_null = [t for t in touched if t is not None]
-    pred = F.col(partition).isin(*non_null) if non_null else F.lit(False)
-    if len(non_null) != len(touched):
-        pred = pred | F.col(partition).isNull()
-    combined = target.filter(pred).unionByName(updates.select(*target.columns))
-    merged = latest_by(combined, key, order)
-    staged = scratch_path(spark, "merge-stage")
-    merged.write.mode("overwrite").partitionBy(partition).parquet(staged)
-    (spark.read.parquet(staged).select(*target.columns).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
-    return len(touched)
+    return _rewrite(spark, path, updates, key, partition, buckets,
+                    lambda cur, upd: latest_by(cur.unionByName(upd), key, order),
+                    lambda upd: latest_by(upd, key, order))

@@ -224,3 +224,16 @@ def test_registry_with_bucketed_fact_matches(spark, tmp):
     assert got == want
     assert any(c.startswith("_bucket_of_4") for c in
                spark.read.parquet(os.path.join(tmp, "lake", "gold", "fact_transaction")).columns)
+
+
+def test_bucketed_merge_latest_keeps_newest(spark, tmp):
+    path = os.path.join(tmp, "silver_b")
+    schema = "transaction_id string, date_key date, amount int, _load_ts timestamp_ntz"
+    d1 = datetime(2023, 1, 1).date()
+    rows = [(f"t{i}", d1, i, datetime(2024, 1, 3)) for i in range(20)]
+    merge_latest(spark, path, spark.createDataFrame(rows, schema), buckets=4)
+    late_old = spark.createDataFrame([("t3", d1, -1, datetime(2024, 1, 2)), ("t99", d1, 99, datetime(2024, 1, 2))],
+                                     schema)
+    merge_latest(spark, path, late_old, buckets=4)
+    got = {r["transaction_id"]: r["amount"] for r in spark.read.parquet(path).collect()}
+    assert got["t3"] == 3 and got["t99"] == 99 and len(got) == 21
