@@ -61,8 +61,10 @@ def new_batches(spark: SparkSession, bronze_path: str, root: str) -> DataFrame:
     return landed
 
 
-def update_silver(spark: SparkSession, bronze_path: str, root: str) -> int:
-    """Process the new batches; returns how many there were."""
+def update_silver(spark: SparkSession, bronze_path: str, root: str, buckets: int | None = None) -> int:
+    """Process the new batches; returns how many there were.  ``buckets``
+    (new silver tables only) adds key buckets under the event-date folders,
+    so a merge rewrites (date, bucket) folders instead of whole days."""
     p = paths(root)
     # batch names, not rows: one entry per landed batch (metadata-sized)
     names = sorted(r[0] for r in new_batches(spark, bronze_path, root).collect())
@@ -76,7 +78,8 @@ def update_silver(spark: SparkSession, bronze_path: str, root: str) -> int:
 
     eligible = silver.clean_eligible(staged).withColumn(EVENT_DATE, F.to_date("event_ts"))
     merge_latest(spark, p["transactions"], eligible, "transaction_id", EVENT_DATE, silver.DEDUP_ORDER,
-                 stage_updates=False)  # eligible reads the staged batch already written above
+                 stage_updates=False,  # eligible reads the staged batch already written above
+                 buckets=buckets)
 
     (silver.quarantine(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(SOURCE_FILE_COL).parquet(p["quarantine"]))

@@ -244,7 +244,8 @@ def _check(m: Model, df: DataFrame, tables: dict[str, DataFrame]) -> list:
 
 def run(spark: SparkSession, bronze: DataFrame, root: str, fail_fast: bool = True,
         materialize_views: bool = True, threads: int = 4, incremental_silver: bool = False,
-        bronze_path: str | None = None, fact_buckets: int | None = None) -> RunResult:
+        bronze_path: str | None = None, fact_buckets: int | None = None,
+        silver_buckets: int | None = None) -> RunResult:
     """Build every model into ``root/<layer>/<name>`` and check it.
 
     Models run as soon as their inputs are built *and* checked, up to
@@ -260,7 +261,8 @@ def run(spark: SparkSession, bronze: DataFrame, root: str, fail_fast: bool = Tru
 
     ``incremental_silver`` (needs ``bronze_path``) replaces the full silver
     rebuild by ``plans.incremental.update_silver``: only new bronze batches
-    are staged and merged, and the silver tables are then checked as usual.
+    are staged and merged (``silver_buckets`` as for the fact), and the
+    silver tables are then checked as usual.
     """
     models = {m.qualified: m for m in topo_order()}
     tables: dict[str, DataFrame] = {"bronze.transactions_raw": bronze}
@@ -272,7 +274,7 @@ def run(spark: SparkSession, bronze: DataFrame, root: str, fail_fast: bool = Tru
         if not bronze_path:
             raise ValueError("incremental_silver needs bronze_path (its ledger lists the batches)")
         t0 = time.perf_counter()
-        incremental.update_silver(spark, bronze_path, root)
+        incremental.update_silver(spark, bronze_path, root, silver_buckets)
         staged = silver.stage(bronze)  # lazy: only its schema is used, gold never reads it
         schema = staged.schema
         prebuilt = {"silver.stg_transactions": staged,

@@ -3,6 +3,7 @@ commit is repaired by simply running again."""
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators.upsert import commit_watermark, high_water_mark, upsert
@@ -67,15 +68,18 @@ def test_watermark_is_monotonic_and_hidden_from_reads(spark, tmp):
     assert spark.read.parquet(path).columns == ["transaction_id", "_load_ts", "date_key"]
 
 
-def test_incremental_silver_equals_full_rebuild(spark, tmp):
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_incremental_silver_equals_full_rebuild(spark, tmp, buckets):
     """Two runs that each process only the new batch give the same silver,
-    quarantine, audit, fact and mart as one full rebuild over both."""
+    quarantine, audit, fact and mart as one full rebuild over both (with and
+    without key buckets under the date folders)."""
     bpath, root = os.path.join(tmp, "bronze"), os.path.join(tmp, "lake")
     for which, (name, ts) in ((0, fixture.BATCH_0), (1, fixture.BATCH_1)):
         bronze_table.ingest_batch(spark, bpath, name,
                                   lambda w=which: fixture.batch(spark, SF001, w, stamped=False), ts)
         inc = registry.run(spark, bronze_table.bronze_view(spark, bpath), root,
-                           incremental_silver=True, bronze_path=bpath)
+                           incremental_silver=True, bronze_path=bpath, silver_buckets=buckets,
+                           fact_buckets=buckets)
     assert all(r["status"] == "pass" for r in inc.checks) and len(inc.checks) == 49
     full = registry.run(spark, bronze_table.bronze_view(spark, bpath), os.path.join(tmp, "full"))
 
@@ -87,7 +91,8 @@ def test_incremental_silver_equals_full_rebuild(spark, tmp):
         assert rows(inc, name) == rows(full, name), name
     # a third run finds no new batch and changes nothing
     again = registry.run(spark, bronze_table.bronze_view(spark, bpath), root,
-                         incremental_silver=True, bronze_path=bpath)
+                         incremental_silver=True, bronze_path=bpath, silver_buckets=buckets,
+                         fact_buckets=buckets)
     assert rows(again, "silver.transactions") == rows(full, "silver.transactions")
 
 
