@@ -121,3 +121,21 @@ def test_cli_ingest_run_register(spark, tmp):
     assert "gold.mart_daily_settled_volume" in out["tables"]
     n = spark.sql("SELECT count(*) FROM gold.fact_transaction WHERE date_key >= DATE'2023-01-15'").first()[0]
     assert n > 0
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    """Event clock, calendar and mart computed under a non-UTC session zone
+    equal the UTC results (every clock is TIMESTAMP_NTZ)."""
+    from ledgerline import catalog
+    key = "spark.sql.session.timeZone"
+    old = spark.conf.get(key)
+    out = {}
+    try:
+        for tz in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set(key, tz)
+            out[tz] = [sorted(tuple(r) for r in q(spark, SF001).collect())
+                       for q in (catalog.q_stg_event_clock, catalog.q_dim_date, catalog.q_mart,
+                                 catalog.q_bronze_stamp)]
+    finally:
+        spark.conf.set(key, old)
+    assert out["UTC"] == out["America/New_York"] == out["Asia/Kolkata"]
