@@ -2,6 +2,7 @@
 
   python -m ledgerline ingest --bronze PATH --source CSV --name NAME
   python -m ledgerline run --bronze PATH --root PATH [--threads 4] [--register] [--incremental]
+                          [--fact-buckets B] [--silver-buckets B]
   python -m ledgerline layout --table PATH --out PATH --cols date_key,transaction_type
   python -m ledgerline profile --table PATH --col date_key --lo D --hi D
   python -m ledgerline sample --table PATH --n 10000 --out PATH
@@ -40,7 +41,7 @@ def cmd_run(args) -> dict:
     spark = _session(args)
     res = registry.run(spark, bronze.bronze_view(spark, args.bronze), args.root, threads=args.threads,
                        incremental_silver=args.incremental, bronze_path=args.bronze,
-                       fact_buckets=args.fact_buckets)
+                       fact_buckets=args.fact_buckets, silver_buckets=args.silver_buckets)
     out = {"checks": len(res.checks), "passed": sum(r["status"] == "pass" for r in res.checks),
            "gate": res.gate[0].asDict(), "timings": res.timings}
     if args.register:
@@ -93,6 +94,8 @@ def main(argv=None) -> int:
                    help="stage and merge only bronze batches not processed yet")
     a.add_argument("--fact-buckets", type=int, default=None,
                    help="key buckets per fact date partition (new fact tables only)")
+    a.add_argument("--silver-buckets", type=int, default=None,
+                   help="key buckets per silver event-date partition (with --incremental, new tables only)")
     a.set_defaults(fn=cmd_run)
     a = sub.add_parser("layout")
     a.add_argument("--table", required=True)
