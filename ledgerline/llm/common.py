@@ -54,29 +54,31 @@ def prefix_sums(values: Column) -> Column:
         blocks = F.transform(F.sequence(F.lit(0), ((F.size(xs) - 1) / width).cast("int")),
                              lambda b: F.slice(xs, b * width + 1, width))
         totals = plain(F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda a, x: a + x)))
-        return F.flatten(F.transform(F.arrays_zip(blocks.alias("b"), totals.alias("t")), lambda z: _shift(z, plain)))
+        return F.flatten(F.transform(F.arrays_zip(blocks.alias("b"), totals.alias("t")), lambda z: shifted(z)))
 
-    def _shift(z: Column, plain) -> Column:
-        own = plain(z["0"])
-        base = z["1"] - F.element_at(own, -1)
+    def shifted(z: Column) -> Column:
+        own = plain(z["b"])
+        base = z["t"] - F.element_at(own, -1)
         return F.transform(own, lambda v: v + base)
 
     return F.when(F.size(values) == 0, F.array().cast("array<int>")).when(
         F.size(values) <= 32, plain(values)).otherwise(blocked(values))
 
 
-SPAN = "array<struct<s:int,rank:int,e:int,kind:string,value:string>>"
+SPAN = "array<struct<s:int,rank:int,e:int,kind:string>>"
 
 
-def spans_of(hits: Column, pieces: Column, kind: str, rank: int) -> Column:
+def spans_of(hits: Column, pieces: Column, kind: str, rank: int, valid=None) -> Column:
     """Spans (code points, end exclusive) from the matches of a pattern and
     the text between them: ``regexp_extract_all`` and ``split`` with limit -1
-    of the same text by the same pattern."""
+    of one text by one pattern.  ``valid`` drops matches by their text."""
     widths = F.transform(hits, lambda h, i: F.length(h) + F.length(F.get(pieces, i)))
-    pairs = F.arrays_zip(hits.alias("h"), prefix_sums(widths).alias("end"))
-    return F.transform(pairs, lambda p: F.struct(
-        (p["1"] - F.length(p["0"])).cast("int").alias("s"), F.lit(rank).alias("rank"),
-        p["1"].cast("int").alias("e"), F.lit(kind).alias("kind"), p["0"].alias("value"))).cast(SPAN)
+    found = F.arrays_zip(hits.alias("h"), prefix_sums(widths).alias("end"))
+    if valid is not None:
+        found = F.filter(found, lambda p: valid(p["h"]))
+    return F.transform(found, lambda p: F.struct(
+        (p["end"] - F.length(p["h"])).cast("int").alias("s"), F.lit(rank).alias("rank"),
+        p["end"].cast("int").alias("e"), F.lit(kind).alias("kind"))).cast(SPAN)
 
 
 def no_spans() -> Column:
@@ -92,3 +94,20 @@ def spans_text(spans: Column) -> Column:
 
 def count_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("bigint")
+
+
+def masked(text: Column, spans: Column) -> Column:
+    """``text`` with each span replaced by its kind in angle brackets;
+    overlapping spans are replaced together, under the first one's kind."""
+    start = F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        gap = F.substring(text, acc["pos"] + 1, x["s"] - acc["pos"])
+        inside = x["s"] < acc["pos"]
+        return F.struct(
+            F.greatest(acc["pos"], x["e"]).alias("pos"),
+            F.when(inside, acc["out"]).otherwise(F.concat(
+                acc["out"], F.array(gap, F.concat(F.lit("<"), F.upper(x["kind"]), F.lit(">"))))).alias("out"))
+
+    return F.aggregate(F.array_sort(spans), start, step, lambda acc: F.concat(
+        F.array_join(acc["out"], ""), F.substring(text, acc["pos"] + 1, F.length(text))))

@@ -3,20 +3,58 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerline.llm import exact_dedup
-from ledgerline.llm.common import documents
+from ledgerline.llm import exact_dedup, secret_scan
+from ledgerline.llm.common import count_kind, documents, spans_text
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(documents(spark, sf_dir).select("doc_id", "text"))
+    spans, base = F.col("spans"), ["assign", "access", "hex"]
+    return found.select(
+        "doc_id", *[count_kind(spans, k).alias(f"n_{k}") for k in base],
+        F.sha2(spans_text(F.filter(spans, lambda x: x["kind"].isin(base))), 256).alias("base_sha256"),
+        spans_text(spans).alias("spans"))
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def _found_sql(rules: list[tuple[str, str, str]], base: list[str]) -> str:
+    """Spans as SQL: rules are (kind, RE2 pattern, condition on the match h)."""
+    def one(rank: int, kind: str, pattern: str, keep: str) -> str:
+        p = "'" + pattern.replace("'", "''") + "'"
+        return f"""
+        SELECT doc_id, {rank} AS rank, '{kind}' AS kind, e - length(h) AS s, e FROM (
+          SELECT doc_id, h, sum(length(h) + length(p)) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS e FROM (
+            SELECT doc_id, unnest(range(len(hs))) AS i, unnest(hs) AS h, unnest(ps[:len(hs)]) AS p FROM (
+              SELECT doc_id, regexp_extract_all(t, {p}) AS hs, string_split_regex(t, {p}) AS ps FROM d))) WHERE {keep}"""
+    inside = ", ".join(f"'{k}'" for k in base)
+    counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in base)
+    text = "string_agg(kind || ':' || s::BIGINT || ':' || e::BIGINT, ',' ORDER BY s, rank)"
+    return f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        x AS ({" UNION ALL ".join(one(i, *r) for i, r in enumerate(rules))}),
+        y AS (SELECT doc_id, {counts}, {text} FILTER (kind IN ({inside})) AS b, {text} AS spans FROM x GROUP BY doc_id)
+        SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in base)}, sha256(coalesce(b, '')) AS base_sha256,
+          coalesce(spans, '') AS spans FROM d LEFT JOIN y USING (doc_id)"""
+
+
+def _secret_sql() -> str:
+    assign = secret_scan.RULES[0].pattern.replace("'", "''")
+    keep = {"assign": f"length(regexp_extract(h, '{assign}', 2)) >= 6"}
+    return _found_sql([(r.kind, r.pattern, keep.get(r.kind, "true")) for r in secret_scan.RULES], ["assign", "access", "hex"])
+
+
 QUERIES = {
+    "op9_secret_scan": op9_secret_scan,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLE = {
+    "op9_secret_scan": _secret_sql(),
     "op10_exact_dedup": r"""
         WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h FROM documents),
         g AS (SELECT h, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY h)
