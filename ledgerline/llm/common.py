@@ -40,29 +40,34 @@ def with_row_ids(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
                        F.col(f"row.`{text}`").alias("text"), "row")
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, also where lambdas use it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def prefix_sums(values: Column) -> Column:
     """Running totals (each including its own element) of an array of ints.
 
     Blocks of about sqrt(n) elements keep the work at n^1.5 lambda steps, so
     an array of 100,000 elements is still cheap.
     """
+    def total(xs: Column) -> Column:
+        return F.aggregate(xs, F.lit(0), lambda a, x: a + x)
+
     def plain(xs: Column) -> Column:
-        return F.transform(xs, lambda _, i: F.aggregate(F.slice(xs, 1, i + 1), F.lit(0), lambda a, x: a + x))
+        return F.transform(xs, lambda _, i: total(F.slice(xs, F.lit(1), i + 1)))
+
+    def shifted(block: Column, end: Column) -> Column:
+        return bound(plain(block), lambda own: F.transform(own, lambda v: v + end - F.element_at(own, -1)))
 
     def blocked(xs: Column) -> Column:
         width = F.ceil(F.sqrt(F.size(xs))).cast("int")
-        blocks = F.transform(F.sequence(F.lit(0), ((F.size(xs) - 1) / width).cast("int")),
-                             lambda b: F.slice(xs, b * width + 1, width))
-        totals = plain(F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda a, x: a + x)))
-        return F.flatten(F.transform(F.arrays_zip(blocks.alias("b"), totals.alias("t")), lambda z: shifted(z)))
-
-    def shifted(z: Column) -> Column:
-        own = plain(z["b"])
-        base = z["t"] - F.element_at(own, -1)
-        return F.transform(own, lambda v: v + base)
-
-    return F.when(F.size(values) == 0, F.array().cast("array<int>")).when(
-        F.size(values) <= 32, plain(values)).otherwise(blocked(values))
+        cut = F.transform(F.sequence(F.lit(0), ((F.size(xs) - 1) / width).cast("int")),
+                          lambda b: F.slice(xs, b * width + 1, width))
+        return bound(cut, lambda blocks: F.flatten(F.zip_with(blocks, plain(F.transform(blocks, total)), shifted)))
+
+    return bound(values, lambda xs: F.when(F.size(xs) == 0, F.array().cast("array<int>"))
+                 .when(F.size(xs) <= 32, plain(xs)).otherwise(blocked(xs)))
 
 
 SPAN = "array<struct<s:int,rank:int,e:int,kind:string>>"

@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import exact_dedup, secret_scan
+from ledgerline.llm import exact_dedup, quality, secret_scan
 from ledgerline.llm.common import count_kind, documents, spans_text
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = quality.assess(documents(spark, sf_dir).select("doc_id", "text"))
+    return seen.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                       "base_failed", "kept")
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(documents(spark, sf_dir).select("doc_id", "text"))
     spans, base = F.col("spans"), ["assign", "access", "hex"]
@@ -48,12 +54,41 @@ def _secret_sql() -> str:
     return _found_sql([(r.kind, r.pattern, keep.get(r.kind, "true")) for r in secret_scan.RULES], ["assign", "access", "hex"])
 
 
+def _quality_sql() -> str:
+    names = ", ".join(quality.RULES)
+    rounds = [f"m0 AS (SELECT {', '.join(f'CAST({v} AS DOUBLE) AS {k}' for k, v in quality.START.items())})"]
+    for i in range(quality.ROUNDS):
+        rounds.append(f"m{i + 1} AS (SELECT {', '.join(f'{q} AS {k}' for k, q in quality.update_sql().items())} FROM"
+                      f" (SELECT pat.*, {quality.posterior_sql(None, f'm{i}.')} AS p FROM pat, m{i}))")
+    white = r"[\x20\x09-\x0D]"
+    return f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT doc_id, t, list_filter(string_split_regex(t, '{white}+'), lambda x: x <> '') AS ws,
+          list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+        g AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g
+          FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+        c AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g) WHERE n > 1),
+        r AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM c, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id),
+        f AS (SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+          length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) AS n_lines,
+          len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+          len(list_distinct(ws)) AS n_distinct, len(regexp_extract_all(t, '[.!?]{white}')) AS n_ends
+          FROM w LEFT JOIN r USING (doc_id)),
+        v AS (SELECT *, {quality.BASE_FAILED} AS base_failed, {', '.join(f'{q} AS {k}' for k, q in quality.RULES.items())} FROM f),
+        pat AS (SELECT {names}, count(*) AS n FROM v GROUP BY {names}),
+        {', '.join(rounds)}
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+          NOT base_failed AND {quality.posterior_sql(None, 'm.')} >= {quality.KEEP_FROM} AS kept FROM v, m{quality.ROUNDS} AS m"""
+
+
 QUERIES = {
+    "op4_quality_rules": op4_quality_rules,
     "op9_secret_scan": op9_secret_scan,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLE = {
+    "op4_quality_rules": _quality_sql(),
     "op9_secret_scan": _secret_sql(),
     "op10_exact_dedup": r"""
         WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h FROM documents),
