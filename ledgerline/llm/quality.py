@@ -23,21 +23,25 @@ from ledgerline.llm.common import SPACE_RUN, bound, stored
 
 # Each rule: name, vote as SQL over the traits (valid in Spark and DuckDB).
 RULES = {
-    "length": "CASE WHEN n_words < 50 THEN -1 WHEN n_words >= 100 THEN 1 ELSE 0 END",
+    "length": "CASE WHEN n_words < 50 THEN -1 WHEN n_words >= 2000 THEN 1 ELSE 0 END",
     "symbols": "CASE WHEN 10 * n_symbols > n_words THEN -1 WHEN 50 * n_symbols <= n_words THEN 1 ELSE 0 END",
-    "lines": "CASE WHEN 4 * n_dup_lines > n_lines THEN -1 WHEN n_lines > 3 AND n_dup_lines = 0 THEN 1 ELSE 0 END",
-    "repeats": "CASE WHEN 5 * n_repeat_words > n_words THEN -1 WHEN 20 * n_repeat_words <= n_words THEN 1 ELSE 0 END",
-    "word_size": "CASE WHEN word_chars < 2 * n_words OR word_chars > 14 * n_words THEN -1"
-                 " WHEN word_chars BETWEEN 3 * n_words AND 10 * n_words THEN 1 ELSE 0 END",
+    "wordless": "CASE WHEN 10 * n_wordless > n_words THEN -1 WHEN 50 * n_wordless <= n_words THEN 1 ELSE 0 END",
+    "letters": "CASE WHEN 4 * n_letters < 3 * word_chars THEN -1 WHEN 8 * n_letters >= 7 * word_chars THEN 1 ELSE 0 END",
+    "lines": "CASE WHEN n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines THEN -1"
+             " WHEN n_lines > 3 AND 10 * n_dup_lines <= n_lines THEN 1 ELSE 0 END",
+    "repeats": "CASE WHEN 10 * n_repeat_words > 3 * n_words THEN -1 WHEN 20 * n_repeat_words <= n_words THEN 1 ELSE 0 END",
     "variety": "CASE WHEN n_words < 400 AND 4 * n_distinct < n_words THEN -1"
                " WHEN 3 * n_distinct >= n_words THEN 1 ELSE 0 END",
-    "sentences": "CASE WHEN n_words >= 60 AND 200 * n_ends < n_words THEN -1"
+    "sentences": "CASE WHEN n_words >= 150 AND 60 * n_ends < n_words THEN -1"
                  " WHEN n_ends BETWEEN 1 AND n_words / 3 THEN 1 ELSE 0 END",
 }
 BASE_FAILED = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
 KEEP_FROM = 0.5
 ROUNDS = 12
-START = {"prior": 0.85} | {f"{side}_{r}": 0.9 if side == "good" else 0.7 for r in RULES for side in ("good", "bad")}
+# At the start two bad votes outweigh the rest: texts fail in different ways,
+# so most rules find nothing wrong with a bad text either.
+START = {"prior": 0.85} | {f"{side}_{r}": 0.98 if side == "good" else 0.55 for r in RULES for side in ("good", "bad")}
+MARKS = "#*$%&|<>-=_~+.,;:!?/()[]{}"
 
 
 def _repeat_words(triples: Column) -> Column:
@@ -67,6 +71,8 @@ def traits(docs: DataFrame, text: str = "text") -> DataFrame:
         "row", F.size(w).cast("bigint").alias("n_words"),
         F.length(F.array_join(w, "")).cast("bigint").alias("word_chars"),
         (F.length(t) - F.length(F.regexp_replace(t, r"[#*$%&|<>]+", ""))).cast("bigint").alias("n_symbols"),
+        F.size(F.filter(w, lambda x: F.btrim(x, F.lit(MARKS)) == "")).cast("bigint").alias("n_wordless"),
+        F.length(F.regexp_replace(t, r"[^\p{L}]+", "")).cast("bigint").alias("n_letters"),
         F.size("lines").cast("bigint").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         _repeat_words(F.col("triples")).cast("bigint").alias("n_repeat_words"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import exact_dedup, quality, secret_scan
+from ledgerline.llm import exact_dedup, quality, secret_scan, simhash
 from ledgerline.llm.common import count_kind, documents, spans_text
 
 
@@ -15,6 +15,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "base_failed", "kept")
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(documents(spark, sf_dir).select("doc_id", "text"))
     spans, base = F.col("spans"), ["assign", "access", "hex"]
@@ -71,6 +75,8 @@ def _quality_sql() -> str:
         r AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM c, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id),
         f AS (SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
           length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) AS n_lines,
+          len(list_filter(ws, lambda x: trim(x, '{quality.MARKS}') = '')) AS n_wordless,
+          length(regexp_replace(t, '[^\\pL]+', '', 'g')) AS n_letters,
           len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
           len(list_distinct(ws)) AS n_distinct, len(regexp_extract_all(t, '[.!?]{white}')) AS n_ends
           FROM w LEFT JOIN r USING (doc_id)),
@@ -83,6 +89,7 @@ def _quality_sql() -> str:
 
 QUERIES = {
     "op4_quality_rules": op4_quality_rules,
+    "op7_simhash": op7_simhash,
     "op9_secret_scan": op9_secret_scan,
     "op10_exact_dedup": op10_exact_dedup,
 }
