@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import exact_dedup, quality, secret_scan, simhash
+from ledgerline.llm import bitpack, exact_dedup, packing, quality, secret_scan, simhash, tokens
 from ledgerline.llm.common import count_kind, documents, spans_text
 
 
+def op1_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitpack.packed_ids(documents(spark, sf_dir).select("doc_id", "text"),
+                              tokens.tokenizer_path(tokens.BYTE_BPE), tokens.BYTE_BPE_IDS, end_id=2)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(packing.packed(documents(spark, sf_dir).select("doc_id", "text"),
+                                          tokens.tokenizer_path(tokens.WORD_BPE), end_id=1))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = quality.assess(documents(spark, sf_dir).select("doc_id", "text"))
     return seen.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -88,6 +98,8 @@ def _quality_sql() -> str:
 
 
 QUERIES = {
+    "op1_packed_ids": op1_packed_ids,
+    "op3_packing": op3_packing,
     "op4_quality_rules": op4_quality_rules,
     "op7_simhash": op7_simhash,
     "op9_secret_scan": op9_secret_scan,
