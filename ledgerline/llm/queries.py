@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bitpack, exact_dedup, packing, quality, secret_scan, simhash, tokens
+from ledgerline.llm import bitpack, exact_dedup, licenses, packing, quality, secret_scan, simhash, tokens
 from ledgerline.llm.common import count_kind, documents, spans_text
 
 
@@ -29,6 +29,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir).select("doc_id", "text")).drop("detections")
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(documents(spark, sf_dir).select("doc_id", "text"))
     spans, base = F.col("spans"), ["assign", "access", "hex"]
@@ -102,6 +106,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_quality_rules": op4_quality_rules,
     "op7_simhash": op7_simhash,
+    "op8_license_scan": op8_license_scan,
     "op9_secret_scan": op9_secret_scan,
     "op10_exact_dedup": op10_exact_dedup,
 }
