@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import stored
-from ledgerline.llm.tokens import Encoder, slices, spaced_chunks
+from ledgerline.llm.tokens import library_encoder, slices, spaced_chunks
 from ledgerline.session import scratch_path
 
 MAGIC = b"PACKIDS1"
@@ -163,7 +163,7 @@ def write_ids(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int, fol
             if not batch.num_rows:
                 continue
             if writer is None:
-                encoder = Encoder(tokenizer, spaced_chunks)
+                encoder = library_encoder(tokenizer, spaced_chunks)
                 store.create_dir(place, recursive=True)
                 name, draft = f"{place}/shard-{shard:07d}.ids", f"{place}/draft-{uuid.uuid4().hex}"
                 writer = Writer(store.open_output_stream(draft), bits, block_ids)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bitpack, exact_dedup, licenses, packing, quality, secret_scan, simhash, tokens
+from ledgerline.llm import bitpack, exact_dedup, licenses, packing, quality, secret_scan, sentencepieces, simhash, tokens
 from ledgerline.llm.common import count_kind, documents, spans_text
 
 
@@ -25,6 +25,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "base_failed", "kept")
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes and decodes every text; the digest is that of the decoded text."""
+    model = sentencepieces.Model(sentencepieces.read_vocabulary(tokens.tokenizer_path(sentencepieces.PIECES_FILE)))
+    back = sentencepieces.decode(sentencepieces.encode(documents(spark, sf_dir).select("doc_id", "text"), model), model)
+    return back.select("doc_id", "n_pieces", "n_bytes", "ids_crc32", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -105,6 +112,7 @@ QUERIES = {
     "op1_packed_ids": op1_packed_ids,
     "op3_packing": op3_packing,
     "op4_quality_rules": op4_quality_rules,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_simhash": op7_simhash,
     "op8_license_scan": op8_license_scan,
     "op9_secret_scan": op9_secret_scan,

@@ -59,22 +59,18 @@ class _Table(dict):
 
 
 class Encoder:
-    def __init__(self, path: str, cut: Callable[[str], list[str]], chunks: int = CHUNKS) -> None:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
-        from tokenizers import Tokenizer
+    """``ids`` encodes a list of strings; ``cut`` divides a text into chunks
+    that can be encoded apart; texts that ``whole`` finds are not divided."""
 
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._cut, self._room = cut, chunks
+    def __init__(self, ids: Callable[[list[str]], list[list[int]]], cut: Callable[[str], list[str]],
+                 whole: re.Pattern | None = None, chunks: int = CHUNKS) -> None:
+        self._ids, self._cut, self._whole, self._room = ids, cut, whole, chunks
         self._clear()
 
     def _clear(self) -> None:
         self._table = _Table()
         self._flat, self._start, self._size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _ids(self, texts: Sequence[str]) -> list[list[int]]:
-        return [e.ids for e in self._tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)]
-
     def _learn(self) -> None:
         ids = self._ids(self._table.new)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
@@ -87,7 +83,7 @@ class Encoder:
         """All ids in a row (uint32), and the number of ids of each text."""
         if len(self._table) > self._room:
             self._clear()
-        cut = [[] if _RARE_SPACE.search(t) else self._cut(t) for t in texts]
+        cut = [[] if self._whole and self._whole.search(t) else self._cut(t) for t in texts]
         counts = np.fromiter(map(len, cut), np.int64, len(cut))
         at = np.fromiter(map(self._table.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
         if self._table.new:
@@ -112,6 +108,16 @@ class Encoder:
         return np.insert(ids, np.cumsum(sizes), np.uint32(end_id)), sizes + 1
 
 
+def library_encoder(path: str, cut: Callable[[str], list[str]]) -> Encoder:
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    return Encoder(lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)],
+                   cut, _RARE_SPACE)
+
+
 def slices(texts: Sequence[str], limit: int = SLICE) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``limit`` characters, one text at least."""
     at, size = 0, 0
