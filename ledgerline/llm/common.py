@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,6 +89,40 @@ def spans_of(hits: Column, pieces: Column, kind: str, rank: int, valid=None) ->
         p["end"].cast("int").alias("e"), F.lit(kind).alias("kind"))).cast(SPAN)
 
 
+@dataclass(frozen=True)
+class Rule:
+    """A kind of span: a Java regular expression; ``valid`` drops matches by
+    their text; ``needs`` is a string that every match contains."""
+    kind: str
+    pattern: str
+    valid: Callable[[Column], Column] | None = None
+    needs: str = ""
+
+
+def matches(text: Column, rules: Sequence[tuple[int, Rule]], wanted: Column | None = None) -> dict[str, Column]:
+    """Columns with the matches in ``text`` of each numbered rule, or only of
+    those whose numbers are in the array ``wanted``."""
+    out = {}
+    for rank, rule in rules:
+        hits, on = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), F.lit(True)
+        if wanted is not None:
+            on = on & F.array_contains(wanted, rank)
+        if rule.needs:
+            on = on & F.contains(text, F.lit(rule.needs))
+        out[f"hits{rank}"] = F.when(on, hits).otherwise(F.array().cast("array<string>"))
+    return out
+
+
+def located(text: Column, rules: Sequence[tuple[int, Rule]]) -> Column:
+    """The spans of the columns that ``matches`` made."""
+    parts = [no_spans()]
+    for rank, rule in rules:
+        hits = F.col(f"hits{rank}")
+        parts.append(F.when(F.size(hits) > 0, spans_of(
+            hits, F.split(text, rule.pattern, -1), rule.kind, rank, rule.valid)).otherwise(no_spans()))
+    return F.concat(*parts)
+
+
 def no_spans() -> Column:
     return F.array().cast(SPAN)
 
@@ -116,3 +153,17 @@ def masked(text: Column, spans: Column) -> Column:
 
     return F.aggregate(F.array_sort(spans), start, step, lambda acc: F.concat(
         F.array_join(acc["out"], ""), F.substring(text, acc["pos"] + 1, F.length(text))))
+
+
+def blanked(text: Column, spans: Column) -> Column:
+    """``text`` with spaces in place of its spans; all offsets stay."""
+    start = F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        end = F.greatest(acc["pos"], x["e"])
+        gap = F.substring(text, acc["pos"] + 1, F.greatest(x["s"] - acc["pos"], F.lit(0)))
+        return F.struct(end.alias("pos"), F.concat(acc["out"], F.array(
+            gap, F.repeat(F.lit(" "), end - F.greatest(acc["pos"], x["s"])))).alias("out"))
+
+    return F.aggregate(F.array_sort(spans), start, step, lambda acc: F.concat(
+        F.array_join(acc["out"], ""), F.substring(text, acc["pos"] + 1, F.length(text))))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bitpack, exact_dedup, licenses, packing, quality, secret_scan, sentencepieces, simhash, tokens
+from ledgerline.llm import bitpack, exact_dedup, licenses, packing, pii, quality, secret_scan, sentencepieces, simhash, tokens
 from ledgerline.llm.common import count_kind, documents, spans_text
 
 
@@ -25,6 +25,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "base_failed", "kept")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_digest(pii.scan(documents(spark, sf_dir).select("doc_id", "text")), ["email", "ip", "card", "phone"])
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes and decodes every text; the digest is that of the decoded text."""
     model = sentencepieces.Model(sentencepieces.read_vocabulary(tokens.tokenizer_path(sentencepieces.PIECES_FILE)))
@@ -40,15 +44,18 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir).select("doc_id", "text")).drop("detections")
 
 
-def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_scan.scan(documents(spark, sf_dir).select("doc_id", "text"))
-    spans, base = F.col("spans"), ["assign", "access", "hex"]
+def _span_digest(found: DataFrame, base: list[str]) -> DataFrame:
+    spans = F.col("spans")
     return found.select(
         "doc_id", *[count_kind(spans, k).alias(f"n_{k}") for k in base],
         F.sha2(spans_text(F.filter(spans, lambda x: x["kind"].isin(base))), 256).alias("base_sha256"),
         spans_text(spans).alias("spans"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_digest(secret_scan.scan(documents(spark, sf_dir).select("doc_id", "text")), ["assign", "access", "hex"])
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -112,6 +119,7 @@ QUERIES = {
     "op1_packed_ids": op1_packed_ids,
     "op3_packing": op3_packing,
     "op4_quality_rules": op4_quality_rules,
+    "op5_pii": op5_pii,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_simhash": op7_simhash,
     "op8_license_scan": op8_license_scan,

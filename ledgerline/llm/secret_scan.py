@@ -20,22 +20,13 @@ from __future__ import annotations
 
 import re._constants as sre
 import re._parser as sre_parser
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
 from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import SPAN, masked, no_spans, spans_of, stored
-
-
-@dataclass(frozen=True)
-class Rule:
-    """``pattern`` is valid in Java and in Python; ``valid`` drops matches."""
-    kind: str
-    pattern: str
-    valid: Callable[[Column], Column] | None = None
+from ledgerline.llm.common import SPAN, Rule, located, masked, matches, no_spans, stored
 
 
 # The kinds of secrets and their shapes, in the order of output.
@@ -110,26 +101,6 @@ def trigram_query(pattern: str) -> list[frozenset[str]] | None:
     return None if frozenset() in least else sorted(least, key=sorted)
 
 
-def _found(text: Column, rules: Sequence[tuple[int, Rule]], wanted: Column | None = None) -> dict[str, Column]:
-    """Two columns for each rule: its matches in ``text`` and what lies between."""
-    out = {}
-    for rank, rule in rules:
-        hits = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
-        if wanted is not None:
-            hits = F.when(F.array_contains(wanted, rank), hits).otherwise(F.array().cast("array<string>"))
-        out[f"hits{rank}"] = hits
-    return out
-
-
-def _located(found: DataFrame, rules: Sequence[tuple[int, Rule]]) -> Column:
-    parts = [no_spans()]
-    for rank, rule in rules:
-        hits = F.col(f"hits{rank}")
-        parts.append(F.when(F.size(hits) > 0, spans_of(
-            hits, F.split("text", rule.pattern, -1), rule.kind, rank, rule.valid)).otherwise(no_spans()))
-    return F.concat(*parts)
-
-
 def _keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     d, t = F.col(f"`{doc_id}`"), F.coalesce(F.col(f"`{text}`"), F.lit(""))
     return docs.select(F.xxhash64(F.lit(0), d, t).alias("h1"), F.xxhash64(F.lit(1), d, t).alias("h2"),
@@ -144,8 +115,8 @@ def index(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", do
     low = _keyed(docs, text, doc_id).withColumn("low", F.lower("text"))
     held = [F.when(F.contains(F.col("low"), F.lit(g)), F.lit(g)) for g in grams]
     marked = low.withColumns({"grams": F.array_compact(F.array(*held)) if held else F.array().cast("array<string>")}
-                             | _found(F.col("text"), full))
-    return marked.select("h1", "h2", "doc_id", "grams", _located(marked, full).alias("scanned"))
+                             | matches(F.col("text"), full))
+    return marked.select("h1", "h2", "doc_id", "grams", located(F.col("text"), full).alias("scanned"))
 
 
 def candidates(indexed: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -165,8 +136,8 @@ def _scan(docs: DataFrame, rules: Sequence[Rule], text: str, doc_id: str) -> tup
     asked = stored(candidates(indexed, rules), "candidates")
     gated = [(i, r) for i, r in enumerate(rules) if trigram_query(r.pattern) is not None]
     texts = _keyed(docs, text, doc_id).select("h1", "h2", "text").join(asked, ["h1", "h2"])
-    marked = texts.withColumns(_found(F.col("text"), gated, F.col("ranks")))
-    verified = marked.select("h1", "h2", _located(marked, gated).alias("checked")).filter(F.size("checked") > 0)
+    marked = texts.withColumns(matches(F.col("text"), gated, F.col("ranks")))
+    verified = marked.select("h1", "h2", located(F.col("text"), gated).alias("checked")).filter(F.size("checked") > 0)
     return indexed, stored(verified.dropDuplicates(["h1", "h2"]), "verified")
 
 
