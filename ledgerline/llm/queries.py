@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bitpack, exact_dedup, licenses, packing, pii, quality, secret_scan, sentencepieces, simhash, tokens
+from ledgerline.llm import attention_lm, bitpack, exact_dedup, licenses, packing, pii, quality, secret_scan, sentencepieces, simhash, tokens
 from ledgerline.llm.common import count_kind, documents, spans_text
 
 
@@ -14,6 +14,11 @@ def op1_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
                               tokens.tokenizer_path(tokens.BYTE_BPE), tokens.BYTE_BPE_IDS, end_id=2)
 
 
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score_documents(documents(spark, sf_dir).select("doc_id", "text"),
+                                        tokens.tokenizer_path(tokens.BYTE_BPE))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.packed(documents(spark, sf_dir).select("doc_id", "text"),
                                           tokens.tokenizer_path(tokens.WORD_BPE), end_id=1))
@@ -117,6 +122,7 @@ def _quality_sql() -> str:
 
 QUERIES = {
     "op1_packed_ids": op1_packed_ids,
+    "op2_lm_scores": op2_lm_scores,
     "op3_packing": op3_packing,
     "op4_quality_rules": op4_quality_rules,
     "op5_pii": op5_pii,

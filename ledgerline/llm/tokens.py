@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -79,20 +79,28 @@ class Encoder:
         self._flat = np.concatenate([self._flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))])
         self._table.new = []
 
-    def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row (uint32), and the number of ids of each text."""
+    def numbers(self, chunks: Iterable[str], n: int) -> np.ndarray:
+        """The numbers of ``n`` chunks, valid until the next call."""
         if len(self._table) > self._room:
             self._clear()
-        cut = [[] if self._whole and self._whole.search(t) else self._cut(t) for t in texts]
-        counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        at = np.fromiter(map(self._table.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
+        at = np.fromiter(map(self._table.__getitem__, chunks), np.int64, n)
         if self._table.new:
             self._learn()
+        return at
+
+    def ids_of(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of numbered chunks in a row, and how many each has."""
         sizes = self._size[at]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self._flat[np.repeat(self._start[at] - ends + sizes, sizes) + np.arange(total)]
-        edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        return self._flat[np.repeat(self._start[at] - ends + sizes, sizes) + np.arange(total)], sizes
+
+    def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row (uint32), and the number of ids of each text."""
+        cut = [[] if self._whole and self._whole.search(t) else self._cut(t) for t in texts]
+        counts = np.fromiter(map(len, cut), np.int64, len(cut))
+        ids, sizes = self.ids_of(self.numbers(chain.from_iterable(cut), int(counts.sum())))
+        edges = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
         sizes = np.diff(edges)
         rare = [i for i, t in enumerate(texts) if not cut[i] and t]
         if rare:
