@@ -67,8 +67,8 @@ def traits(docs: DataFrame, text: str = "text") -> DataFrame:
     w, last = F.col("words"), F.size("words") - 3
     triple = F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.concat_ws(
         " ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))).otherwise(F.array().cast("array<string>"))
-    return split.withColumn("triples", triple).select(
-        "row", F.size(w).cast("bigint").alias("n_words"),
+    seen = F.struct(
+        F.size(w).cast("bigint").alias("n_words"),
         F.length(F.array_join(w, "")).cast("bigint").alias("word_chars"),
         (F.length(t) - F.length(F.regexp_replace(t, r"[#*$%&|<>]+", ""))).cast("bigint").alias("n_symbols"),
         F.size(F.filter(w, lambda x: F.btrim(x, F.lit(MARKS)) == "")).cast("bigint").alias("n_wordless"),
@@ -78,6 +78,9 @@ def traits(docs: DataFrame, text: str = "text") -> DataFrame:
         _repeat_words(F.col("triples")).cast("bigint").alias("n_repeat_words"),
         F.size(F.array_distinct(w)).cast("bigint").alias("n_distinct"),
         F.regexp_count(t, F.lit(r"[.!?][\x20\x09-\x0D]")).cast("bigint").alias("n_ends"))
+    # made by a generator, so that a filter on what follows from the traits
+    # can't be pushed below and compute them again for every mention
+    return split.withColumn("triples", triple).select("row", F.inline(F.array(seen)))
 
 
 def posterior_sql(model: dict[str, float] | None = None, source: str = "") -> str:
