@@ -58,10 +58,11 @@ def _repeat_words(triples: Column) -> Column:
     return F.when(F.size(F.array_distinct(triples)) < F.size(triples), bound(ranked, again)).otherwise(0)
 
 
-def traits(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` packed as ``row`` beside the traits of each text."""
+def traits(docs: DataFrame, text: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """The traits of each text beside ``row``, its columns (``carry``: some)."""
     t = F.col("t")
-    split = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t")).select(
+    own = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)])
+    split = docs.select(own.alias("row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t")).select(
         "row", "t", F.filter(F.split(t, SPACE_RUN, -1), lambda w: w != "").alias("words"),
         F.filter(F.split(t, "\n", -1), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != "").alias("lines"))
     w, last = F.col("words"), F.size("words") - 3
@@ -131,10 +132,9 @@ def judged(seen: DataFrame, model: dict[str, float]) -> DataFrame:
 
 
 def assess(docs: DataFrame, text: str = "text") -> DataFrame:
-    """row, traits, votes, base_failed, quality and kept of each document;
-    the texts are scanned once, their traits stored."""
-    slim = docs.select(*[c for c in docs.columns if c != text], text)
-    seen = stored(votes(traits(slim, text)).withColumn("row", F.col("row").dropFields(text)), "traits")
+    """row (all columns but the text), traits, votes, base_failed, quality and
+    kept of each document; the texts are scanned once, their traits stored."""
+    seen = stored(votes(traits(docs, text, [c for c in docs.columns if c != text])), "traits")
     return judged(seen, fit(seen))
 
 
