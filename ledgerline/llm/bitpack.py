@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import stored
+from ledgerline.llm.common import map_arrow, stored
 from ledgerline.llm.tokens import library_encoder, slices, spaced_chunks
 from ledgerline.session import scratch_path
 
@@ -177,7 +177,7 @@ def write_ids(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int, fol
                 "shard": pa.array([shard], pa.int32()), "path": [f"{folder}/{name.rpartition('/')[2]}"],
                 "n_docs": [writer.docs], "n_ids": [writer.ids]})
 
-    manifest = stored(ordered.mapInArrow(run, "shard int, path string, n_docs long, n_ids long"), "manifest")
+    manifest = stored(map_arrow(ordered, run, "shard int, path string, n_docs long, n_ids long"), "manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
     return manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
@@ -206,8 +206,8 @@ def read_documents(manifest: DataFrame) -> DataFrame:
             a = b
 
     tasks = max(1, manifest.count())
-    return manifest.select("path", "start").repartition(tasks).mapInArrow(
-        run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return map_arrow(
+        manifest.select("path", "start").repartition(tasks), run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def packed_ids(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int) -> DataFrame:

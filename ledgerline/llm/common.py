@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import cache
+
+import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +37,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+@cache
+def _package(application: str) -> str:
+    """A zip of this package for the executors of one application."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="ledgerline-"), "ledgerline.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                out.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(root)))
+    return path
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with this package sent to the executors, which need not
+    have it installed."""
+    context = df.sparkSession.sparkContext
+    if not any(f.endswith("/ledgerline.zip") for f in context.listFiles):
+        context.addPyFile(_package(context.applicationId))
+    return df.mapInArrow(run, schema)
+
+
 def with_row_ids(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Store ``docs`` with a row id: columns rid, doc_id, text, row.
 

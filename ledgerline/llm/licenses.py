@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import map_arrow
+
 # Identifier, keyword that every mention contains, name as a
 # pattern (a space stands for any white space), bare short form or "".
 LICENSES = (
@@ -205,4 +207,4 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(c, t) for c, t in zip(columns, kinds))], names)
 
     raw = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("raw")
-    return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), raw).mapInArrow(run, _SCHEMA)
+    return map_arrow(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), raw), run, _SCHEMA)

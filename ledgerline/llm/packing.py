@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import map_arrow
 from ledgerline.llm.tokens import library_encoder, slices, words
 from ledgerline.session import scratch_path
 
@@ -65,8 +66,8 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, max_length: int = MAX_L
                     ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
                 number += n
 
-    return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
-                       F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).mapInArrow(run, _SCHEMA)
+    return map_arrow(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
+                                 F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")), run, _SCHEMA)
 
 
 def write_buckets(docs: DataFrame, tokenizer: str, end_id: int, folder: str, max_length: int = MAX_LENGTH,

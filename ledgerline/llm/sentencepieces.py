@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import map_arrow
 from ledgerline.llm.tokens import Encoder, slices
 
 PIECES_FILE = "piece_bpe_32k.model"
@@ -210,8 +211,8 @@ def encode(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc
                                                  pa.array(ids.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(a, b - a), lists], ["doc_id", "ids"])
 
-    return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
-                       F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).mapInArrow(run, _SCHEMA)
+    return map_arrow(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
+                                 F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")), run, _SCHEMA)
 
 
 def decode(encoded: DataFrame, model: Model) -> DataFrame:
@@ -229,4 +230,4 @@ def decode(encoded: DataFrame, model: Model) -> DataFrame:
                 pa.array([zlib.crc32(p.tobytes()) for p in parts], pa.int64())],
                 ["doc_id", "text", "n_pieces", "n_bytes", "ids_crc32"])
 
-    return encoded.mapInArrow(run, "doc_id long, text string, n_pieces long, n_bytes long, ids_crc32 long")
+    return map_arrow(encoded, run, "doc_id long, text string, n_pieces long, n_bytes long, ids_crc32 long")

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import stored, with_row_ids
+from ledgerline.llm.common import map_arrow, stored, with_row_ids
 from ledgerline.llm.components import components
 
 SHINGLE = 4
@@ -71,7 +71,7 @@ def fingerprints(rows: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["rid"], batch["doc_id"], pa.array(fps)], ["rid", "doc_id", "fp"])
 
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("raw")
-    return rows.select("rid", "doc_id", raw).mapInArrow(run, schema)
+    return map_arrow(rows.select("rid", "doc_id", raw), run, schema)
 
 
 def _choices(max_bits: int) -> list[tuple[int, ...]]:
@@ -92,7 +92,7 @@ def _postings(fps: DataFrame, max_bits: int) -> DataFrame:
                     key = (key << 8) | parts[:, position]
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp)], ["list", "fp"])
 
-    return fps.select("fp").mapInArrow(run, "list long, fp long")
+    return map_arrow(fps.select("fp"), run, "list long, fp long")
 
 
 def _verified(a: np.ndarray, b: np.ndarray, number: np.ndarray, max_bits: int) -> np.ndarray:
@@ -228,7 +228,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataF
     if not 0 <= max_bits < 8:
         raise ValueError("the index needs 0 to 7 bits")
     sorted_lists = _postings(fps, max_bits).repartition("list").sortWithinPartitions("list")
-    found = stored(sorted_lists.mapInArrow(_streamed(max_bits, block), _FOUND), "links")
+    found = stored(map_arrow(sorted_lists, _streamed(max_bits, block), _FOUND), "links")
     near = found.filter("list IS NULL").select("a", "b")
     members = found.filter("list IS NOT NULL").select("list", "block", F.col("a").alias("fp"))
     return near if members.isEmpty() else near.unionByName(_block_pairs(members, max_bits))

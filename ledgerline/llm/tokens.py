@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -22,7 +23,7 @@ _RARE = ((0x1C, 0x1F), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x180E, 0x
          (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x2060), (0x3000, 0x3000), (0xFEFF, 0xFEFF))
 _RARE_SPACE = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _RARE) + "]")
 _SPACED = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-CHUNKS = 400_000  # distinct chunks that a worker remembers
+CHUNKS = 1_000_000  # distinct chunks that a worker remembers
 SLICE = 2_000_000  # characters handled at once
 
 # Vocabulary sizes of the public tokenizer files.
@@ -116,7 +117,9 @@ class Encoder:
         return np.insert(ids, np.cumsum(sizes), np.uint32(end_id)), sizes + 1
 
 
+@cache
 def library_encoder(path: str, cut: Callable[[str], list[str]]) -> Encoder:
+    """One per worker process, so that what it learnt serves the next task."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
     from tokenizers import Tokenizer
 
