@@ -3,4 +3,4 @@ from ledgerline.functions.columns import (  # noqa: F401
 )
 from ledgerline.functions.contract import REASONS, classify, default_rules  # noqa: F401
 from ledgerline.functions.masking import mask_account, mask_columns, register_sql_mask  # noqa: F401
-from ledgerline.functions.zorder import ordinal, zorder_key  # noqa: F401
+from ledgerline.functions.zorder import zorder_key  # noqa: F401

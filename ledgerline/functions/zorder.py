@@ -1,115 +1,60 @@
-"""Z-order (Morton) keys from built-in bit functions.
-
-Each clustering column becomes a non-negative integer grid coordinate:
-
-* dates / timestamps / integers: ``value - min`` (exact, no rescaling);
-* low-cardinality columns (an HLL sketch, computed in the same single pass
-  as the min/max, shows fewer than ``max_distinct`` values -- only then is
-  the value list collected): the dense rank of the value;
-* anything else: an order-preserving ordinal scaled onto ``max_bits`` bits.
-
-Each coordinate uses only the bits its range needs (capped at ``max_bits``)
-and the bits are interleaved LSB-aligned with ``shiftleft`` / ``bitwise_or``
--- the canonical Morton order on an integer grid.  A 3-value column thus
-contributes 2 bits instead of swamping a 2,500-day date axis, and rows close
-in every clustering column get close keys.
+"""Z-order (Morton) keys from built-in functions.
+
+Each clustering column is cut at quantiles of its distinct values into at most
+``2^bits`` cells; a row's coordinate is the number of cut points at or below
+its value, found by binary search.  The cut points are whole values of the
+column itself, so any ordered type works the same way at any size: long common
+prefixes, fractions and outliers don't collapse into one cell.  Columns with
+few values get one cell per value.
+
+The coordinates' bits are interleaved, aligned at the least significant one --
+the canonical Morton order on an integer grid -- so rows close in every
+clustering column get close keys.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    DateType, IntegralType, NumericType, StringType, TimestampNTZType, TimestampType,
-)
-
-MAX_BITS = 20
-MAX_DISTINCT = 4096
-
-
-def ordinal(df: DataFrame, col: str) -> Column:
-    """An order-preserving BIGINT view of ``col``."""
-    dtype = df.schema[col].dataType
-    c = F.col(col)
-    if isinstance(dtype, DateType):
-        return F.unix_date(c).cast("bigint")
-    if isinstance(dtype, TimestampNTZType):
-        return F.unix_date(F.to_date(c)).cast("bigint") * 86400 + \
-            (F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)).cast("bigint")
-    if isinstance(dtype, TimestampType):
-        return F.unix_seconds(c)
-    if isinstance(dtype, NumericType):
-        return F.floor(c).cast("bigint")
-    if isinstance(dtype, StringType):
-        padded = F.rpad(F.encode(F.coalesce(c, F.lit("")), "UTF-8"), 4, F.lit(b"\x00"))
-        return F.conv(F.hex(F.substring(padded, 1, 4)), 16, 10).cast("bigint")
-    raise TypeError(f"no Z-order ordinal for {col}: {dtype}")
 
+from ledgerline.operators.rank import with_global_index
 
-def _rank_coordinate(df: DataFrame, col: str, limit: int) -> tuple[Column, int] | None:
-    """Dense rank of a low-cardinality column; ``None`` when the column has
-    more than ``limit`` values after all (the collect stays bounded)."""
-    found = df.select(col).distinct().limit(limit + 1).collect()
-    if len(found) > limit:
-        return None
-    values = sorted(r[0] for r in found if r[0] is not None)
-    if len(values) <= 1:
-        return F.lit(0).cast("bigint"), 0
-    pairs = []
-    for i, v in enumerate(values):
-        pairs += [F.lit(v), F.lit(i)]
-    rank = F.element_at(F.create_map(*pairs), F.col(col))
-    return F.coalesce(rank, F.lit(0)).cast("bigint"), (len(values) - 1).bit_length()
+CELL_BITS = 10
+KEY_BITS = 62
 
 
-def _scaled_coordinate(o: Column, lo, hi, max_bits: int) -> tuple[Column, int]:
-    if lo is None or hi is None or hi == lo:
-        return F.lit(0).cast("bigint"), 0
-    span = hi - lo
-    if span.bit_length() <= max_bits:
-        return F.coalesce(o - F.lit(lo), F.lit(0)).cast("bigint"), span.bit_length()
-    top = (1 << max_bits) - 1
-    scaled = F.floor((o - F.lit(lo)).cast("double") * F.lit(top / span)).cast("bigint")
-    return F.coalesce(scaled, F.lit(0).cast("bigint")), max_bits
+def cut_points(df: DataFrame, col: str, bits: int = CELL_BITS) -> list:
+    """At most ``2^bits - 1`` values that cut the sorted distinct values of
+    ``col`` into cells of equal size (the first cell begins below them all)."""
+    values, n = with_global_index(df.select(col).filter(F.col(col).isNotNull()).distinct(), [col], "_at")
+    size = -(-n // (1 << bits)) if n else 1
+    cuts = values.filter((F.col("_at") > 0) & (F.pmod("_at", F.lit(size)) == 0)).select(col)
+    return sorted(r[0] for r in cuts.collect())
 
 
-def _coordinates(df: DataFrame, cols: list[str], max_bits: int,
-                 max_distinct: int) -> list[tuple[Column, int]]:
-    """One aggregate pass: min/max of every ordinal and an HLL distinct
-    estimate per column; only columns the sketch shows to be small get an
-    exact (bounded) value list."""
-    ords = [ordinal(df, c) for c in cols]
-    aggs = []
-    for i, (c, o) in enumerate(zip(cols, ords)):
-        aggs += [F.min(o).alias(f"lo{i}"), F.max(o).alias(f"hi{i}"),
-                 F.approx_count_distinct(c, 0.02).alias(f"nd{i}")]
-    stats = df.agg(*aggs).first()
-    out = []
-    for i, (c, o) in enumerate(zip(cols, ords)):
-        exact = isinstance(df.schema[c].dataType, (DateType, IntegralType))
-        # 2% relative error: a sketch under 0.9 * limit is safely under the limit
-        ranked = None
-        if not exact and stats[f"nd{i}"] <= int(max_distinct * 0.9):
-            ranked = _rank_coordinate(df, c, max_distinct)
-        out.append(ranked if ranked is not None
-                   else _scaled_coordinate(o, stats[f"lo{i}"], stats[f"hi{i}"], max_bits))
-    return out
+def coordinate(df: DataFrame, col: str, cuts: list) -> Column:
+    """How many of the cut points are at or below the value (NULL: none)."""
+    if not cuts:
+        return F.lit(0).cast("bigint")
+    points = F.array(*[F.lit(c) for c in cuts]).cast(f"array<{df.schema[col].dataType.simpleString()}>")
+    steps = F.array(*[F.lit(1 << b) for b in range(len(cuts).bit_length() - 1, -1, -1)])
+    found = F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(
+        F.get(points, at + step - 1) <= F.col(col), step).otherwise(0))
+    return found.cast("bigint")
 
 
-def zorder_key(df: DataFrame, cols: list[str], max_bits: int = MAX_BITS,
-               max_distinct: int = MAX_DISTINCT) -> Column:
+def zorder_key(df: DataFrame, cols: list[str], bits: int = CELL_BITS) -> Column:
     """Interleaved key over ``cols`` (first column wins ties at each level)."""
     if not cols:
         raise ValueError("zorder_key needs at least one column")
-    # every coordinate's bits must fit one signed 64-bit key
-    max_bits = max(1, min(max_bits, 62 // len(cols)))
-    coords = _coordinates(df, list(cols), max_bits, max_distinct)
-    levels = max(b for _, b in coords) if coords else 0
-    # positions from the most significant level down; LSB-aligned coordinates
-    order = [(level, j) for level in range(levels - 1, -1, -1)
-             for j, (_, b) in enumerate(coords) if b > level]
+    if len(cols) * bits > KEY_BITS:
+        raise ValueError(f"{len(cols)} columns of {bits} bits don't fit a key of {KEY_BITS}")
+    cuts = [cut_points(df, c, bits) for c in cols]
+    cells = [coordinate(df, c, x) for c, x in zip(cols, cuts)]
+    depth = [len(x).bit_length() for x in cuts]
+    # from the least significant level up; within a level the last column first
+    places = [(level, j) for level in range(max(depth)) for j in reversed(range(len(cols))) if depth[j] > level]
     key = F.lit(0).cast("bigint")
-    for pos, (level, j) in enumerate(reversed(order)):
-        bit = F.shiftright(coords[j][0], level).bitwiseAND(F.lit(1))
-        key = key.bitwiseOR(F.shiftleft(bit, pos))
+    for place, (level, j) in enumerate(places):
+        key = key.bitwiseOR(F.shiftleft(F.shiftright(cells[j], level).bitwiseAND(F.lit(1)), place))
     return key

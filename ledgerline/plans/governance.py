@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.columns import EVENT_CLOCK_ANCHOR, grain_key, try_int, try_money
 from ledgerline.functions.masking import mask_columns
 from ledgerline.plans.silver import stage
+from ledgerline.sources.bronze import bronze_view
 from ledgerline.sources.raw import PII_COLUMNS
 
 
@@ -63,43 +64,20 @@ def trace_mart_cell(date_key: str, transaction_type: str, segment: str, fact: Da
 def raw_ids_absent(df: DataFrame, bronze: DataFrame, columns=PII_COLUMNS) -> DataFrame:
     """Number of raw account ids that appear verbatim in any string column of
     ``df`` (must be 0 past the silver boundary)."""
-    raw = None
-    for c in columns:
-        part = bronze.select(F.col(c).alias("v")).filter(F.col("v").isNotNull() & (F.col("v") != ""))
-        raw = part if raw is None else raw.unionByName(part)
-    raw = raw.distinct()
-    str_cols = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    vals = None
-    for c in str_cols:
-        part = df.select(F.col(c).alias("v")).filter(F.col("v").isNotNull())
-        vals = part if vals is None else vals.unionByName(part)
-    leaked = vals.distinct().join(raw, "v", "left_semi")
+    raw = bronze.select(F.explode(F.array(*columns)).alias("v")).filter("v <> ''").distinct()
+    texts = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    values = df.select(F.explode(F.array(*texts)).alias("v")).filter("v IS NOT NULL").distinct()
+    leaked = values.join(raw, "v", "left_semi")
     return leaked.agg(F.count(F.lit(1)).alias("raw_ids_found"))
 
 
 def register_bronze(spark, bronze_path: str, privileged: bool = False,
                     view: str = "bronze_transactions_raw") -> str:
-    """Expose bronze to SQL with the mask bound in the view definition.
+    """Expose bronze to SQL, masked unless ``privileged``.
 
-    The mask expression (``***`` + last 4) is written into the view itself,
-    not called through a session function that could later be redefined,
-    so the view can never start returning raw ids, and there is no unmasked
-    window between landing and masking.  Refuses when a PII column is
-    missing.
+    The view is registered over the masked frame, so no name in the session
+    leads to the unmasked rows, and no session function that could later be
+    redefined is involved.  Refuses when a PII column is missing.
     """
-    from ledgerline.functions.masking import MASK_KEEP, MASK_PREFIX
-
-    df = spark.read.parquet(bronze_path)
-    missing = [c for c in PII_COLUMNS if c not in df.columns]
-    if missing:
-        raise ValueError(f"bronze at {bronze_path} lacks mask columns {missing}")
-    base = f"{view}__files"
-    df.createOrReplaceTempView(base)
-
-    def col(c):
-        if c in PII_COLUMNS and not privileged:
-            return f"concat('{MASK_PREFIX}', right(`{c}`, {MASK_KEEP})) AS `{c}`"
-        return f"`{c}`"
-    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {view} AS SELECT "
-              f"{', '.join(col(c) for c in df.columns)} FROM {base}")
+    read_masked(bronze_view(spark, bronze_path), privileged).createOrReplaceTempView(view)
     return view

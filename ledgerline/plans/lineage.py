@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.session import checkpoint_root
+
 
 def edges(spark: SparkSession, models=None) -> DataFrame:
     """``upstream, table_name`` pairs (sources have a NULL upstream)."""
@@ -20,19 +22,22 @@ def edges(spark: SparkSession, models=None) -> DataFrame:
     return spark.createDataFrame(rows, "upstream string, table_name string").distinct()
 
 
-def upstream(edge_df: DataFrame, table: str, max_depth: int = 64) -> DataFrame:
-    """Transitive upstream closure of ``table`` by iterative semi-join; stops
-    when a round adds nothing (the graph is a DAG, so it terminates)."""
+def upstream(edge_df: DataFrame, table: str) -> DataFrame:
+    """Transitive upstream closure of ``table`` by iterative semi-join, until a
+    round adds nothing; a table that is upstream of itself is an error."""
     e = edge_df.filter(F.col("upstream").isNotNull())
     frontier = e.filter(F.col("table_name") == table).select("upstream").distinct()
-    seen = frontier
-    for depth in range(1, max_depth):
+    checkpoint_root(edge_df.sparkSession)
+    seen = frontier = frontier.checkpoint()  # each round is stored, so a deep graph doesn't grow the plan
+    while True:
         nxt = (e.join(frontier.withColumnRenamed("upstream", "table_name"), "table_name", "left_semi")
-               .select("upstream").distinct().join(seen, "upstream", "left_anti"))
+               .select("upstream").distinct().join(seen, "upstream", "left_anti")).checkpoint()
         if nxt.isEmpty():
             break
-        seen = seen.unionByName(nxt).distinct()
+        seen = seen.unionByName(nxt).checkpoint()
         frontier = nxt
+    if not seen.filter(F.col("upstream") == table).isEmpty():
+        raise ValueError(f"lineage of {table} has a cycle")
     return seen.withColumnRenamed("upstream", "table_name").orderBy("table_name")
 
 

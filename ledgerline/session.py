@@ -75,6 +75,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf:
         _register_checkpoint_dir(spark, conf)
         return conf.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not (master.startswith("local[") or master == "local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     spark.conf.set(SCRATCH_KEY, local)
     _register_checkpoint_dir(spark, local)
@@ -105,12 +108,14 @@ def parquet_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).schema  # noqa: B018 - resolves the file listing
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no folder, or no file in it
+            return False
+        raise
 
 
 def scale_profile(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
-                  min_partitions: int = 200, max_partitions: int = 100_000) -> dict[str, str]:
+                  min_partitions: int = 200) -> dict[str, str]:
     """Size shuffles and scan splits for an input of ``input_bytes``.
 
     Shuffle partitions are set high enough that each holds about
@@ -120,7 +125,7 @@ def scale_profile(spark: SparkSession, input_bytes: int, target_partition_bytes:
     tiny tasks at small scale.  Scan splits use the same size.  Returns the
     settings applied (all runtime SQL confs).
     """
-    n = max(min_partitions, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    n = max(min_partitions, -(-input_bytes // target_partition_bytes))
     conf = {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),

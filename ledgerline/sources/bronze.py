@@ -42,7 +42,13 @@ def ledger_path(path: str) -> str:
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The committed batches: those with a ledger row (all, in a table that
+    has no ledger).  Folders of a batch that died before its commit are
+    pruned like any other partition that the join doesn't name."""
+    rows, ledger = spark.read.parquet(path), read_ledger(spark, path)
+    if ledger is None:
+        return rows
+    return rows.join(ledger.select(SOURCE_FILE_COL).distinct(), SOURCE_FILE_COL, "left_semi").select(*rows.columns)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
@@ -160,6 +166,6 @@ def ingest_batch(spark: SparkSession, path: str, source_file: str,
 def bronze_view(spark: SparkSession, path: str) -> DataFrame:
     """Bronze with the column order of the landed schema (partition column
     moved back before ``_load_ts``)."""
-    df = spark.read.parquet(path)
+    df = read_bronze(spark, path)
     raw = [c for c in df.columns if c not in (SOURCE_FILE_COL, LOAD_TS_COL)]
     return df.select(*raw, SOURCE_FILE_COL, LOAD_TS_COL)

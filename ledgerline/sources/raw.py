@@ -8,7 +8,7 @@ arrival clock, one driver-side value for the whole batch).
 
 from __future__ import annotations
 
-import re
+import string
 from collections.abc import Iterable, Sequence
 from datetime import datetime, timezone
 
@@ -39,18 +39,17 @@ NA_STRINGS = (
     "nan", "null",
 )
 
-# A safe source name is only letters, digits and ``._/-``.
-_SAFE_SOURCE_NAME = re.compile(r"[A-Za-z0-9._/-]+")
+# The characters of a folder or file name in a source name.
+_NAME_CHARACTERS = frozenset(string.ascii_letters + string.digits + "._-")
 
 
 def validate_source_name(source_file: str) -> str:
-    """Reject names that could escape a folder or break a literal."""
-    if (not source_file or not isinstance(source_file, str)
-            or not _SAFE_SOURCE_NAME.fullmatch(source_file)
-            or ".." in source_file or source_file.startswith("/")):
-        raise ValueError(
-            f"unsafe source name {source_file!r}: expected a relative path of letters, "
-            f"digits and ._/- with no '..' segment")
+    """A source name is a relative path: parts of plain characters, none of
+    them empty (so it can't start at the root) or leading upwards."""
+    parts = source_file.split("/") if isinstance(source_file, str) else [""]
+    for part in parts:
+        if not part or ".." in part or not _NAME_CHARACTERS.issuperset(part):
+            raise ValueError(f"bad part {part!r} in source name {source_file!r}")
     return source_file
 
 
@@ -76,35 +75,35 @@ def na_to_null(col: str, na_strings: Sequence[str] = NA_STRINGS) -> Column:
     return F.when(c.isin(*na_strings), F.lit(None).cast("string")).otherwise(c)
 
 
-def read_raw(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
+def read_raw(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None,
              na_strings: Sequence[str] | None = NA_STRINGS, fail_long_rows: bool = True,
-             allow_empty: bool = False, multi_line: bool = False) -> DataFrame:
-    """Read a headed CSV file or folder with every column a string.
-
-    ``columns`` pins the expected header (all strings); when omitted the header
-    of the files decides.  Short rows are padded with NULL; a row with more
-    fields than the header fails the batch (the reference's reader raises on
-    those).  An empty source is an error unless ``allow_empty``.
-    ``multi_line`` accepts quoted fields with embedded newlines; it is off by
-    default because it makes every file a single, unsplittable task.
+             allow_empty: bool = False, multi_line: bool = False,
+             extra: Sequence[Column] = ()) -> DataFrame:
+    """Read headed CSV files or folders with every column a string.
+
+    Columns go by the names in the header.  ``columns`` pins which ones there
+    must be, in any order, and gives the order of the result; every file's
+    own header is held against the first one's, so a file whose columns are
+    ordered differently fails instead of landing swapped.  Short rows are
+    padded with NULL; a row with more fields than the header fails the batch.
+    An empty source is an error unless ``allow_empty``.  ``multi_line``
+    accepts quoted fields with line breaks; it is off by default because it
+    makes every file a single, unsplittable task.  ``extra`` columns (of the
+    file metadata) are added.
     """
-    reader = (spark.read.option("header", "true").option("escape", '"')
+    paths = [path] if isinstance(path, str) else list(path)
+    header = spark.read.option("header", "true").option("escape", '"').csv(paths).columns
+    if columns is not None and sorted(columns) != sorted(header):
+        raise ValueError(f"header {header} of {paths[0]} doesn't have the columns {list(columns)}")
+    reader = (spark.read.option("header", "true").option("escape", '"').option("enforceSchema", "false")
               .option("multiLine", "true" if multi_line else "false")
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL))
-    if columns is None:
-        columns = spark.read.option("header", "true").option("escape", '"').csv(path).columns
-    schema = StructType([StructField(c, StringType(), True) for c in columns]
-                        + [StructField(CORRUPT_COL, StringType(), True)])
-    df = reader.schema(schema).csv(path)
-    cols = []
-    for i, c in enumerate(columns):
-        col = na_to_null(c, na_strings) if na_strings else F.col(c)
-        if i == 0 and fail_long_rows:
-            # Single pass: a row longer than the header raises inside the
-            # landing task itself (re-parsed only when Spark flagged it).
-            col = long_row_guard(columns).otherwise(col)
-        cols.append(col.alias(c))
-    df = df.select(*cols)
+    schema = StructType([StructField(c, StringType(), True) for c in [*header, CORRUPT_COL]])
+    df = reader.schema(schema).csv(paths)
+    if fail_long_rows:
+        # a filter, so that no projection of the result can drop the check
+        df = df.filter(long_row_guard(header).otherwise(F.lit(True)))
+    df = df.select(*[(na_to_null(c, na_strings) if na_strings else F.col(c)).alias(c) for c in columns or header], *extra)
     if not allow_empty and df.isEmpty():
         raise ValueError(f"source {path} parsed to 0 rows; refusing to land an empty batch")
     return df
@@ -115,8 +114,10 @@ def long_row_guard(columns: Sequence[str]) -> Column:
     wide = ", ".join(f"`c{i}` STRING" for i in range(len(columns) + 1))
     extra = F.from_csv(F.col(CORRUPT_COL), wide, {"escape": '"'}).getField(f"c{len(columns)}")
     is_long = F.col(CORRUPT_COL).isNotNull() & extra.isNotNull()
-    msg = F.concat(F.lit(f"row longer than the header ({len(columns)} fields): "), F.col(CORRUPT_COL))
-    return F.when(is_long, F.raise_error(msg))
+    # (a parsed column is named too: Spark refuses to read the corrupt record alone)
+    msg = F.concat(F.lit(f"row longer than the header ({len(columns)} fields): "), F.col(CORRUPT_COL),
+                   F.lit(" near "), F.coalesce(F.col(columns[0]), F.lit("")))
+    return F.when(is_long, F.raise_error(msg).cast("boolean"))
 
 
 def now_utc() -> datetime:

@@ -16,7 +16,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -25,7 +24,8 @@ from ledgerline.operators.dedup import latest_by
 from ledgerline.operators.upsert import merge_latest
 from ledgerline.sources.bronze import ensure_ledger, read_ledger, write_batches
 from ledgerline.sources.raw import (
-    LOAD_TS_COL, NA_STRINGS, RAW_COLUMNS, SOURCE_FILE_COL, na_to_null, now_utc,
+    LOAD_TS_COL, NA_STRINGS, PII_COLUMNS, RAW_COLUMNS, SOURCE_FILE_COL, bronze_schema, now_utc, read_raw,
+    validate_source_name,
 )
 from ledgerline.functions.columns import as_ntz
 
@@ -44,38 +44,35 @@ def _re_escape(s: str) -> str:
 
 def ingest_stream(spark: SparkSession, in_dir: str, table_path: str, checkpoint: str,
                   columns: Sequence[str] = RAW_COLUMNS, max_files_per_trigger: int = 1000,
-                  na_strings: Sequence[str] = NA_STRINGS) -> None:
+                  na_strings: Sequence[str] = NA_STRINGS, pii: Sequence[str] = PII_COLUMNS) -> None:
     """Land every new CSV file under ``in_dir`` into bronze, once.
 
-    Micro-batches hold at most ``max_files_per_trigger`` files, which bounds
-    the per-batch list of names the ledger records.  Files already in the
-    ledger are removed with an anti join against the ledger as a DataFrame
-    (no driver-side list; Spark sizes the join).
+    The stream only tells which files are new (at most
+    ``max_files_per_trigger`` a micro-batch, which bounds the list of names);
+    they are read by the batch reader, under the same contract: columns by
+    header name, long rows and missing mask columns refused, names checked
+    before anything is written.  Files already in the ledger are left out by
+    an anti join.
     """
-    schema = StructType([StructField(c, StringType(), True) for c in columns])
-    reader = (spark.readStream.schema(schema).option("header", "true").option("escape", '"')
-              .option("recursiveFileLookup", "true")
-              .option("maxFilesPerTrigger", str(max_files_per_trigger)))
-    stream = reader.csv(in_dir).select(*[na_to_null(c, na_strings).alias(c) for c in columns],
-                                       _relative_name(in_dir).alias(SOURCE_FILE_COL))
+    bronze_schema(columns, pii)
+    named = (spark.readStream.schema(StructType([StructField(c, StringType(), True) for c in columns]))
+             .option("header", "true").option("recursiveFileLookup", "true")
+             .option("maxFilesPerTrigger", str(max_files_per_trigger)).csv(in_dir)
+             .select(F.col("_metadata.file_path").alias("path"), _relative_name(in_dir).alias(SOURCE_FILE_COL)))
 
     def land(batch: DataFrame, epoch_id: int) -> None:
         ensure_ledger(spark, table_path)
-        done = read_ledger(spark, table_path)
-        fresh = batch if done is None else batch.join(
-            done.select(SOURCE_FILE_COL).distinct(), SOURCE_FILE_COL, "left_anti")
-        # one parse of the micro-batch's files, shared by the name list and
-        # the write (executor-local; a lost block is recomputed from the files)
-        stamped = fresh.withColumn(LOAD_TS_COL, as_ntz(now_utc())).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            names = [r[0] for r in stamped.select(SOURCE_FILE_COL).distinct().collect()]
-            if names:
-                # dynamic overwrite of these files' partitions, then their ledger rows
-                write_batches(stamped.select(*columns, SOURCE_FILE_COL, LOAD_TS_COL), table_path, names)
-        finally:
-            stamped.unpersist()
-
-    q = (stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+        files, done = batch.distinct(), read_ledger(spark, table_path)
+        if done is not None:
+            files = files.join(done.select(SOURCE_FILE_COL).distinct(), SOURCE_FILE_COL, "left_anti")
+        new = {r["path"]: validate_source_name(r[SOURCE_FILE_COL]) for r in files.collect()}
+        if new:
+            rows = read_raw(spark, sorted(new), columns, na_strings, allow_empty=True,
+                            extra=[_relative_name(in_dir).alias(SOURCE_FILE_COL)])
+            # dynamic overwrite of these files' partitions, then their ledger rows
+            write_batches(rows.withColumn(LOAD_TS_COL, as_ntz(now_utc())), table_path, sorted(new.values()))
+
+    q = (named.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 

@@ -110,3 +110,58 @@ def test_partition_path_matches_spark_escaping(spark, tmp):
         assert os.path.isdir(bronze_table.partition_path(path, name))
     got = bronze_table.read_batches(spark, path, ["events/batch-0"])
     assert got.select("_source_file").distinct().collect()[0][0] == "events/batch-0"
+
+
+def test_columns_go_by_header_name(spark, tmp):
+    p = os.path.join(tmp, "swap")
+    _write(p + "/a.csv", "step,nameDest,type,nameOrig\n1,M1,PAYMENT,C1\n")
+    row = read_raw(spark, p, ["step", "type", "nameOrig", "nameDest"]).first()
+    assert row.asDict() == {"step": "1", "type": "PAYMENT", "nameOrig": "C1", "nameDest": "M1"}
+    with pytest.raises(ValueError, match="header"):
+        read_raw(spark, p, ["step", "type"])
+    _write(p + "/b.csv", "step,type,nameOrig,nameDest\n2,PAYMENT,C2,M2\n")
+    with pytest.raises(Exception):  # two orders in one folder never land swapped
+        read_raw(spark, p, ["step", "type", "nameOrig", "nameDest"]).collect()
+
+
+def test_long_row_fails_whatever_is_selected(spark, tmp):
+    p = os.path.join(tmp, "long", "a.csv")
+    _write(p, "step,type\n1,PAYMENT\n2,DEBIT,EXTRA\n")
+    with pytest.raises(Exception, match="longer than the header"):
+        read_raw(spark, p, allow_empty=True).select("type").collect()
+
+
+HEADER = ",".join(RAW_COLUMNS)
+
+
+def test_stream_has_the_batch_contract(spark, tmp):
+    good = "1,PAYMENT,5.00,C1,9,4,M1,0,0,0,0"
+    swapped = ",".join(reversed(RAW_COLUMNS)) + "\n" + ",".join(reversed(good.split(","))) + "\n"
+    landing, table, ckpt = (os.path.join(tmp, n) for n in ("land", "table", "ckpt"))
+    _write(landing + "/b/one.csv", swapped)
+    ingest_stream(spark, landing, table, ckpt)
+    row = bronze_table.read_bronze(spark, table).first()
+    assert (row["nameOrig"], row["nameDest"], row["_source_file"]) == ("C1", "M1", "b/one.csv")
+    _write(landing + "/b/two.csv", f"{HEADER}\n{good}\n{good},EXTRA,MORE\n")
+    with pytest.raises(Exception, match="longer than the header"):
+        ingest_stream(spark, landing, table, ckpt)
+    assert bronze_table.read_bronze(spark, table).count() == 1
+    with pytest.raises(ValueError, match="mask columns"):
+        ingest_stream(spark, landing, table, ckpt, columns=["step", "type"])
+
+
+def test_unsafe_names_are_refused_before_anything_is_written(spark, tmp):
+    landing, table, ckpt = (os.path.join(tmp, n) for n in ("land", "table", "ckpt"))
+    _write(landing + "/a b.csv", f"{HEADER}\n1,PAYMENT,5.00,C1,9,4,M1,0,0,0,0\n")
+    with pytest.raises(Exception, match="source name"):
+        ingest_stream(spark, landing, table, ckpt)
+    assert not bronze_table.table_exists(spark, table)
+
+
+def test_readers_see_committed_batches_only(spark, tmp):
+    path = os.path.join(tmp, "bronze")
+    bronze_table.ingest_batch(spark, path, "one", lambda: fixture.batch(spark, SF001, 1, stamped=False), "2024-02-02 00:00:00")
+    n = bronze_table.read_bronze(spark, path).count()
+    stray = stamp(fixture.batch(spark, SF001, 1, stamped=False), "two", "2024-02-03 00:00:00")
+    stray.write.mode("append").partitionBy("_source_file").parquet(path)  # died before its ledger row
+    assert bronze_table.read_bronze(spark, path).count() == n == bronze_table.bronze_view(spark, path).count()
