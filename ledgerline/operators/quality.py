@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import as_ntz
-from ledgerline.operators.sizing import broadcast_if_bounded
 
 CHECK_SCHEMA = "check string, table_name string, column_name string, failures bigint, status string"
 
@@ -61,21 +60,18 @@ def accepted_values(df: DataFrame, column: str, values: Iterable, table: str) ->
 
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str,
-                  table: str, parent_table: str, broadcast_max_rows: int = 0) -> DataFrame:
+                  table: str, parent_table: str) -> DataFrame:
     """Orphan child rows (non-NULL key, no parent).
 
     Both sides are aggregated by key before they meet: the child side counts
     rows per key (partial aggregation, so a key holding a third of the child
     collapses map-side), the parent side is de-duplicated, and the two
     aggregates are already hash-partitioned on the join key, so the anti join
-    adds no shuffle.  The parent is broadcast only when a bound is given and
-    its row count is checked under it.
+    adds no shuffle.
     """
     child_keys = (child.select(F.col(column).alias("_ck")).filter(F.col("_ck").isNotNull())
                   .groupBy("_ck").agg(F.count(F.lit(1)).alias("_n")))
     keys = parent.select(F.col(parent_column).alias("_pk")).distinct()
-    if broadcast_max_rows:
-        keys = broadcast_if_bounded(keys, broadcast_max_rows)
     orphans = child_keys.join(keys, F.col("_ck") == F.col("_pk"), "left_anti")
     return _row(orphans.agg(F.sum("_n").alias("x")), "relationships",
                 table, f"{column}->{parent_table}.{parent_column}", F.col("x"))

@@ -1,22 +1,8 @@
-"""Size-checked broadcast.
-
-A side is broadcast only after its row count is measured and found under a
-bound; beyond the bound the plain frame is returned and Spark shuffles (AQE
-can still convert at run time).  The count is one cheap aggregate over an
-input that is small by construction -- callers pass dimensions, not facts.
-"""
+"""Sorting of small results."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-DEFAULT_MAX_ROWS = 1_000_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
 
 def sort_bounded(df: DataFrame, *cols) -> DataFrame:

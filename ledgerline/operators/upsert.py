@@ -20,7 +20,6 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.sizing import broadcast_if_bounded
 from ledgerline.session import parquet_exists, scratch_path
 
 # High-water mark used when the target is empty.
@@ -103,8 +102,14 @@ def bucket_column(spark: SparkSession, path: str, requested: int | None) -> str
     return f"{BUCKET_PREFIX}{requested}" if requested and requested > 1 else None
 
 
+def _clustered(df: DataFrame, parts: list[str]) -> DataFrame:
+    """Rows of a folder together, so a task doesn't write a file into every
+    folder; adaptive execution splits a hot folder and joins small ones."""
+    return df.hint("rebalance", *parts)
+
+
 def _rewrite(spark: SparkSession, path: str, updates: DataFrame, key: str, partition: str,
-             buckets: int | None, combine, first_write) -> int:
+             buckets: int | None, combine, first_write, replace: bool = False) -> int:
     """Partition-scoped rewrite shared by ``upsert`` and ``merge_latest``.
 
     Only the folders the batch touches -- (date) or (date, key bucket) -- are
@@ -113,14 +118,15 @@ def _rewrite(spark: SparkSession, path: str, updates: DataFrame, key: str, parti
     rewritten through a staged copy with dynamic partition overwrite.
     Returns the number of rewritten folders.
     """
-    bcol = bucket_column(spark, path, buckets)
+    bcol = (f"{BUCKET_PREFIX}{buckets}" if buckets and buckets > 1 else None) if replace else bucket_column(spark, path, buckets)
     parts = [partition]
     if bcol:
         n = int(bcol[len(BUCKET_PREFIX):])
         updates = updates.withColumn(bcol, F.pmod(F.xxhash64(F.col(key)), F.lit(n)))
         parts.append(bcol)
-    if not _exists(spark, path):
-        first_write(updates).write.mode("overwrite").partitionBy(*parts).parquet(path)
+    if replace or not _exists(spark, path):
+        _clustered(first_write(updates), parts).write.mode("overwrite").option("partitionOverwriteMode", "static") \
+            .partitionBy(*parts).parquet(path)
         return updates.select(*parts).distinct().count()
     # Touched folders: one row per (date[, bucket]) -- bounded by the layout.
     touched = [tuple(r) for r in updates.select(*parts).distinct().collect()]
@@ -137,11 +143,10 @@ def _rewrite(spark: SparkSession, path: str, updates: DataFrame, key: str, parti
     current = target.filter(pred)  # static partition pruning: touched dates x buckets
     if bcol:
         # narrow the date x bucket superset to exactly the touched pairs
-        pairs = broadcast_if_bounded(updates.select(*parts).distinct(), 1_000_000)
-        current = current.join(pairs, parts, "left_semi")
+        current = current.join(updates.select(*parts).distinct(), parts, "left_semi")
     merged = combine(current, updates.select(*target.columns))
     staged = scratch_path(spark, "rewrite-stage")
-    merged.write.mode("overwrite").partitionBy(*parts).parquet(staged)
+    _clustered(merged, parts).write.mode("overwrite").partitionBy(*parts).parquet(staged)
     (spark.read.parquet(staged).select(*target.columns).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
     return len(touched)
@@ -174,14 +179,14 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = "trans
 
 def merge_latest(spark: SparkSession, path: str, updates: DataFrame, key: str = "transaction_id",
                  partition: str = "date_key", order=(("_load_ts", "desc"),),
-                 stage_updates: bool = True, buckets: int | None = None) -> int:
+                 stage_updates: bool = True, buckets: int | None = None, replace: bool = False) -> int:
     """Upsert where the row that ranks first under ``order`` wins, whether it
     is already in the table or in the batch -- an older correction arriving
     late never overwrites a newer one.  Same partition-scoped rewrite (and
-    optional key buckets) as ``upsert``."""
+    optional key buckets) as ``upsert``; ``replace`` starts the table anew."""
     from ledgerline.operators.dedup import latest_by
 
     updates = _staged(spark, updates, stage_updates)
     return _rewrite(spark, path, updates, key, partition, buckets,
                     lambda cur, upd: latest_by(cur.unionByName(upd), key, order),
-                    lambda upd: latest_by(upd, key, order))
+                    lambda upd: latest_by(upd, key, order), replace)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import as_ntz
 from ledgerline.operators.rank import ntile_global
-from ledgerline.operators.sizing import broadcast_if_bounded
 
 FACT_COLUMNS = (
     "transaction_id", "date_key", "transaction_type", "orig_account_key", "dest_account_key",
@@ -129,13 +128,12 @@ def dim_transaction_type(spark: SparkSession) -> DataFrame:
                                  "transaction_type string, description string, flow_direction string")
 
 
-def mart(fact_df: DataFrame, dim_date_df: DataFrame, dim_customer_df: DataFrame,
-         date_broadcast_rows: int = 100_000) -> DataFrame:
+def mart(fact_df: DataFrame, dim_date_df: DataFrame, dim_customer_df: DataFrame) -> DataFrame:
     """Daily settled volume by day x type x customer segment.
 
     Plan: the narrow fact projection (5 columns) is semi-joined with the
-    calendar (broadcast only after its row count is checked against a bound;
-    it grows with days, not rows), then inner-joined with the customer
+    calendar (small, so adaptive execution broadcasts it by its measured
+    size), then inner-joined with the customer
     segment on the customer key -- one shuffle of the fact.  The dimension
     side is unique per key, so a customer holding a third of all rows only
     makes the fact side of one partition large, which AQE's skew-join split
@@ -146,7 +144,7 @@ def mart(fact_df: DataFrame, dim_date_df: DataFrame, dim_customer_df: DataFrame,
     """
     f = fact_df.filter(F.col("orig_customer_key").isNotNull()).select(
         "date_key", "transaction_type", "orig_customer_key", "amount", "is_fraud")
-    days = broadcast_if_bounded(dim_date_df.select("date_key"), date_broadcast_rows)
+    days = dim_date_df.select("date_key")
     seg = dim_customer_df.select(F.col("customer_key").alias("orig_customer_key"), "segment")
     j = f.join(days, "date_key", "left_semi").join(seg, "orig_customer_key", "inner")
     agg = j.groupBy("date_key", "transaction_type", F.col("segment").alias("customer_segment")).agg(

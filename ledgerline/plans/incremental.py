@@ -61,11 +61,18 @@ def new_batches(spark: SparkSession, bronze_path: str, root: str) -> DataFrame:
     return landed
 
 
+BATCHES_SCHEMA = f"{SOURCE_FILE_COL} string, processed_at timestamp_ntz"
+
+
 def update_silver(spark: SparkSession, bronze_path: str, root: str, buckets: int | None = None) -> int:
     """Process the new batches; returns how many there were.  ``buckets``
     (new silver tables only) adds key buckets under the event-date folders,
     so a merge rewrites (date, bucket) folders instead of whole days."""
     p = paths(root)
+    # a full run leaves a table without day folders: start over from all batches
+    anew = parquet_exists(spark, p["transactions"]) and EVENT_DATE not in spark.read.parquet(p["transactions"]).columns
+    if anew:
+        spark.createDataFrame([], BATCHES_SCHEMA).write.mode("overwrite").parquet(p["batches"])
     # batch names, not rows: one entry per landed batch (metadata-sized)
     names = sorted(r[0] for r in new_batches(spark, bronze_path, root).collect())
     if not names:
@@ -76,12 +83,7 @@ def update_silver(spark: SparkSession, bronze_path: str, root: str, buckets: int
     staged.write.parquet(stg_path)  # written once, read by the three consumers below
     staged = spark.read.parquet(stg_path)
 
-    eligible = silver.clean_eligible(staged).withColumn(EVENT_DATE, F.to_date("event_ts"))
-    merge_latest(spark, p["transactions"], eligible, "transaction_id", EVENT_DATE, silver.DEDUP_ORDER,
-                 stage_updates=False,  # eligible reads the staged batch already written above
-                 buckets=buckets)
-
-    (silver.quarantine(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (silver.quarantine(staged).write.mode("overwrite").option("partitionOverwriteMode", "static" if anew else "dynamic")
      .partitionBy(SOURCE_FILE_COL).parquet(p["quarantine"]))
 
     bad = F.col("_quarantine_reason").isNotNull()
@@ -92,9 +94,14 @@ def update_silver(spark: SparkSession, bronze_path: str, root: str, buckets: int
         F.sum(F.when(~bad, F.col("amount"))).alias("eligible_amount"),
         F.count_if(bad).alias("quarantine_rows"),
         F.sum(F.when(bad, F.col("amount"))).alias("quarantine_amount"))
-    (stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (stats.write.mode("overwrite").option("partitionOverwriteMode", "static" if anew else "dynamic")
      .partitionBy(SOURCE_FILE_COL).parquet(p["stats"]))
 
+    eligible = silver.clean_eligible(staged).withColumn(EVENT_DATE, F.to_date("event_ts"))
+    merge_latest(spark, p["transactions"], eligible, "transaction_id", EVENT_DATE, silver.DEDUP_ORDER,
+                 stage_updates=False,  # eligible reads the staged batch already written above
+                 buckets=buckets, replace=anew)
+
     (spark.createDataFrame([(n,) for n in names], f"{SOURCE_FILE_COL} string")
      .withColumn("processed_at", as_ntz(now_utc())).coalesce(1)
      .write.mode("append").parquet(p["batches"]))

@@ -2,7 +2,8 @@
 
 ``stride = max(1, total // n)`` and at most ``n`` rows are kept.  The global
 position comes from the distributed index (``operators.rank``), so no row is
-funnelled through one task and the result does not depend on partitioning.
+funnelled through one task; under a total order the result does not depend on
+partitioning (ties in a partial order fall to a row id, which does).
 When ``total < 2n`` the stride is 1 and the sample is the first ``n`` rows of
 the order -- the defined behaviour of a systematic sample.
 """
@@ -27,18 +28,15 @@ def systematic_sample(df: DataFrame, n: int, order_by: Sequence[str | Column],
     return indexed.filter((F.pmod(idx, F.lit(stride)) == 0) & (idx < F.lit(n * stride)))
 
 
-def systematic_sample_files(spark, path: str, n: int, index_col: str = "_index",
-                            broadcast_max_files: int = 1_000_000) -> DataFrame:
+def systematic_sample_files(spark, path: str, n: int, index_col: str = "_index") -> DataFrame:
     """Systematic sample of a Parquet table in *file order* (files by path,
     rows by their position inside the file) -- the order of lines in the
     source, with no sort and no shuffle of the data.
 
     Global position = offset of the file + Parquet row index.  The offsets
-    come from one aggregate with one row per file (bounded by the file count,
-    checked before it is broadcast), so the cost is one extra metadata pass.
+    come from one aggregate with one row per file, which Spark broadcasts or
+    shuffles by its measured size; the cost is one extra metadata pass.
     """
-    from ledgerline.operators.sizing import broadcast_if_bounded
-
     if n < 1:
         raise ValueError("sample size must be >= 1")
     df = spark.read.parquet(path)
@@ -50,7 +48,7 @@ def systematic_sample_files(spark, path: str, n: int, index_col: str = "_index",
     offsets = per_file.select("_file", w_prev.alias("_offset"), "_n")
     total = offsets.agg(F.sum("_n")).first()[0] or 0
     stride = max(1, total // n)
-    offsets = broadcast_if_bounded(offsets.select("_file", "_offset"), broadcast_max_files)
+    offsets = offsets.select("_file", "_offset")
     idx = (F.col("_offset") + F.col("_row")).alias(index_col)
     out = tagged.join(offsets, "_file").select(*data_cols, idx)
     i = F.col(index_col)
