@@ -21,7 +21,7 @@ import numpy as np
 # Code points that some libraries, but not all, treat as white space or zero width.
 _RARE = ((0x1C, 0x1F), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x180E, 0x180E), (0x2000, 0x200D),
          (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x2060), (0x3000, 0x3000), (0xFEFF, 0xFEFF))
-_RARE_SPACE = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _RARE) + "]")
+RARE_SPACE = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _RARE) + "]")
 _SPACED = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 CHUNKS = 1_000_000  # distinct chunks that a worker remembers
 SLICE = 2_000_000  # characters handled at once
@@ -59,6 +59,15 @@ class _Table(dict):
         return at
 
 
+def appended(room: np.ndarray, held: int, more: np.ndarray) -> np.ndarray:
+    """``room`` with ``more`` after its first ``held`` entries; it doubles
+    when it is full, so appending costs what is appended."""
+    if held + len(more) > len(room):
+        room = np.concatenate([room[:held], np.zeros(max(held, 2 * len(more), 1024), room.dtype)])
+    room[held:held + len(more)] = more
+    return room
+
+
 class Encoder:
     """``ids`` encodes a list of strings; ``cut`` divides a text into chunks
     that can be encoded apart; texts that ``whole`` finds are not divided."""
@@ -71,13 +80,16 @@ class Encoder:
     def _clear(self) -> None:
         self._table = _Table()
         self._flat, self._start, self._size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self._ids_held = self._held = 0  # the arrays have room beyond these
 
     def _learn(self) -> None:
         ids = self._ids(self._table.new)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        self._start = np.concatenate([self._start, len(self._flat) + np.cumsum(sizes) - sizes])
-        self._size = np.concatenate([self._size, sizes])
-        self._flat = np.concatenate([self._flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))])
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+        self._start = appended(self._start, self._held, self._ids_held + np.cumsum(sizes) - sizes)
+        self._size = appended(self._size, self._held, sizes)
+        self._flat = appended(self._flat, self._ids_held, flat)
+        self._held, self._ids_held = self._held + len(sizes), self._ids_held + len(flat)
         self._table.new = []
 
     def numbers(self, chunks: Iterable[str], n: int) -> np.ndarray:
@@ -126,7 +138,7 @@ def library_encoder(path: str, cut: Callable[[str], list[str]]) -> Encoder:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
     return Encoder(lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)],
-                   cut, _RARE_SPACE)
+                   cut, RARE_SPACE)
 
 
 def slices(texts: Sequence[str], limit: int = SLICE) -> Iterator[tuple[int, int]]:

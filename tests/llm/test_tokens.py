@@ -29,7 +29,7 @@ def test_chunked_encoding_equals_the_library(name, cut):
     for _ in range(2):  # cold and warm
         ids, sizes = encoder.encode(TEXTS)
         assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [plain(t) for t in TEXTS]
-    small = tokens.Encoder(lambda c: [plain(x) for x in c], cut, tokens._RARE_SPACE, chunks=3)  # room for 3: starts over
+    small = tokens.Encoder(lambda c: [plain(x) for x in c], cut, tokens.RARE_SPACE, chunks=3)  # room for 3: starts over
     for t in TEXTS[:6]:
         assert small.encode([t])[0].tolist() == plain(t)
 
