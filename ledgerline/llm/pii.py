@@ -117,13 +117,13 @@ def disclosures(docs: DataFrame, found: DataFrame, terms: DataFrame, text: str =
     pairs = stored(contexts.join(both, [*entity, "term"]), "pairs")
     of_entity = terms.select(*entity, "h1", "h2").distinct().groupBy(*entity).agg(F.count(F.lit(1)).alias("n_entity"))
     n = found.count()
-    # all documents' words against the terms in question; a small set is broadcast by its stored size
-    asked = stored(pairs.select("term").distinct(), "terms")
-    if asked.isEmpty():
+    if pairs.isEmpty():
         return pairs.select(*entity, "term", F.lit(0.0).alias("disclosure"))
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
         F.lower(F.coalesce(F.col(f"`{text}`"), F.lit(""))), F.lit(TERM), F.lit(0)))).alias("term"))
-    of_term = words.join(asked, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    # counted before the join, so that a frequent term reaches it as one row
+    # (a semi join would be pushed below the count, an inner join isn't)
+    of_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     known = pairs.join(of_entity, entity).join(of_term, "term")
     score = 1 - F.log(F.greatest(F.col("n_term") / F.col("n_both"), F.lit(1.0))) / F.log(F.lit(float(n + 1)) / F.col("n_entity"))
     return known.select(*entity, "term", score.alias("disclosure"))
