@@ -1,21 +1,25 @@
 """Personal data: patterned entities, and the terms that reveal them.
 
 Entities (e-mail, IP address, card, phone) are found by their patterns.  A
-text may still disclose an entity by the words around it.  So every term near
-a mention is weighed by what the corpus says: with document counts n,
+text may still disclose an entity by its other words.  So every term of every
+document with a mention is weighed by what the corpus says: with counts n of
+distinct documents,
 
     disclosure(t, e) = PMI(t; e) / IC(e)
-                     = 1 - log(n(t) / n(t near e)) / log(N / n(e)),
+                     = 1 - log(n(t) / n(t with e)) / log(N / n(e)),
 
 the share of the entity's information that the term gives away: 1 when it
-never occurs without the entity, 0 when the two are independent.  From
-``GENERALISE_FROM`` a term is replaced by its class, from ``REMOVE_FROM`` it is
-removed.  Only pairs seen in ``SUPPORT`` different contexts are weighed, so
-that copies of one text don't make its words suspicious.
-
-All counts are over all documents.  Only mentions and their contexts are
-shuffled, and the document counts of terms that have the support.  All steps
-are DataFrame expressions.
+never occurs without the entity, 0 when the two are independent.  A term is
+judged by the entity it discloses most of: from ``GENERALISE_FROM`` it is
+replaced by its class, from ``REMOVE_FROM`` it is removed, wherever it occurs,
+in documents without a mention too.  Only pairs seen in ``SUPPORT`` different
+contexts (the text around the mentions) are weighed, so that copies of one
+text don't make its words suspicious.  Entities that occur in the same
+documents have the same counts and are weighed as one.
+
+All counts are over all documents.  Texts are shuffled to find repeated rows,
+their distinct terms to meet the revealing ones, and the places of terms in
+documents that have some.  All steps are DataFrame expressions.
 
 Defined results: a null text counts as empty and has no spans; repeated rows
 each get their result and count once as evidence; an empty table gives an
@@ -59,7 +63,7 @@ RULES = (
 )
 TERM_RANK = len(RULES)
 TERM = r"[\p{L}\p{N}]{3,}"
-REACH = 80  # characters on either side of a mention that are its context
+REACH = 80  # characters on either side of a mention that are its context, which tells copies apart
 SUPPORT = 3
 GENERALISE_FROM, REMOVE_FROM = 0.8, 0.95
 
@@ -70,85 +74,80 @@ def _keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
                        d.alias("doc_id"), t.alias("text"))
 
 
-def _contexts(text: Column, plain: Column, spans: Column) -> Column:
-    """For each mention: what it is, and the text around without mentions."""
+def _mentions(text: Column, plain: Column, spans: Column) -> Column:
+    """For each mention: what it is, and a hash of the text around without mentions."""
     def one(x: Column) -> Column:
         a = F.greatest(x["s"] - REACH, F.lit(0))
         return F.struct(x["kind"].alias("kind"), F.lower(F.substring(text, x["s"] + 1, x["e"] - x["s"])).alias("value"),
-                        a.alias("at"), F.substring(plain, a + 1, x["e"] + REACH - a).alias("context"),
-                        (x["e"] + REACH < F.length(text)).alias("goes_on"))
+                        F.xxhash64(F.substring(plain, a + 1, x["e"] + REACH - a)).alias("seen_in"))
     return F.transform(spans, one)
 
 
 def entities(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """h1, h2, doc_id, spans and contexts of each document's entities."""
+    """Of each distinct row: h1, h2, the spans and mentions of its entities,
+    and the text without them ("plain")."""
     numbered = list(enumerate(RULES))
-    keyed = _keyed(docs, text, doc_id)
+    keyed = _keyed(docs, text, doc_id).select("h1", "h2", "text")
     found = keyed.withColumns(matches(F.col("text"), numbered)).select(
-        "h1", "h2", "doc_id", "text", located(F.col("text"), numbered).alias("spans"))
-    plain = found.withColumn("plain", F.when(F.size("spans") > 0, blanked(F.col("text"), F.col("spans"))))
-    around = F.when(F.size("spans") > 0, _contexts(F.col("text"), F.col("plain"), F.col("spans")))
-    return plain.select("h1", "h2", "doc_id", "spans", around.alias("mentions"))
-
-
-def _terms(found: DataFrame) -> DataFrame:
-    """One row per term in a context: document, entity, seen_in, term, s, e."""
-    mentions = found.filter("mentions IS NOT NULL").dropDuplicates(["h1", "h2"]).select(
-        "h1", "h2", F.explode("mentions").alias("m")).select("h1", "h2", "m.*")
-    hits = F.regexp_extract_all("context", F.lit(TERM), F.lit(0))
-    seen = mentions.withColumn("hits", hits).filter(F.size("hits") > 0)
-    spans = spans_of(F.col("hits"), F.split("context", TERM, -1), "term", TERM_RANK)
-    spread = seen.select("h1", "h2", "kind", "value", "at", "goes_on", F.length("context").alias("width"),
-                         F.xxhash64("context").alias("seen_in"),
-                         F.explode(F.arrays_zip(F.col("hits").alias("t"), spans.alias("x"))).alias("z"))
-    whole = ((F.col("at") == 0) | (F.col("z.x.s") > 0)) & (~F.col("goes_on") | (F.col("z.x.e") < F.col("width")))
-    return spread.filter(whole).select("h1", "h2", "kind", "value", "seen_in", F.lower("z.t").alias("term"),
-                                       (F.col("z.x.s") + F.col("at")).alias("s"), (F.col("z.x.e") + F.col("at")).alias("e"))
-
-
-def disclosures(docs: DataFrame, found: DataFrame, terms: DataFrame, text: str = "text",
-                support: int = SUPPORT) -> DataFrame:
-    """kind, value, term, disclosure of the pairs that have the support."""
-    entity = ["kind", "value"]
-    contexts = terms.groupBy(*entity, "term", "seen_in").agg(F.count(F.lit(1)).alias("x")) \
-        .groupBy(*entity, "term").count().filter(F.col("count") >= support).select(*entity, "term")
-    both = terms.select(*entity, "term", "h1", "h2").distinct().groupBy(*entity, "term").agg(
-        F.count(F.lit(1)).alias("n_both"))
-    pairs = stored(contexts.join(both, [*entity, "term"]), "pairs")
-    of_entity = terms.select(*entity, "h1", "h2").distinct().groupBy(*entity).agg(F.count(F.lit(1)).alias("n_entity"))
-    n = found.count()
-    if pairs.isEmpty():
-        return pairs.select(*entity, "term", F.lit(0.0).alias("disclosure"))
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower(F.coalesce(F.col(f"`{text}`"), F.lit(""))), F.lit(TERM), F.lit(0)))).alias("term"))
-    # counted before the join, so that a frequent term reaches it as one row
-    # (a semi join would be pushed below the count, an inner join isn't)
-    of_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    known = pairs.join(of_entity, entity).join(of_term, "term")
-    score = 1 - F.log(F.greatest(F.col("n_term") / F.col("n_both"), F.lit(1.0))) / F.log(F.lit(float(n + 1)) / F.col("n_entity"))
-    return known.select(*entity, "term", score.alias("disclosure"))
-
-
-def _scan(docs: DataFrame, text: str, doc_id: str, support: int) -> tuple[DataFrame, DataFrame]:
-    found = stored(entities(docs, text, doc_id), "entities")
-    terms = stored(_terms(found), "terms")
-    weighed = stored(disclosures(docs, found, terms, text, support)
-                     .filter(F.col("disclosure") >= GENERALISE_FROM), "disclosures")
+        "h1", "h2", "text", located(F.col("text"), numbered).alias("spans"))
+    plain = found.withColumn("plain", F.when(F.size("spans") > 0, blanked(F.col("text"), F.col("spans"))).otherwise(F.col("text")))
+    around = F.when(F.size("spans") > 0, _mentions(F.col("text"), F.col("plain"), F.col("spans")))
+    return plain.select("h1", "h2", "plain", "spans", around.alias("mentions")).dropDuplicates(["h1", "h2"])
+
+
+def _hits() -> Column:
+    return F.regexp_extract_all("plain", F.lit(TERM), F.lit(0))
+
+
+def _terms(texts: DataFrame, *also: str) -> DataFrame:
+    """One row per distinct term of each text."""
+    return texts.select(*also, F.explode(F.array_distinct(F.transform(_hits(), F.lower))).alias("term"))
+
+
+def disclosures(texts: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """term, disclosure of the terms that occur with an entity and have the
+    support, each by the entity that it discloses most of."""
+    near = texts.filter("mentions IS NOT NULL")
+    seen = near.select("tid", "h1", "h2", F.explode("mentions").alias("m")).select("tid", "h1", "h2", "m.*") \
+        .groupBy("tid", "h1", "h2", "kind", "value").agg(F.min("seen_in").alias("seen_in"))
+    # an entity's documents as a set: their number and two sums of hashes
+    sets = seen.groupBy("kind", "value").agg(F.bit_xor("h1").alias("x1"), F.bit_xor("h2").alias("x2"),
+                                             F.count(F.lit(1)).alias("n_entity"))
+    entity = ["x1", "x2", "n_entity"]
+    groups = seen.join(sets, ["kind", "value"]).groupBy("tid", *entity).agg(F.min("seen_in").alias("seen_in"))
+    both = _terms(near.join(groups, "tid"), *entity, "seen_in").groupBy(*entity, "term", "seen_in").agg(
+        F.count(F.lit(1)).alias("n")).groupBy(*entity, "term").agg(
+        F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("contexts"))
+    # a frequent term has many entities but few different counts with them
+    pairs = both.filter(F.col("contexts") >= support).select("term", "n_entity", "n_both", "contexts").distinct()
+    of_term = _terms(texts).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    share = F.col("n_both") / F.col("n_term")
+    score = 1 + F.log(share) / F.log(F.lit(float(texts.count() + 1)) / F.col("n_entity"))
+    return pairs.join(of_term, "term").groupBy("term").agg(F.max(score).alias("disclosure"))
+
+
+def _marked(docs: DataFrame, text: str, doc_id: str, support: int) -> DataFrame:
+    """h1, h2 and spans (entities and revealing terms) of each distinct row."""
+    texts = stored(entities(docs, text, doc_id).withColumn("tid", F.monotonically_increasing_id()), "texts")
+    weighed = stored(disclosures(texts, support).filter(F.col("disclosure") >= GENERALISE_FROM), "disclosures")
+    held = stored(_terms(texts, "tid").join(weighed, "term"), "revealing")
+    spans = spans_of(_hits(), F.split("plain", TERM, -1), "term", TERM_RANK)
+    places = texts.select("tid", "plain").join(held.select("tid").distinct(), "tid", "left_semi").select(
+        "tid", F.explode(F.arrays_zip(_hits().alias("t"), spans.alias("x"))).alias("z")).select(
+        "tid", F.lower("z.t").alias("term"), F.col("z.x.s").alias("s"), F.col("z.x.e").alias("e"))
     kind = F.when(F.col("disclosure") >= REMOVE_FROM, F.lit("removed")).otherwise(F.lit("general"))
-    revealing = terms.join(weighed, ["kind", "value", "term"]).groupBy("h1", "h2", "s", "e").agg(
-        F.max("disclosure").alias("disclosure"))
-    spans = revealing.groupBy("h1", "h2").agg(F.collect_list(F.struct(
+    terms = places.join(held, ["tid", "term"]).groupBy("tid").agg(F.collect_list(F.struct(
         "s", F.lit(TERM_RANK).alias("rank"), "e", kind.alias("kind"))).cast(SPAN).alias("terms"))
-    return found, stored(spans, "term-spans")
+    both = F.array_sort(F.concat("spans", F.coalesce("terms", no_spans()))).cast(SPAN)
+    return stored(texts.select("tid", "h1", "h2", "spans").join(terms, "tid", "left").select(
+        "h1", "h2", both.alias("spans")), "spans")
 
 
 def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", support: int = SUPPORT) -> DataFrame:
     """One row per document: doc_id, spans of entities and revealing terms
     (kinds "general" and "removed")."""
-    found, terms = _scan(docs, text, doc_id, support)
-    both = F.concat("spans", F.coalesce("terms", no_spans()))
-    return found.select("h1", "h2", "doc_id", "spans").join(terms, ["h1", "h2"], "left").select(
-        "doc_id", F.array_sort(both).cast(SPAN).alias("spans"))
+    return _keyed(docs, text, doc_id).select("h1", "h2", "doc_id").join(
+        _marked(docs, text, doc_id, support), ["h1", "h2"]).select("doc_id", "spans")
 
 
 def _sanitised(text: Column, spans: Column) -> Column:
@@ -172,10 +171,7 @@ def _sanitised(text: Column, spans: Column) -> Column:
 def sanitise(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", support: int = SUPPORT) -> DataFrame:
     """``docs`` with entities and revealing terms replaced; all other columns
     and rows as they are.  A null text stays null."""
-    found, terms = _scan(docs, text, doc_id, support)
-    own = found.filter(F.size("spans") > 0).select("h1", "h2", "spans").dropDuplicates(["h1", "h2"])
-    spans = stored(own.join(terms, ["h1", "h2"], "left").select("h1", "h2", F.concat(
-        "spans", F.coalesce("terms", no_spans())).alias("spans")), "spans")
+    spans = _marked(docs, text, doc_id, support).filter(F.size("spans") > 0)
     d, t = F.col(f"`{doc_id}`"), F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = docs.select(F.xxhash64(F.lit(0), d, t).alias("h1"), F.xxhash64(F.lit(1), d, t).alias("h2"),
                        F.struct("*").alias("row")).join(spans, ["h1", "h2"], "left")

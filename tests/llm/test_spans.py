@@ -110,3 +110,17 @@ def test_terms_that_reveal_an_entity(spark):
     assert "who@x.org" not in text and "<EMAIL>" in text and "quartermaster" not in text and "common" in text
     assert clean.columns == cases.SCHEMA.fieldNames() and clean.count() == len(data)
     assert pii.scan(cases.docs(spark, [])).count() == 0
+
+
+def test_revealing_terms_are_marked_wherever_they_stand(spark):
+    """Far from the mention, in documents without it, and a term that is never near it."""
+    filler = "common words here and there about nothing much at all " * 4
+    data = [(i, f"{filler} zanzibar writes from who@x.org about day{i} {filler} Zanzibar {filler} harbourmaster", "en", "s", 1) for i in range(6)]
+    data += [(10, f"{filler} plain ZANZIBAR {filler} zanzibar", "en", "s", 1)]
+    data += [(50 + i, f"{filler} number{i}", "en", "s", 1) for i in range(60)]
+    got = {r.doc_id: [data_text[x.s:x.e] for x in r.spans if x.kind in ("general", "removed")]
+           for r in pii.scan(cases.docs(spark, data)).collect() for data_text in [dict((d[0], d[1]) for d in data)[r.doc_id]]}
+    assert all(g.count("zanzibar") == 1 and g.count("Zanzibar") == 1 and "harbourmaster" in g for i, g in got.items() if i < 6)
+    assert got[10] == ["ZANZIBAR", "zanzibar"] and not got[50] and "common" not in got[0]
+    clean = {r.doc_id: r.text for r in pii.sanitise(cases.docs(spark, data)).collect()}
+    assert all("zanzibar" not in clean[i].lower() and "common" in clean[i] for i in (0, 5, 10))
