@@ -40,8 +40,8 @@ LICENSES = (
     ("apache-1.1", r"apache", r"apache software", ""),
     ("apache-2.0", r"apache", r"apache", r"apache(?:-| )2\.0"),
     ("artistic-2.0", r"artistic", r"(?:the )?artistic", r"artistic-2\.0"),
-    ("bsd-2-clause", r"clause", r"(?:simplified bsd|bsd 2[- ]clause)", r"bsd-2-clause"),
-    ("bsd-3-clause", r"clause", r"(?:(?:new|modified|revised) bsd|bsd 3[- ]clause)", r"bsd-3-clause"),
+    ("bsd-2-clause", r"bsd", r"(?:simplified bsd|bsd 2[- ]clause)", r"bsd-2-clause"),
+    ("bsd-3-clause", r"bsd", r"(?:(?:new|modified|revised) bsd|bsd 3[- ]clause)", r"bsd-3-clause"),
     ("bsl-1.0", r"boost", r"boost software", r"bsl-1\.0"),
     ("busl-1.1", r"business", r"business source", r"busl-1\.1"),
     ("cc-by-3.0", r"3.0", r"(?:cc[- ]by|creative commons attribution)[- ]3\.0", r"cc[- ]by[- ]3\.0"),

@@ -41,3 +41,43 @@ def test_prefilter_loses_no_detection():
         low = text.lower()
         all_rules = licenses.resolve([(m.start(), m.end(), r.priority, r.label) for r in licenses.rules() for m in r.pattern.finditer(low)])
         assert sorted(licenses.detections(low)) == sorted(all_rules)
+
+
+def alternatives(pattern):
+    """What a name or short form matches: one text per branch and option, look-aheads left out."""
+    def texts(tree):
+        out = [""]
+        for op, arg in tree:
+            if str(op) == "LITERAL":
+                some = [chr(arg)]
+            elif str(op) == "IN":
+                some = [chr(a) for _, a in arg]
+            elif str(op) == "SUBPATTERN":
+                some = texts(arg[3])
+            elif str(op) == "BRANCH":
+                some = [t for branch in arg[1] for t in texts(branch)]
+            elif str(op) == "MAX_REPEAT":
+                some = [""] * (arg[0] == 0) + texts(arg[2])
+            else:
+                assert str(op) == "ASSERT"
+                some = [""]
+            out = [a + b for a in out for b in some]
+        return out
+    return texts(re._parser.parse(pattern))
+
+
+def test_prefilter_loses_no_alternative():
+    """Each alternative of each license, in each form."""
+    for label, _, name, short in licenses.LICENSES:
+        texts = [form.format(n, version) for n in alternatives(name) for version in ("1.0", "2.0", "3.0")
+                 for form in ("released under the {} license, version {}.", "x {} license v{} y", "{} license")]
+        texts += [f"see {s} here" for s in alternatives(short) if short]
+        texts += [f"spdx-license-identifier: {label}", f"https://spdx.org/licenses/{label}.html", f"opensource.org/license/{label}"]
+        seen = set()
+        for low in texts:
+            found = [(m.start(), m.end(), r.priority, r.label) for r in licenses.rules() for m in r.pattern.finditer(low)]
+            seen |= {f[2] for f in found if f[3] == label}
+            assert sorted(licenses.detections(low)) == sorted(licenses.resolve(found)), low
+        assert seen == {p for p, form in licenses.FORMS if short or "{short}" not in form}, label
+    for text, label in (("Simplified BSD", "bsd-2-clause"), ("New BSD", "bsd-3-clause"), ("Modified BSD", "bsd-3-clause"), ("Revised BSD", "bsd-3-clause")):
+        assert [f[3] for f in licenses.detections(f"Released under the {text} License.".lower())] == [label]
