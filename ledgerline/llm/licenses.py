@@ -59,7 +59,7 @@ LICENSES = (
     ("ecl-2.0", r"educational", r"educational community", r"ecl-2\.0"),
     ("epl-2.0", r"eclipse", r"eclipse public", r"epl(?:v2|-2\.0)"),
     ("eupl-1.2", r"european", r"european union public", r"eupl-1\.2"),
-    ("gfdl-1.3", r"free documentation", r"(?:gnu )?free documentation", r"gfdl"),
+    ("gfdl-1.3", r"free documentation", r"(?:gnu )?free documentation", r"gfdl(?:-1\.3)?"),
     ("gpl-2.0", r"general public", r"(?:gnu )?general public(?= licen[cs]e,? (?:version|v\.?) ?2)", r"gpl(?:v2|-2\.0)"),
     ("gpl-3.0", r"general public", r"(?:gnu )?general public(?= licen[cs]e,? (?:version|v\.?) ?3)", r"gpl(?:v3|-3\.0)"),
     ("gpl", r"general public", r"(?:gnu )?general public", r"gnu gpl"),
@@ -84,14 +84,17 @@ LICENSES = (
     ("wtfpl", r"wtfpl", r"wtfpl", r"wtfpl"),
     ("zlib", r"zlib", r"zlib", ""),
 )
-# Forms of mention with their priority; {name}, {id}, {short}.
+# What may follow the identifiers of licenses in versions "only" or "or later".
+GNU = ("agpl-3.0", "gfdl-1.3", "gpl-2.0", "gpl-3.0", "lgpl-2.1", "lgpl-3.0")
+_LATER = r"(?:-only|-or-later|\+)?"
+# Forms of mention with their priority; {name}, {id}, {short}, {later}.
 _VERSION = r"(?:,? (?:version|v\.?) ?[0-9]+(?:\.[0-9]+)*)?"
 FORMS = (
-    (100, r"spdx-license-identifier: ?{id}(?![a-z0-9.-])"),
-    (90, r"(?:opensource\.org/licen[cs]es?|choosealicense\.com/licenses|spdx\.org/licenses)/{id}(?![a-z0-9-])"),
+    (100, r"spdx-license-identifier: ?{id}{later}(?![a-z0-9.-])"),
+    (90, r"(?:opensource\.org/licen[cs]es?|choosealicense\.com/licenses|spdx\.org/licenses)/{id}{later}(?![a-z0-9-])"),
     (80, r"(?:licen[cs]ed|released|distributed|available|published) under (?:the )?(?:terms of (?:the )?)?{name}(?: licen[cs]e)?" + _VERSION),
     (60, r"(?<![a-z0-9]){name} licen[cs]e(?![a-z0-9])" + _VERSION),
-    (40, r"(?<![a-z0-9-]){short}(?![a-z0-9-])"),
+    (40, r"(?<![a-z0-9-]){short}{later}(?![a-z0-9-])"),
 )
 # Base phrases and their labels.
 PHRASES = ((b" mit license ", "mit"), (b" apache license ", "apache"), (b" general public license ", "gpl"))
@@ -122,7 +125,8 @@ def rules() -> tuple[Rule, ...]:
             keywords = (keyword.split()[0],) if "{name}" in form else \
                 ("license-identifier", "opensource.org", "choosealicense.com", "spdx.org") if "{id}" in form else \
                 tuple({re.match(r"[a-z0-9]+", short)[0]})
-            filled = form.format(id=re.escape(label), name=name, short=short)
+            later = "" if label not in GNU else r"(?:-(?:no-)?invariants)?" + _LATER if label == "gfdl-1.3" else _LATER
+            filled = form.format(id=re.escape(label), name=name, short=short, later=later)
             out.append(Rule(label, priority, keywords, re.compile(_spaced(filled))))
     return tuple(out)
 

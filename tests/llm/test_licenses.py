@@ -81,3 +81,18 @@ def test_prefilter_loses_no_alternative():
         assert seen == {p for p, form in licenses.FORMS if short or "{short}" not in form}, label
     for text, label in (("Simplified BSD", "bsd-2-clause"), ("New BSD", "bsd-3-clause"), ("Modified BSD", "bsd-3-clause"), ("Revised BSD", "bsd-3-clause")):
         assert [f[3] for f in licenses.detections(f"Released under the {text} License.".lower())] == [label]
+
+
+def test_current_tags_of_the_gnu_family():
+    for label in ("gpl-2.0", "gpl-3.0", "lgpl-2.1", "lgpl-3.0", "agpl-3.0", "gfdl-1.3"):
+        for tail in ("", "-only", "-or-later", "+"):
+            tag = label.upper() + tail
+            for priority, text in ((100, f"SPDX-License-Identifier: {tag}"), (100, f"// SPDX-License-Identifier:{tag} WITH x"),
+                                   (90, f"https://spdx.org/licenses/{tag}.html"), (40, f"under {tag}, as is")):
+                got = licenses.detections(text.lower())
+                assert [f[2:] for f in got] == [(priority, label)], text
+                assert text.lower()[got[0][0]:got[0][1]].endswith(tag.lower())
+            for text in (f"SPDX-License-Identifier: {label}-onlyx", f"SPDX-License-Identifier: {label}-other", f"{label}-or-laterish"):
+                assert licenses.detections(text) == []
+    assert [f[3] for f in licenses.detections("spdx-license-identifier: gfdl-1.3-no-invariants-or-later")] == ["gfdl-1.3"]
+    assert licenses.detections("spdx-license-identifier: mit-only") == []
