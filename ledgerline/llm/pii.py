@@ -12,10 +12,15 @@ the share of the entity's information that the term gives away: 1 when it
 never occurs without the entity, 0 when the two are independent.  A term is
 judged by the entity it discloses most of: from ``GENERALISE_FROM`` it is
 replaced by its class, from ``REMOVE_FROM`` it is removed, wherever it occurs,
-in documents without a mention too.  Only pairs seen in ``SUPPORT`` different
-contexts (the text around the mentions) are weighed, so that copies of one
-text don't make its words suspicious.  Entities that occur in the same
-documents have the same counts and are weighed as one.
+in documents without a mention too.  Every pair is weighed, those of entities
+that occur once as well.  How much a pair's counts say depends on the number k
+of different contexts (the text around the mentions) in which it was seen, so
+that copies of one text count once: with n(t with e) / n(t) = p,
+
+    p(e | t) = (k p + PRIOR n(e) / N) / (k + PRIOR)
+
+takes its place, which is near independence for a k that is small.  Entities
+that occur in the same documents have the same counts and are weighed as one.
 
 All counts are over all documents.  Texts are shuffled to find repeated rows,
 their distinct terms to meet the revealing ones, and the places of terms in
@@ -31,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import SPAN, Rule, blanked, located, matches, no_spans, spans_of, stored
+from ledgerline.llm.common import SPAN, Rule, blanked, bound, located, matches, no_spans, spans_of, stored
 
 
 def _digits(hit: Column) -> Column:
@@ -64,7 +69,7 @@ RULES = (
 TERM_RANK = len(RULES)
 TERM = r"[\p{L}\p{N}]{3,}"
 REACH = 80  # characters on either side of a mention that are its context, which tells copies apart
-SUPPORT = 3
+PRIOR = 2.0  # contexts' worth of independence that a pair starts with
 GENERALISE_FROM, REMOVE_FROM = 0.8, 0.95
 
 
@@ -104,9 +109,9 @@ def _terms(texts: DataFrame, *also: str) -> DataFrame:
     return texts.select(*also, F.explode(F.array_distinct(F.transform(_hits(), F.lower))).alias("term"))
 
 
-def disclosures(texts: DataFrame, support: int = SUPPORT) -> DataFrame:
-    """term, disclosure of the terms that occur with an entity and have the
-    support, each by the entity that it discloses most of."""
+def disclosures(texts: DataFrame) -> DataFrame:
+    """term, disclosure of the terms that occur with an entity, each by the
+    entity that it discloses most of."""
     near = texts.filter("mentions IS NOT NULL")
     seen = near.select("tid", "h1", "h2", F.explode("mentions").alias("m")).select("tid", "h1", "h2", "m.*") \
         .groupBy("tid", "h1", "h2", "kind", "value").agg(F.min("seen_in").alias("seen_in"))
@@ -119,21 +124,24 @@ def disclosures(texts: DataFrame, support: int = SUPPORT) -> DataFrame:
         F.count(F.lit(1)).alias("n")).groupBy(*entity, "term").agg(
         F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("contexts"))
     # a frequent term has many entities but few different counts with them
-    pairs = both.filter(F.col("contexts") >= support).select("term", "n_entity", "n_both", "contexts").distinct()
+    pairs = both.select("term", "n_entity", "n_both", "contexts").distinct()
     of_term = _terms(texts).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    share = F.col("n_both") / F.col("n_term")
-    score = 1 + F.log(share) / F.log(F.lit(float(texts.count() + 1)) / F.col("n_entity"))
+    alone = F.col("n_entity") / F.lit(float(texts.count() + 1))
+    share = (F.col("contexts") * F.col("n_both") / F.col("n_term") + PRIOR * alone) / (F.col("contexts") + PRIOR)
+    score = 1 - F.log(share) / F.log(alone)
     return pairs.join(of_term, "term").groupBy("term").agg(F.max(score).alias("disclosure"))
 
 
-def _marked(docs: DataFrame, text: str, doc_id: str, support: int) -> DataFrame:
+def _marked(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """h1, h2 and spans (entities and revealing terms) of each distinct row."""
     texts = stored(entities(docs, text, doc_id).withColumn("tid", F.monotonically_increasing_id()), "texts")
-    weighed = stored(disclosures(texts, support).filter(F.col("disclosure") >= GENERALISE_FROM), "disclosures")
+    weighed = stored(disclosures(texts).filter(F.col("disclosure") >= GENERALISE_FROM), "disclosures")
     held = stored(_terms(texts, "tid").join(weighed, "term"), "revealing")
-    spans = spans_of(_hits(), F.split("plain", TERM, -1), "term", TERM_RANK)
+    # each bound: a lambda would split the text anew for every term
+    found = bound(F.split("plain", TERM, -1), lambda pieces: bound(_hits(), lambda hits: F.arrays_zip(
+        hits.alias("t"), spans_of(hits, pieces, "term", TERM_RANK).alias("x"))))
     places = texts.select("tid", "plain").join(held.select("tid").distinct(), "tid", "left_semi").select(
-        "tid", F.explode(F.arrays_zip(_hits().alias("t"), spans.alias("x"))).alias("z")).select(
+        "tid", F.explode(found).alias("z")).select(
         "tid", F.lower("z.t").alias("term"), F.col("z.x.s").alias("s"), F.col("z.x.e").alias("e"))
     kind = F.when(F.col("disclosure") >= REMOVE_FROM, F.lit("removed")).otherwise(F.lit("general"))
     terms = places.join(held, ["tid", "term"]).groupBy("tid").agg(F.collect_list(F.struct(
@@ -143,11 +151,11 @@ def _marked(docs: DataFrame, text: str, doc_id: str, support: int) -> DataFrame:
         "h1", "h2", both.alias("spans")), "spans")
 
 
-def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", support: int = SUPPORT) -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, spans of entities and revealing terms
     (kinds "general" and "removed")."""
     return _keyed(docs, text, doc_id).select("h1", "h2", "doc_id").join(
-        _marked(docs, text, doc_id, support), ["h1", "h2"]).select("doc_id", "spans")
+        _marked(docs, text, doc_id), ["h1", "h2"]).select("doc_id", "spans")
 
 
 def _sanitised(text: Column, spans: Column) -> Column:
@@ -168,10 +176,10 @@ def _sanitised(text: Column, spans: Column) -> Column:
         F.array_join(acc["out"], ""), F.substring(text, acc["pos"] + 1, F.length(text))))
 
 
-def sanitise(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", support: int = SUPPORT) -> DataFrame:
+def sanitise(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with entities and revealing terms replaced; all other columns
     and rows as they are.  A null text stays null."""
-    spans = _marked(docs, text, doc_id, support).filter(F.size("spans") > 0)
+    spans = _marked(docs, text, doc_id).filter(F.size("spans") > 0)
     d, t = F.col(f"`{doc_id}`"), F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = docs.select(F.xxhash64(F.lit(0), d, t).alias("h1"), F.xxhash64(F.lit(1), d, t).alias("h2"),
                        F.struct("*").alias("row")).join(spans, ["h1", "h2"], "left")

@@ -124,3 +124,20 @@ def test_revealing_terms_are_marked_wherever_they_stand(spark):
     assert got[10] == ["ZANZIBAR", "zanzibar"] and not got[50] and "common" not in got[0]
     clean = {r.doc_id: r.text for r in pii.sanitise(cases.docs(spark, data)).collect()}
     assert all("zanzibar" not in clean[i].lower() and "common" in clean[i] for i in (0, 5, 10))
+
+
+def test_terms_of_rare_entities_are_weighed(spark):
+    """An entity of one document, and of its copies, which are one piece of evidence."""
+    data = [(i, f"common words and the number{i}", "en", "s", 1) for i in range(3000)]
+    data += [(5000, "common words and the ironmonger lone@y.org", "en", "s", 1)]
+    data += [(6000 + i, "common words and the glassblower copied@y.org", "en", "s", 1) for i in range(4)]
+    data += [(7000, "common ironmonger", "en", "s", 1)]
+    text = {r[0]: r[1] for r in data}
+    got = {r.doc_id: {(text[r.doc_id][x.s:x.e], x.kind) for x in r.spans if x.kind != "email"}
+           for r in pii.scan(cases.docs(spark, data)).collect()}
+    assert all(got[6000 + i] == {("glassblower", "general")} for i in range(4))  # copies don't make it surer
+    assert not got[0] and not {"common", "words"} & {t for g in got.values() for t, _ in g}
+    alone = [r for r in data if r[0] != 7000]
+    got = {r.doc_id: {text[r.doc_id][x.s:x.e] for x in r.spans if x.kind != "email"}
+           for r in pii.scan(cases.docs(spark, alone)).collect()}
+    assert got[5000] == {"ironmonger"}
