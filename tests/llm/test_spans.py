@@ -141,3 +141,12 @@ def test_terms_of_rare_entities_are_weighed(spark):
     got = {r.doc_id: {text[r.doc_id][x.s:x.e] for x in r.spans if x.kind != "email"}
            for r in pii.scan(cases.docs(spark, alone)).collect()}
     assert got[5000] == {"ironmonger"}
+
+
+def test_repeated_rows_count_once(spark):
+    """In the counts of a term too: many identical rows don't hide what it reveals."""
+    rows = [(i, f"quartermaster writes from who@x.org on day{i}", "en", "s", 1) for i in range(6)]
+    rows += [rows[0]] * 60 + [(100 + i, f"common words with number{i}", "en", "s", 1) for i in range(200)]
+    got = [(r.doc_id, {rows[r.doc_id][1][x.s:x.e] for x in r.spans if x.kind != "email"})
+           for r in pii.scan(cases.docs(spark, rows)).collect() if r.doc_id < 6]
+    assert len(got) == 66 and all("quartermaster" in words for _, words in got)
