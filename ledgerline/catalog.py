@@ -11,10 +11,11 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators import layout, quality
+from ledgerline.operators.footers import footers
 from ledgerline.operators.upsert import high_water_mark, upsert
 from ledgerline.plans import gold, governance, incremental, measures, registry, silver
 from ledgerline.plans.rollup import rollup
@@ -34,6 +35,9 @@ FRESHNESS_AS_OF = "2024-03-15 00:00:00"
 VOLUME_WINDOW = ("1998-06-08", "1998-06-21")
 FRAGMENTS = 24
 LAYOUT_FILES = 8
+CLUSTER_BY = ("date_key", "transaction_type")
+NAMED_BATCHES = (("007", "2024-02-01 00:00:00"), ("2024", "2024-02-02 00:00:00"),
+                 ("1e3", "2024-02-03 00:00:00"), ("2024-01-01", "2024-02-04 00:00:00"))
 ALL_DAYS = ("0001-01-01", "9999-12-31")
 
 
@@ -122,6 +126,24 @@ def q_bronze_idempotent(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("rows")))
 
 
+def q_bronze_named(spark, sf_dir):
+    """Batches whose names look like numbers and dates, through bronze, its
+    ledger and incremental silver, each step run again: rows by batch name."""
+    table, root = scratch_path(spark, "bronze-named"), scratch_path(spark, "lake-named")
+    raw = fixture.raw_rows(spark, sf_dir)
+    for _ in range(2):
+        for i, (name, ts) in enumerate(NAMED_BATCHES):
+            bronze_table.ingest_batch(spark, table, name, lambda i=i: raw.filter(
+                F.pmod("event_id", F.lit(len(NAMED_BATCHES))) == i).select(*RAW_COLUMNS), ts)
+            incremental.update_silver(spark, table, root)
+    counted = {"bronze_rows": bronze_table.read_bronze(spark, table), "silver_rows": incremental.read_silver(spark, root),
+               "quarantine_rows": incremental.read_quarantine(spark, root)}
+    parts = [df.select("_source_file", F.lit(name).alias("of"), F.lit(1).cast("long").alias("rows")) for name, df in counted.items()]
+    parts.append(bronze_table.read_ledger(spark, table).select("_source_file", F.lit("ledger_rows").alias("of"), "rows"))
+    return reduce(DataFrame.unionByName, parts).groupBy("_source_file").agg(*[
+        F.coalesce(F.sum(F.when(F.col("of") == name, F.col("rows"))), F.lit(0)).alias(name) for name in (*counted, "ledger_rows")])
+
+
 def q_bronze_stream_once(spark, sf_dir):
     landing = scratch_path(spark, "landing")
     for which in (0, 1):
@@ -390,10 +412,9 @@ def build_layouts(spark, sf_dir, n_files: int = LAYOUT_FILES,
     frag, comp, zord = (scratch_path(spark, n) for n in ("frag", "compact", "zorder"))
     layout.fragment(src, "transaction_id", FRAGMENTS, frag)
     if "compacted" in want:
-        size = layout.detail(spark, frag).first()["size_bytes"]
-        layout.compact(spark, frag, comp, target_bytes=max(1, size // n_files + 1))
+        layout.compact(spark, frag, comp, target_bytes=_target_bytes(spark, frag, n_files)[0])
     if "zordered" in want:
-        layout.zorder(spark, frag, zord, ["date_key", "transaction_type"], n_files=n_files)
+        layout.zorder(spark, frag, zord, CLUSTER_BY, n_files=n_files)
     return Layouts(frag, zord if "zordered" in want else None, comp if "compacted" in want else None)
 
 
@@ -403,17 +424,11 @@ def _type_totals(df: DataFrame, *also: str) -> DataFrame:
         F.count_if(F.col("is_fraud")).alias("fraud_rows"))
 
 
-def _content_shard(n: int) -> Column:
-    """A shard number from a hash that every SQL engine has."""
-    text = F.concat_ws("|", "date_key", "transaction_type", F.col("amount").cast("string"))
-    return F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("int") % n
-
-
 def q_layout_fragment(spark, sf_dir):
     """One row per file: its shard, how many shards it holds, rows, amount."""
     path = scratch_path(spark, "frag")
-    shard = _content_shard(FRAGMENTS)
-    layout.fragment(fixture.volume_fact(spark, sf_dir), "transaction_id", FRAGMENTS, path, shard)
+    layout.fragment(fixture.volume_fact(spark, sf_dir), "transaction_id", FRAGMENTS, path)
+    shard = layout.crc32_shard("transaction_id", FRAGMENTS)
     rows = spark.read.parquet(path).select("amount", shard.alias("shard"), F.col("_metadata.file_path").alias("file"))
     return rows.groupBy("file").agg(
         F.min("shard").alias("shard"), F.count_distinct("shard").alias("shards"), F.count(F.lit(1)).alias("rows"),
@@ -425,12 +440,36 @@ def _day_totals(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows"), F.sum("amount").cast("decimal(28,2)").alias("amount"))
 
 
+def _target_bytes(spark, fragmented: str, n_files: int = LAYOUT_FILES) -> tuple[int, int]:
+    """The size of a file of which the table takes ``n_files``; its whole size."""
+    size = layout.detail(spark, fragmented).first()["size_bytes"]
+    return max(1, size // n_files + 1), size
+
+
+def compact_report(spark, before: str, after: str) -> DataFrame:
+    """The compacted table's totals by day, and whether its files are as few,
+    as large and as even as was asked."""
+    target, size = _target_bytes(spark, before)
+    holds = layout.compaction_holds(footers(spark, after), target, size).first()["holds"]
+    return _day_totals(spark.read.parquet(after)).withColumn("files_as_asked", F.lit(holds))
+
+
 def q_layout_compact(spark, sf_dir):
-    return _day_totals(spark.read.parquet(build_layouts(spark, sf_dir, want=("compacted",)).compacted))
+    lay = build_layouts(spark, sf_dir, want=("compacted",))
+    return compact_report(spark, lay.fragmented, lay.compacted)
+
+
+def zorder_report(spark, path: str) -> DataFrame:
+    """The clustered table's totals by cell, whether its files follow each
+    other on the Morton key, and whether their min/max boxes are right."""
+    ordered = layout.in_zorder(spark, path, CLUSTER_BY).first()["holds"]
+    boxes = layout.boxes_hold(spark, path, CLUSTER_BY).first()["holds"]
+    return _type_totals(spark.read.parquet(path), "date_key").withColumns(
+        {"files_in_order": F.lit(ordered), "boxes_hold": F.lit(boxes)})
 
 
 def q_layout_zorder(spark, sf_dir):
-    return _type_totals(spark.read.parquet(build_layouts(spark, sf_dir, want=("zordered",)).zordered), "date_key")
+    return zorder_report(spark, build_layouts(spark, sf_dir, want=("zordered",)).zordered)
 
 
 def q_layout_rollup_equal(spark, sf_dir):
@@ -446,36 +485,40 @@ def q_layout_rollup_equal(spark, sf_dir):
 
 
 def q_layout_detail(spark, sf_dir):
-    """Rows of each layout, and whether it has the files it was asked for."""
+    """Files and rows of each layout."""
     lay = build_layouts(spark, sf_dir)
-    asked = (("fragmented", lay.fragmented, F.col("num_files") == FRAGMENTS),
-             ("compacted", lay.compacted, F.col("num_files") <= LAYOUT_FILES),
-             ("zordered", lay.zordered, F.col("num_files") <= LAYOUT_FILES))
     return reduce(DataFrame.unionByName, [
-        layout.detail(spark, p).select(F.lit(n).alias("layout"), "num_rows", as_asked.alias("files_as_asked"))
-        for n, p, as_asked in asked])
+        layout.detail(spark, p).select(F.lit(n).alias("layout"), "num_files", "num_rows", (F.col("size_bytes") > 0).alias("has_bytes"))
+        for n, p in (("fragmented", lay.fragmented), ("compacted", lay.compacted), ("zordered", lay.zordered))])
+
+
+def profile_report(spark, name: str, path: str) -> DataFrame:
+    """File skipping for the window, held against the files' own footers: the
+    manifest's rows to read, the rows of the files that the scan opened and
+    the rows of the files whose own box overlaps the window are one number."""
+    m = layout.write_manifest(spark, path, CLUSTER_BY)
+    prof = layout.profile(spark.read.parquet(m), "date_key", *VOLUME_WINDOW).first()
+    own = layout.box_rows(footers(spark, path, ["date_key"]), "date_key", *VOLUME_WINDOW).first()
+    inside = F.col("date_key").between(*[F.lit(x) for x in VOLUME_WINDOW])
+    seen = layout.opened(spark, path, m, "date_key", *VOLUME_WINDOW).agg(
+        F.count(F.lit(1)).alias("rows_opened"), F.count_if(inside).alias("window_rows"))
+    return seen.select(
+        F.lit(name).alias("layout"), F.lit(own["rows_total"]).alias("rows_total"), "window_rows",
+        ((F.col("rows_opened") == own["box_rows"]) & F.lit(prof["rows_read"] == own["box_rows"])).alias("reads_its_boxes"),
+        F.lit(prof["files_read"] + prof["files_pruned"] == prof["files_total"]).alias("all_files_counted"),
+        (F.col("rows_opened") < own["rows_total"]).alias("prunes"))
 
 
 def q_layout_profile(spark, sf_dir):
-    """Of each layout: rows in the files that the window needs to open (all
-    of the window's rows are among them), and the window's rows themselves."""
     lay = build_layouts(spark, sf_dir, want=("zordered",))
-    out = []
-    for name, p in (("fragmented", lay.fragmented), ("zordered", lay.zordered)):
-        m = layout.write_manifest(spark, p, ["date_key", "transaction_type"])
-        prof = layout.profile(spark.read.parquet(m), "date_key", *VOLUME_WINDOW)
-        seen = layout.skipping_scan(spark, p, m, "date_key", *VOLUME_WINDOW).agg(F.count(F.lit(1)).alias("window_rows"))
-        out.append(prof.crossJoin(seen).select(
-            F.lit(name).alias("layout"), "window_rows",
-            (F.col("rows_read") >= F.col("window_rows")).alias("covered"),
-            (F.col("files_read") + F.col("files_pruned") == F.col("files_total")).alias("all_files_counted")))
-    return reduce(DataFrame.unionByName, out)
+    return profile_report(spark, "fragmented", lay.fragmented).unionByName(profile_report(spark, "zordered", lay.zordered))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_stamp": q_bronze_stamp,
     "bronze_read": q_bronze_read,
     "bronze_idempotent": q_bronze_idempotent,
+    "bronze_named": q_bronze_named,
     "bronze_stream_once": q_bronze_stream_once,
     "systematic_sample": q_systematic_sample,
     "stg_transactions": q_stg_transactions,

@@ -15,6 +15,14 @@ with ordinary DataFrame operators:
   ``skipping_scan`` then opens only the files whose range overlaps the
   predicate (file-level skipping; row-group skipping inside the kept files
   still comes from Parquet's pushed filters).
+
+Evidence, each computed from the files apart from the operator that it judges:
+
+* ``detail`` and ``boxes``: rows, bytes and min/max of each file, from footers;
+* ``compaction_holds``: as many files as asked, none far above the target size,
+  none far below an even share of the rows;
+* ``in_key_order``: no file's largest key is above the next one's smallest;
+* ``boxes_hold``: the min/max that readers skip by are those of the rows.
 """
 
 from __future__ import annotations
@@ -22,12 +30,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.zorder import zorder_key
+from ledgerline.operators.footers import footers
 
 DEFAULT_TARGET_BYTES = 128 * 1024 * 1024
+LISTED_FILES = 10_000
 
 
 def crc32_shard(key: str, n: int) -> Column:
@@ -51,12 +61,49 @@ def _row_hash(df: DataFrame):
 
 
 def detail(spark: SparkSession, path: str) -> DataFrame:
-    """``num_files``, ``size_bytes``, ``num_rows`` of a Parquet table."""
-    files = (spark.read.parquet(path)
-             .select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
-             .groupBy("f").agg(F.first("s").alias("s"), F.count(F.lit(1)).alias("r")))
-    return files.agg(F.count(F.lit(1)).alias("num_files"), F.sum("s").cast("bigint").alias("size_bytes"),
-                     F.sum("r").cast("bigint").alias("num_rows"))
+    """``num_files``, ``size_bytes``, ``num_rows`` of a Parquet table, from its
+    files' footers: no data is read."""
+    return footers(spark, path).agg(
+        F.count(F.lit(1)).alias("num_files"), F.coalesce(F.sum("file_size"), F.lit(0)).cast("bigint").alias("size_bytes"),
+        F.coalesce(F.sum("num_rows"), F.lit(0)).cast("bigint").alias("num_rows"))
+
+
+def compaction_holds(files: DataFrame, target_bytes: int, total_bytes: int, slack: float = 0.5) -> DataFrame:
+    """One row ``holds``: the files (as from ``footers``) are at most as many
+    as ``total_bytes`` takes at ``target_bytes`` each, none is larger than the
+    target by more than ``slack`` of it, and each has at least 1 - ``slack`` of
+    an even share of the rows."""
+    asked = max(1, math.ceil(total_bytes / target_bytes))
+    a = files.agg(F.count(F.lit(1)).alias("n"), F.max("file_size").alias("largest"), F.min("num_rows").alias("fewest"),
+                  F.sum("num_rows").alias("rows"))
+    return a.select(((F.col("n") > 0) & (F.col("n") <= asked) & (F.col("largest") <= (1 + slack) * target_bytes)
+                     & (F.col("fewest") >= (1 - slack) * F.col("rows") / F.col("n"))).alias("holds"))
+
+
+def in_key_order(rows: DataFrame, key: Column) -> DataFrame:
+    """One row ``holds``: sorted by their smallest key, no file of ``rows``
+    (a Parquet read) has a key above the next file's smallest.  One aggregate to
+    a row per file; the window runs over these."""
+    files = rows.select(F.col("_metadata.file_path").alias("f"), key.alias("k")).groupBy("f").agg(
+        F.min("k").alias("low"), F.max("k").alias("high"))
+    after = F.lead("low").over(Window.orderBy("low", "high", "f"))
+    return files.select((F.col("high") <= after).alias("ok")).agg(F.coalesce(F.bool_and("ok"), F.lit(True)).alias("holds"))
+
+
+def in_zorder(spark: SparkSession, path: str, cols: Sequence[str]) -> DataFrame:
+    """``in_key_order`` of a stored table under the Morton key of ``cols``."""
+    rows = spark.read.parquet(path)
+    return in_key_order(rows, zorder_key(rows, list(cols)))
+
+
+def boxes_hold(spark: SparkSession, path: str, cols: Sequence[str]) -> DataFrame:
+    """One row ``holds``: in every file, the footer's rows and min/max of
+    ``cols`` are those of the rows that it holds."""
+    said, seen = footers(spark, path, cols), manifest(spark, path, cols)
+    names = ["num_rows"] + [f"{end}_{c}" for c in cols for end in ("min", "max")]
+    tagged = [df.select(F.regexp_replace("file_path", "^file:/+", "/").alias("f"), *names) for df in (said, seen)]
+    odd = tagged[0].exceptAll(tagged[1]).unionByName(tagged[1].exceptAll(tagged[0]))
+    return odd.agg((F.count(F.lit(1)) == 0).alias("holds"))
 
 
 def _file_count(spark: SparkSession, path: str, target_bytes: int) -> int:
@@ -126,19 +173,39 @@ def profile(manifest_df: DataFrame, col: str, lo, hi) -> DataFrame:
     )
 
 
-def skipping_scan(spark: SparkSession, path: str, manifest_path: str, col: str, lo, hi,
-                  schema=None) -> DataFrame:
-    """Scan only the files whose [min, max] of ``col`` overlaps [lo, hi].
+def box_rows(files: DataFrame, col: str, lo, hi) -> DataFrame:
+    """One row: ``rows_total`` of the files (as from ``footers``), and
+    ``box_rows``, those of the files whose own min/max of ``col`` overlap
+    [lo, hi]."""
+    rows = F.coalesce(F.sum(F.when(_overlap(col, lo, hi), F.col("num_rows"))), F.lit(0))
+    return files.agg(F.coalesce(F.sum("num_rows"), F.lit(0)).alias("rows_total"), rows.alias("box_rows"))
+
 
-    The kept-file list is one row per file -- bounded by the file count, not
-    the data -- and the predicate is still applied (and pushed down) on top.
+def opened(spark: SparkSession, path: str, manifest_path: str, col: str, lo, hi, schema=None) -> DataFrame:
+    """All rows of the files that ``skipping_scan`` opens.
+
+    Up to ``LISTED_FILES`` kept files are given to the reader as paths, so no
+    other file is opened.  More of them are joined by path, which reads the
+    table under its usual pruning and keeps their rows: no list on the driver
+    grows with the files.
     """
-    m = spark.read.parquet(manifest_path)
-    kept = [r["file_path"] for r in m.filter(_overlap(col, lo, hi)).select("file_path").collect()]
+    kept = spark.read.parquet(manifest_path).filter(_overlap(col, lo, hi)).select("file_path")
     schema = schema or spark.read.parquet(path).schema
-    if not kept:
+    few = [r["file_path"] for r in kept.take(LISTED_FILES + 1)]
+    if not few:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*kept).filter(F.col(col).between(F.lit(lo), F.lit(hi)))
+    if len(few) <= LISTED_FILES:
+        return spark.read.schema(schema).parquet(*few)
+    rows = spark.read.schema(schema).parquet(path)
+    return rows.withColumn("_file", F.col("_metadata.file_path")).join(
+        kept.withColumnRenamed("file_path", "_file"), "_file", "left_semi").drop("_file")
+
+
+def skipping_scan(spark: SparkSession, path: str, manifest_path: str, col: str, lo, hi,
+                  schema=None) -> DataFrame:
+    """Scan only the files whose [min, max] of ``col`` overlaps [lo, hi]; the
+    predicate is still applied (and pushed down) on top."""
+    return opened(spark, path, manifest_path, col, lo, hi, schema).filter(F.col(col).between(F.lit(lo), F.lit(hi)))
 
 
 def compared(before: DataFrame, after: DataFrame) -> DataFrame:

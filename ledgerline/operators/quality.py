@@ -14,6 +14,7 @@ for a verdict (``assert_checks``).
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -77,6 +78,74 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
                 table, f"{column}->{parent_table}.{parent_column}", F.col("x"))
 
 
+@dataclass(frozen=True)
+class Check:
+    """One test of a table, for ``table_checks``.  ``parents`` are the sides of
+    a relationship: the parent's frame, its column and its table's name."""
+    kind: str  # unique | not_null | accepted_values | relationships
+    column: str
+    values: tuple = ()
+    parent: tuple | None = None
+
+    @property
+    def label(self) -> str:
+        return f"{self.column}->{self.parent[2]}.{self.parent[1]}" if self.kind == "relationships" else self.column
+
+
+def table_checks(df: DataFrame, checks: Sequence[Check], table: str) -> DataFrame:
+    """All tests of one table in one scan of it and one shuffle.
+
+    Each row is unpivoted into (number of the test, key as text) pairs: its
+    value for ``unique``, ``accepted_values`` and ``relationships``, and a pair
+    without a key where a ``not_null`` column is NULL.  The pairs are counted
+    before they move, so a key that holds a third of the rows is one row a
+    task.  What a key may be (the accepted values, the distinct keys of the
+    parents, each parent column read once for all tests that refer to it) joins
+    the same aggregation, marked as allowed.  Then each test is a sum over its
+    keys.  The results equal those of the single checks above.
+    """
+    checks = list(checks)
+    if not checks:
+        return df.sparkSession.createDataFrame([], CHECK_SCHEMA)
+    pairs = []
+    for i, c in enumerate(checks):
+        col = F.col(c.column)
+        mine = col.isNull() if c.kind == "not_null" else col.isNotNull()
+        pairs.append(F.when(mine, F.struct(F.lit(i).alias("i"), F.when(
+            F.lit(c.kind != "not_null"), col.cast("string")).alias("k"))))
+    rows = df.select(F.explode(F.array_compact(F.array(*pairs))).alias("x")).select(
+        "x.i", "x.k", F.lit(1).cast("bigint").alias("n"), F.lit(False).alias("allowed"))
+
+    allowed = [_allowed(df, checks)]
+    for column, parent in {(c.parent[2], c.parent[1]): c.parent for c in checks if c.parent}.items():
+        numbers = [i for i, c in enumerate(checks) if c.parent and (c.parent[2], c.parent[1]) == column]
+        key = F.col(parent[1])
+        allowed.append(parent[0].filter(key.isNotNull()).select(
+            F.explode(F.array(*[F.lit(i) for i in numbers])).alias("i"), key.cast("string").alias("k")))
+    every = reduce(DataFrame.unionByName, [rows] + [a.select(
+        "i", "k", F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("allowed")) for a in allowed])
+    keys = every.groupBy("i", "k").agg(F.sum("n").alias("n"), F.max("allowed").alias("allowed"))
+    kinds = F.element_at(F.array(*[F.lit(c.kind) for c in checks]), F.col("i") + 1)
+    bad = (F.when(kinds == "unique", (F.col("n") > 1).cast("bigint"))
+           .when(kinds == "not_null", F.col("n"))
+           .when(~F.col("allowed"), F.when(kinds == "relationships", F.col("n")).otherwise(1)))
+    failures = keys.groupBy("i").agg(F.coalesce(F.sum(bad), F.lit(0)).alias("failures"))
+    names = F.element_at(F.array(*[F.lit(c.label) for c in checks]), F.col("i") + 1)
+    return failures.select(kinds.alias("check"), F.lit(table).alias("table_name"), names.alias("column_name"),
+                           "failures", _status(F.col("failures")).alias("status"))
+
+
+def _allowed(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """(test, key) of the accepted values, as text like the column's own; and
+    one row without a key for every test, so that each has a result."""
+    spark = df.sparkSession
+    out = [(i, None, "string") for i in range(len(checks))]
+    for i, c in enumerate(checks):
+        out += [(i, v, df.schema[c.column].dataType.simpleString()) for v in c.values]
+    literals = [F.struct(F.lit(i).alias("i"), F.lit(v).cast(t).cast("string").alias("k")) for i, v, t in out]
+    return spark.range(1).select(F.explode(F.array(*literals)).alias("x")).select("x.*")
+
+
 def expression(df: DataFrame, predicate: Column, check: str, table: str, column: str) -> DataFrame:
     """Rows violating ``predicate`` (NULL counts as a violation)."""
     return _row(df.agg(F.count_if(~F.coalesce(predicate, F.lit(False))).alias("x")),

@@ -8,10 +8,14 @@ row into one task.  Here the same result comes from a range-partitioned sort:
 2. The sorted frame is checkpointed to the shared checkpoint folder, which
    fixes partition contents and row order (and cuts lineage, so a lost
    executor re-reads the checkpoint instead of re-sampling boundaries).
-3. One aggregate counts rows per partition -- one row per partition, so the
-   driver sees O(partitions), never O(rows) -- and prefix sums give offsets.
+3. One aggregate counts rows per partition, and running sums over these counts
+   (one row per partition, never a data row) give each partition's offset: a
+   small relation, checkpointed.
 4. global index = partition offset + position inside the partition
    (``monotonically_increasing_id`` keeps the position in its low 33 bits).
+   The offsets are joined by partition id.  They are broadcast while there are
+   at most ``BROADCAST_PARTITIONS`` of them (12 MB); beyond that Spark picks
+   the join.  No expression and no list on the driver grows with the partitions.
 
 The ntile bucket is then arithmetic on the index: with ``q, r = divmod(N, n)``
 the first ``r`` buckets hold ``q + 1`` rows, the rest ``q`` (Spark's rule).
@@ -21,12 +25,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.session import checkpoint_root
 
 _LOW_BITS = 33
+BROADCAST_PARTITIONS = 1_000_000
+
+
+def partition_offsets(tagged: DataFrame) -> tuple[DataFrame, int, int]:
+    """Rows with a partition id ``_pid`` -> (``_pid``, ``_offset``: the rows of
+    all partitions before it), the number of partitions that hold rows and of
+    rows.  The window runs over the counts, one row per partition."""
+    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")
+    offsets = counts.select("_pid", before.alias("_offset"), "_n").checkpoint(eager=True)
+    parts, rows = offsets.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    return offsets.select("_pid", "_offset"), parts, rows
+
+
+def place(tagged: DataFrame, offsets: DataFrame, parts: int, index_col: str) -> DataFrame:
+    """Global index of rows tagged with partition (``_pid``) and row id
+    (``_mid``), from the offsets of their partitions."""
+    if parts <= BROADCAST_PARTITIONS:
+        offsets = F.broadcast(offsets)
+    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), _LOW_BITS)
+    return tagged.join(offsets, "_pid").withColumn(index_col, F.col("_offset") + local).drop("_pid", "_mid", "_offset")
 
 
 def with_global_index(df: DataFrame, order: Sequence[Column | str],
@@ -53,19 +78,8 @@ def with_global_index(df: DataFrame, order: Sequence[Column | str],
         ordered = ordered.drop(tb)
     tagged = ordered.withColumns({"_pid": F.spark_partition_id(),
                                   "_mid": F.monotonically_increasing_id()})
-    counts = {r["_pid"]: r["n"] for r in
-              tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_parts = max(counts) + 1 if counts else 0
-    offsets, running = [], 0
-    for pid in range(n_parts):
-        offsets.append(running)
-        running += counts.get(pid, 0)
-    if n_parts == 0:
-        return ordered.withColumn(index_col, F.lit(None).cast("bigint")), 0
-    offset = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col("_pid") + 1)
-    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), _LOW_BITS)
-    out = tagged.withColumn(index_col, offset + local).drop("_pid", "_mid")
-    return out, running
+    offsets, parts, total = partition_offsets(tagged)
+    return place(tagged, offsets, parts, index_col), total
 
 
 def tile_of(index: Column, total: int, n: int) -> Column:

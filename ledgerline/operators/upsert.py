@@ -8,13 +8,21 @@ keeps the untouched rows, the batch is unioned in, and those partitions alone
 are rewritten with dynamic partition overwrite.  Cost follows the batch, not
 the table.
 
-Writes go to a staging folder first and the touched partitions are then
-overwritten from the staged copy, so the table is never overwritten from a
-plan that still reads it.
+The rewrite is one job: Spark writes the new files of a dynamic partition
+overwrite into a hidden staging folder of the table and swaps the folders when
+the job commits, after its last task has read the old ones.  An executor lost
+before that re-reads files that are still there.
+
+The rewrite unit is a folder: a day, or a (day, key bucket) pair in tables whose
+days are large.  A new table gets as many key buckets as the measured rows of
+its days ask for (``sized_buckets``), so that scattered corrections to a table
+of large days rewrite the buckets they hit, and a small table isn't cut into
+tiny files.
 """
 
 from __future__ import annotations
 
+import math
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,6 +95,16 @@ def _staged(spark: SparkSession, updates: DataFrame, stage_updates: bool) -> Dat
 
 
 BUCKET_PREFIX = "_bucket_of_"
+# Rows of a folder above which a new table's days are split: some 200 MB of facts.
+ROWS_PER_FOLDER = 2_000_000
+
+
+def sized_buckets(rows: DataFrame, partition: str, rows_per_folder: int = ROWS_PER_FOLDER) -> int:
+    """Key buckets for a table of these rows: the size of the day in which the
+    average row lies (large days count by their rows), in folders."""
+    days = rows.groupBy(partition).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    weighted = days.agg(F.try_divide(F.sum(F.col("n") * F.col("n")), F.sum("n"))).first()[0]
+    return max(1, math.ceil((weighted or 0) / rows_per_folder))
 
 
 def bucket_column(spark: SparkSession, path: str, requested: int | None) -> str | None:
@@ -94,7 +112,7 @@ def bucket_column(spark: SparkSession, path: str, requested: int | None) -> str
 
     An existing table's own column decides (the bucket count is part of its
     name, so the layout is self-describing and survives any crash); a new
-    table uses ``requested``.  ``None`` means no key buckets.
+    table uses ``requested``, where less than two means no key buckets.
     """
     if _exists(spark, path):
         cols = [c for c in spark.read.parquet(path).columns if c.startswith(BUCKET_PREFIX)]
@@ -115,16 +133,19 @@ def _rewrite(spark: SparkSession, path: str, updates: DataFrame, key: str, parti
     Only the folders the batch touches -- (date) or (date, key bucket) -- are
     read (static partition filters, narrowed to the exact touched pairs),
     ``combine(current, updates)`` merges them, and those folders alone are
-    rewritten through a staged copy with dynamic partition overwrite.
-    Returns the number of rewritten folders.
+    rewritten by one dynamic partition overwrite.  Returns the number of
+    rewritten folders.
     """
-    bcol = (f"{BUCKET_PREFIX}{buckets}" if buckets and buckets > 1 else None) if replace else bucket_column(spark, path, buckets)
+    new = replace or not _exists(spark, path)
+    if new and buckets is None:
+        buckets = sized_buckets(updates, partition)
+    bcol = (f"{BUCKET_PREFIX}{buckets}" if buckets > 1 else None) if new else bucket_column(spark, path, buckets)
     parts = [partition]
     if bcol:
         n = int(bcol[len(BUCKET_PREFIX):])
         updates = updates.withColumn(bcol, F.pmod(F.xxhash64(F.col(key)), F.lit(n)))
         parts.append(bcol)
-    if replace or not _exists(spark, path):
+    if new:
         _clustered(first_write(updates), parts).write.mode("overwrite").option("partitionOverwriteMode", "static") \
             .partitionBy(*parts).parquet(path)
         return updates.select(*parts).distinct().count()
@@ -145,10 +166,8 @@ def _rewrite(spark: SparkSession, path: str, updates: DataFrame, key: str, parti
         # narrow the date x bucket superset to exactly the touched pairs
         current = current.join(updates.select(*parts).distinct(), parts, "left_semi")
     merged = combine(current, updates.select(*target.columns))
-    staged = scratch_path(spark, "rewrite-stage")
-    _clustered(merged, parts).write.mode("overwrite").partitionBy(*parts).parquet(staged)
-    (spark.read.parquet(staged).select(*target.columns).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
+    (_clustered(merged, parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*parts).parquet(path))
     return len(touched)
 
 
@@ -165,7 +184,7 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = "trans
     ``buckets`` (new tables only) adds a second partition level,
     ``pmod(xxhash64(key), B)``: the rewrite unit becomes one (date, bucket)
     folder, so scattered late corrections rewrite the buckets they touch,
-    not whole days.  Size B so one folder is a few hundred MB.
+    not whole days.  Left out, B follows from the size of the days; 1 is none.
     """
     updates = _staged(spark, updates, stage_updates)
     if check_unique:

@@ -23,6 +23,7 @@ Here only batches not yet processed are staged, and:
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ from pyspark.sql.types import StructType
 from ledgerline.functions.columns import as_ntz
 from ledgerline.operators.upsert import merge_latest
 from ledgerline.plans import silver
-from ledgerline.session import parquet_exists, scratch_path
+from ledgerline.session import parquet_exists, read_partitioned, scratch_path
 from ledgerline.sources import bronze as bronze_table
 from ledgerline.sources.raw import SOURCE_FILE_COL, now_utc
 
@@ -48,6 +49,9 @@ def paths(root: str) -> dict[str, str]:
             "batches": os.path.join(base, "_batches")}
 
 
+BATCHES_SCHEMA = f"{SOURCE_FILE_COL} string, processed_at timestamp_ntz"
+
+
 def new_batches(spark: SparkSession, bronze_path: str, root: str) -> DataFrame:
     """Names landed in bronze (its ledger) and not yet processed here."""
     landed = bronze_table.read_ledger(spark, bronze_path)
@@ -56,14 +60,11 @@ def new_batches(spark: SparkSession, bronze_path: str, root: str) -> DataFrame:
     landed = landed.select(SOURCE_FILE_COL).distinct()
     done_path = paths(root)["batches"]
     if parquet_exists(spark, done_path):
-        landed = landed.join(spark.read.parquet(done_path).select(SOURCE_FILE_COL),
-                             SOURCE_FILE_COL, "left_anti")
+        done = spark.read.schema(BATCHES_SCHEMA).parquet(done_path)
+        landed = landed.join(done.select(SOURCE_FILE_COL), SOURCE_FILE_COL, "left_anti")
     return landed
 
 
-BATCHES_SCHEMA = f"{SOURCE_FILE_COL} string, processed_at timestamp_ntz"
-
-
 def update_silver(spark: SparkSession, bronze_path: str, root: str, buckets: int | None = None) -> int:
     """Process the new batches; returns how many there were.  ``buckets``
     (new silver tables only) adds key buckets under the event-date folders,
@@ -83,8 +84,11 @@ def update_silver(spark: SparkSession, bronze_path: str, root: str, buckets: int
     staged.write.parquet(stg_path)  # written once, read by the three consumers below
     staged = spark.read.parquet(stg_path)
 
-    (silver.quarantine(staged).write.mode("overwrite").option("partitionOverwriteMode", "static" if anew else "dynamic")
-     .partitionBy(SOURCE_FILE_COL).parquet(p["quarantine"]))
+    how = "static" if anew else "dynamic"
+
+    def write_quarantine():
+        (silver.quarantine(staged).write.mode("overwrite").option("partitionOverwriteMode", how)
+         .partitionBy(SOURCE_FILE_COL).parquet(p["quarantine"]))
 
     bad = F.col("_quarantine_reason").isNotNull()
     stats = staged.groupBy(SOURCE_FILE_COL).agg(
@@ -94,13 +98,21 @@ def update_silver(spark: SparkSession, bronze_path: str, root: str, buckets: int
         F.sum(F.when(~bad, F.col("amount"))).alias("eligible_amount"),
         F.count_if(bad).alias("quarantine_rows"),
         F.sum(F.when(bad, F.col("amount"))).alias("quarantine_amount"))
-    (stats.write.mode("overwrite").option("partitionOverwriteMode", "static" if anew else "dynamic")
-     .partitionBy(SOURCE_FILE_COL).parquet(p["stats"]))
 
-    eligible = silver.clean_eligible(staged).withColumn(EVENT_DATE, F.to_date("event_ts"))
-    merge_latest(spark, p["transactions"], eligible, "transaction_id", EVENT_DATE, silver.DEDUP_ORDER,
-                 stage_updates=False,  # eligible reads the staged batch already written above
-                 buckets=buckets, replace=anew)
+    def write_stats():
+        (stats.write.mode("overwrite").option("partitionOverwriteMode", how)
+         .partitionBy(SOURCE_FILE_COL).parquet(p["stats"]))
+
+    def merge():
+        eligible = silver.clean_eligible(staged).withColumn(EVENT_DATE, F.to_date("event_ts"))
+        merge_latest(spark, p["transactions"], eligible, "transaction_id", EVENT_DATE, silver.DEDUP_ORDER,
+                     stage_updates=False,  # eligible reads the staged batch already written above
+                     buckets=buckets, replace=anew)
+
+    # three tables that don't depend on each other; each write may be repeated
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        for written in [pool.submit(job) for job in (merge, write_quarantine, write_stats)]:
+            written.result()
 
     (spark.createDataFrame([(n,) for n in names], f"{SOURCE_FILE_COL} string")
      .withColumn("processed_at", as_ntz(now_utc())).coalesce(1)
@@ -115,9 +127,10 @@ STATS_SCHEMA = ("bronze_rows bigint, bronze_amount decimal(28,2), eligible_rows
 
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
     """A table that may have no files yet (e.g. no batch has quarantined a
-    row): an empty frame with the known schema instead of a failed read."""
+    row): an empty frame with the known schema instead of a failed read.
+    Batch names stay strings, also where they are partition folders."""
     if parquet_exists(spark, path):
-        return spark.read.parquet(path)
+        return read_partitioned(spark, path, [SOURCE_FILE_COL])
     if schema is None:
         raise FileNotFoundError(f"no table at {path} and no schema to fall back to")
     return spark.createDataFrame([], schema)

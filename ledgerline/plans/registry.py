@@ -22,7 +22,8 @@ from ledgerline.functions.contract import REASONS
 from ledgerline.operators import quality
 from ledgerline.operators.upsert import commit_watermark, high_water_mark, upsert
 from ledgerline.plans import gold, incremental, silver
-from ledgerline.session import parquet_exists, scratch_path
+from ledgerline.session import parquet_exists, read_partitioned, scratch_path
+from ledgerline.sources.raw import SOURCE_FILE_COL
 
 # Accepted values used by the data tests.
 TXN_TYPES = ("CASH_IN", "CASH_OUT", "TRANSFER", "PAYMENT", "DEBIT")
@@ -125,25 +126,27 @@ def count_checks(models=MODELS) -> int:
 
 
 def model_checks(model: Model, df: DataFrame, tables: dict[str, DataFrame]) -> list[DataFrame]:
-    out = []
+    """The model's tests: all that look at columns in one pass over the table
+    (``quality.table_checks``), a singular one by itself."""
+    out, columns = [], []
     t = model.qualified
     for spec in model.checks:
         kind = spec[0]
         if kind == "unique":
-            out.append(quality.unique(df, spec[1], t))
+            columns.append(quality.Check(kind, spec[1]))
         elif kind == "not_null":
-            out.append(quality.not_null(df, list(spec[1]), t))
+            columns += [quality.Check(kind, c) for c in spec[1]]
         elif kind == "accepted_values":
-            out.append(quality.accepted_values(df, spec[1], spec[2], t))
+            columns.append(quality.Check(kind, spec[1], values=tuple(spec[2])))
         elif kind == "relationships":
-            out.append(quality.relationships(df, spec[1], tables[spec[2]], spec[3], t, spec[2]))
+            columns.append(quality.Check(kind, spec[1], parent=(tables[spec[2]], spec[3], spec[2])))
         elif kind == "singular":
             bad = silver.reconciliation_failures(df)
             out.append(quality._row(bad.agg(F.count(F.lit(1)).alias("x")), "singular", t,  # noqa: SLF001
                                     spec[1], F.col("x")))
         else:
             raise ValueError(f"unknown check {kind}")
-    return out
+    return ([quality.table_checks(df, columns, t)] if columns else []) + out
 
 
 def topo_order(models=MODELS) -> list[Model]:
@@ -353,7 +356,14 @@ def register_tables(spark: SparkSession, root: str, models=MODELS) -> list[str]:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {m.layer}")
         spark.sql(f"DROP TABLE IF EXISTS {m.qualified}")
         spark.catalog.createTable(m.qualified, path=path, source="parquet")
-        if m.partition_by or m.materialized == "incremental":
+        parts = [c.name for c in spark.catalog.listColumns(m.qualified) if c.isPartition]
+        if SOURCE_FILE_COL in parts:  # declared, so that batch names stay strings
+            fields = read_partitioned(spark, path, [SOURCE_FILE_COL]).schema.fields
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+            spark.sql(f"DROP TABLE {m.qualified}")
+            spark.sql(f"CREATE TABLE {m.qualified} ({columns}) USING parquet PARTITIONED BY ({SOURCE_FILE_COL}) "
+                      f"LOCATION '{path}'")
+        if parts:
             spark.sql(f"ALTER TABLE {m.qualified} RECOVER PARTITIONS")
         names.append(m.qualified)
     return names

@@ -11,8 +11,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Settings every ledgerline job relies on; applied by ``get_session`` and safe
 # to set on an existing session (all are runtime SQL confs).
@@ -114,6 +116,24 @@ def parquet_exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def read_partitioned(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str],
+                     base: str | None = None) -> DataFrame:
+    """Parquet folders partitioned by the columns ``names``, whose values stay
+    the strings that they were written as.
+
+    Without a schema Spark gives a partition column the type that its folder
+    names look like: batches ``007`` and ``2024`` become the integers 7 and
+    2024, ``2024-01-01`` a date, ``1e3`` the number 1000.0, and a later cast
+    cannot bring the names back.  ``base`` is the table's folder when
+    ``paths`` are some of its partitions.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    reader = spark.read.option("basePath", base) if base else spark.read
+    seen = reader.parquet(*paths).schema
+    schema = StructType([StructField(f.name, StringType(), f.nullable) if f.name in names else f for f in seen])
+    return reader.schema(schema).parquet(*paths)
+
+
 def scale_profile(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
                   min_partitions: int = 200) -> dict[str, str]:
     """Size shuffles and scan splits for an input of ``input_bytes``.

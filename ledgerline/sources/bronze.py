@@ -13,6 +13,10 @@ committed.  A batch counts as loaded only when its ledger row exists, so:
 
 Tables written without a ledger (older or foreign ones) fall back to the
 partition list, answered by partition pruning.
+
+A batch name is text, whatever it looks like (``007``, ``2024``, ``1e3``,
+``2024-01-01``): every read of the table and of its ledger gives the schema, so
+that Spark doesn't infer a type for ``_source_file`` from the folder names.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import as_ntz
-from ledgerline.session import parquet_exists
+from ledgerline.session import parquet_exists, read_partitioned
 from ledgerline.sources.raw import (
     LOAD_TS_COL, PII_COLUMNS, SOURCE_FILE_COL, bronze_schema, now_utc, stamp, validate_source_name,
 )
@@ -35,6 +39,10 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 LEDGER_DIR = "_ledger"
+LEDGER_SCHEMA = (f"{SOURCE_FILE_COL} string, rows bigint, {LOAD_TS_COL} timestamp_ntz, "
+                 "committed_at timestamp_ntz")
+# Up to so many committed batches are named in a partition filter; more are joined.
+FILTERED_NAMES = 1000
 
 
 def ledger_path(path: str) -> str:
@@ -43,17 +51,22 @@ def ledger_path(path: str) -> str:
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """The committed batches: those with a ledger row (all, in a table that
-    has no ledger).  Folders of a batch that died before its commit are
-    pruned like any other partition that the join doesn't name."""
-    rows, ledger = spark.read.parquet(path), read_ledger(spark, path)
+    has no ledger).  While they are few their names are a partition filter, so
+    the folder of a batch that died before its commit isn't read; beyond
+    that they are a semi join, which drops its rows after reading them."""
+    rows, ledger = read_partitioned(spark, path, [SOURCE_FILE_COL]), read_ledger(spark, path)
     if ledger is None:
         return rows
-    return rows.join(ledger.select(SOURCE_FILE_COL).distinct(), SOURCE_FILE_COL, "left_semi").select(*rows.columns)
+    names = ledger.select(SOURCE_FILE_COL).distinct()
+    few = [r[0] for r in names.take(FILTERED_NAMES + 1)]
+    if len(few) <= FILTERED_NAMES:
+        return rows.filter(F.col(SOURCE_FILE_COL).isin(*few))
+    return rows.join(names, SOURCE_FILE_COL, "left_semi").select(*rows.columns)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
     lp = ledger_path(path)
-    return spark.read.parquet(lp) if parquet_exists(spark, lp) else None
+    return spark.read.schema(LEDGER_SCHEMA).parquet(lp) if parquet_exists(spark, lp) else None
 
 
 def loaded_sources(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
@@ -62,7 +75,7 @@ def loaded_sources(spark: SparkSession, path: str, names: list[str]) -> DataFram
     if ledger is not None:
         src = ledger.select(SOURCE_FILE_COL)
     elif table_exists(spark, path):
-        src = spark.read.parquet(path).select(SOURCE_FILE_COL)
+        src = read_partitioned(spark, path, [SOURCE_FILE_COL]).select(SOURCE_FILE_COL)
     else:
         return spark.createDataFrame([], f"{SOURCE_FILE_COL} string")
     return src.filter(F.col(SOURCE_FILE_COL).isin(*names)).distinct()
@@ -75,10 +88,6 @@ def already_loaded(spark: SparkSession, path: str, source_file: str) -> bool:
     return not loaded_sources(spark, path, [source_file]).isEmpty()
 
 
-LEDGER_SCHEMA = (f"{SOURCE_FILE_COL} string, rows bigint, {LOAD_TS_COL} timestamp_ntz, "
-                 "committed_at timestamp_ntz")
-
-
 def ensure_ledger(spark: SparkSession, path: str) -> None:
     """Create the (empty) ledger of a new table before any data lands, so the
     table is in ledger mode from its first write."""
@@ -95,8 +104,7 @@ def partition_path(path: str, source_file: str) -> str:
 
 def read_batches(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
     """Only the given batches' folders (no listing of the whole table)."""
-    return (spark.read.option("basePath", path)
-            .parquet(*[partition_path(path, n) for n in names]))
+    return read_partitioned(spark, [partition_path(path, n) for n in names], [SOURCE_FILE_COL], path)
 
 
 def write_batches(df: DataFrame, path: str, names: list[str] | None = None) -> None:

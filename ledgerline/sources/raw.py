@@ -43,6 +43,10 @@ NA_STRINGS = (
 _NAME_CHARACTERS = frozenset(string.ascii_letters + string.digits + "._-")
 
 
+# Fixed value: how Spark names the partition folder of NULL.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def validate_source_name(source_file: str) -> str:
     """A source name is a relative path: parts of plain characters, none of
     them empty (so it can't start at the root) or leading upwards."""
@@ -50,6 +54,8 @@ def validate_source_name(source_file: str) -> str:
     for part in parts:
         if not part or ".." in part or not _NAME_CHARACTERS.issuperset(part):
             raise ValueError(f"bad part {part!r} in source name {source_file!r}")
+    if source_file == NULL_PARTITION:
+        raise ValueError(f"source name {source_file!r} is the folder name of a missing value")
     return source_file
 
 

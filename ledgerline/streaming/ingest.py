@@ -30,16 +30,22 @@ from ledgerline.sources.raw import (
 from ledgerline.functions.columns import as_ntz
 
 
-def _relative_name(in_dir: str):
-    """Source name = file path relative to the landing folder."""
-    base = in_dir.rstrip("/") + "/"
-    path = F.col("_metadata.file_path")
-    return F.regexp_replace(F.regexp_replace(path, r"^file:(//)?", ""), "^" + _re_escape(base), "")
+def landing_root(spark: SparkSession, in_dir: str) -> str:
+    """The landing folder's path on its file system, without scheme and host:
+    ``file:/in``, ``file:///in``, ``/in`` and a relative ``in`` are resolved by
+    the file system that the name belongs to, the default one if it says none."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(in_dir)  # noqa: SLF001
+    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
+    return path.getFileSystem(conf).makeQualified(path).toUri().getRawPath().rstrip("/") + "/"
 
 
-def _re_escape(s: str) -> str:
-    import re
-    return re.escape(s.replace("file://", "").replace("file:", ""))
+def relative_name(root: str):
+    """Source name = file path below the landing root, whatever the scheme and
+    host that the reader puts in front of it (both paths are URI-encoded)."""
+    path = F.regexp_replace(F.col("_metadata.file_path"), "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    outside = F.concat(F.lit(f"not below the landing folder {root}: "), path)
+    return F.when(F.startswith(path, F.lit(root)), F.substr(path, F.lit(len(root) + 1))).otherwise(
+        F.raise_error(outside).cast("string"))
 
 
 def ingest_stream(spark: SparkSession, in_dir: str, table_path: str, checkpoint: str,
@@ -55,22 +61,23 @@ def ingest_stream(spark: SparkSession, in_dir: str, table_path: str, checkpoint:
     an anti join.
     """
     bronze_schema(columns, pii)
+    name = relative_name(landing_root(spark, in_dir)).alias(SOURCE_FILE_COL)
     named = (spark.readStream.schema(StructType([StructField(c, StringType(), True) for c in columns]))
              .option("header", "true").option("recursiveFileLookup", "true")
              .option("maxFilesPerTrigger", str(max_files_per_trigger)).csv(in_dir)
-             .select(F.col("_metadata.file_path").alias("path"), _relative_name(in_dir).alias(SOURCE_FILE_COL)))
+             .select(name))
 
     def land(batch: DataFrame, epoch_id: int) -> None:
         ensure_ledger(spark, table_path)
         files, done = batch.distinct(), read_ledger(spark, table_path)
         if done is not None:
             files = files.join(done.select(SOURCE_FILE_COL).distinct(), SOURCE_FILE_COL, "left_anti")
-        new = {r["path"]: validate_source_name(r[SOURCE_FILE_COL]) for r in files.collect()}
+        new = sorted(validate_source_name(r[SOURCE_FILE_COL]) for r in files.collect())
         if new:
-            rows = read_raw(spark, sorted(new), columns, na_strings, allow_empty=True,
-                            extra=[_relative_name(in_dir).alias(SOURCE_FILE_COL)])
+            paths = [f"{in_dir.rstrip('/')}/{n}" for n in new]  # as given: the metadata's paths are URI-encoded
+            rows = read_raw(spark, paths, columns, na_strings, allow_empty=True, extra=[name])
             # dynamic overwrite of these files' partitions, then their ledger rows
-            write_batches(rows.withColumn(LOAD_TS_COL, as_ntz(now_utc())), table_path, sorted(new.values()))
+            write_batches(rows.withColumn(LOAD_TS_COL, as_ntz(now_utc())), table_path, new)
 
     q = (named.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from ledgerline import catalog
 from tests.conftest import SF001
 from tools.compare import TABLES, digest
 
@@ -24,9 +25,10 @@ def test_entry_smoke(spark):
     assert df.count() == 149
 
 
-def test_every_query_has_an_oracle_or_is_layout_only():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == {"layout_detail", "layout_profile"}
+def test_every_core_query_has_an_oracle():
+    """With and without the optional training-data queries."""
+    assert set(catalog.QUERIES) <= set(E.queries())
+    assert not set(catalog.QUERIES) - set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))

@@ -72,3 +72,22 @@ def test_hot_identical_group_is_spread_over_partitions(spark):
         spark.conf.set(key, old)
     assert total == 9000 and max(sizes) < 3000
     assert sorted(r["i"] for r in out.select("i").collect()) == list(range(9000))
+
+
+def test_offsets_of_many_partitions_are_a_relation(spark):
+    """20,000 partitions, some empty: dense positions, and a plan that is as
+    long as that of eight (no literal for each partition)."""
+    from ledgerline.operators.rank import partition_offsets, place
+
+    def placed(parts):
+        rows = spark.range(parts).filter("id % 4 > 0").select(F.col("id").cast("int").alias("_pid"), F.explode(
+            F.sequence(F.lit(0).cast("long"), F.col("id") % 4 - 1)).alias("at"))
+        tagged = rows.select("_pid", (F.shiftleft(F.col("_pid").cast("bigint"), 33) + F.col("at")).alias("_mid"), "at", F.col("_pid").alias("p"))
+        offsets, n, total = partition_offsets(tagged)
+        return place(tagged, offsets, n, "i"), total
+
+    few, many = placed(8), placed(20_000)
+    got = [r["i"] for r in many[0].orderBy("p", "at").collect()]
+    assert got == list(range(many[1])) and many[1] == 30_000
+    sizes = [len(df._jdf.queryExecution().analyzed().toString()) for df, _ in (few, many)]  # noqa: SLF001
+    assert abs(sizes[0] - sizes[1]) < 400

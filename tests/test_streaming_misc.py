@@ -83,8 +83,8 @@ def test_scale_profile_sizes_partitions(spark):
                                            "spark.sql.files.maxPartitionBytes",
                                            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")}
     try:
-        big = scale_profile(spark, 100 * (1 << 40))  # 100 TiB: 409,600 raw, capped
-        assert big["spark.sql.shuffle.partitions"] == "100000"
+        big = scale_profile(spark, 100 * (1 << 40))  # 100 TiB at 256 MiB per partition, no cap
+        assert big["spark.sql.shuffle.partitions"] == "409600"
         mid = scale_profile(spark, 1 << 40)  # 1 TiB at 256 MiB per partition
         assert mid["spark.sql.shuffle.partitions"] == "4096"
         small = scale_profile(spark, 10 << 20)
