@@ -25,7 +25,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` once into the shared checkpoint folder and read it back.
 
     This fixes generated ids and sampled boundaries and cuts the lineage: a
@@ -33,10 +33,44 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     schema = df.schema
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+FILTER_BITS = 24
+
+
+def maybe_among(values: DataFrame, column: str, most_bits: int = FILTER_BITS):
+    """A test for use in ``filter``: false only for values that aren't in the
+    column of ``values``.  It is a Bloom filter (two hashes) of 16 to 32 bits a
+    value, but of at most 2^``most_bits`` bits (2 MB) whatever their number,
+    made by aggregates and read as a scalar subquery: broadcast data of a
+    bounded size.  Rows that pass still have to be joined."""
+    bits = min(most_bits, max(10, (16 * values.count()).bit_length()))
+
+    def places(value: Column) -> list[Column]:
+        return [F.shiftrightunsigned(F.xxhash64(F.lit(seed), value), 64 - bits) for seed in (0, 1)]
+
+    def word(place: Column) -> Column:
+        return F.shiftright(place, 6)
+
+    spark = values.sparkSession
+    set_bits = values.select(F.explode(F.array(*places(F.col(column)))).alias("p")).groupBy(word(F.col("p")).alias("id")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("set"))
+    words = spark.range(1 << (bits - 6)).join(set_bits, "id", "left").select("id", F.coalesce("set", F.lit(0).cast("long")).alias("set"))
+    whole = stored(words.agg(F.array_sort(F.collect_list(F.struct("id", "set")))["set"].alias("words")), "bloom-filter")
+
+    def test(value: Column) -> Column:
+        held, (one, two) = whole.scalar(), places(value)
+
+        def has(place: Column) -> Column:
+            return F.getbit(F.get(held, word(place).cast("int")), place.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+        return has(one) & has(two)
+
+    return test
+
+
 @cache
 def _package(application: str) -> str:
     """A zip of this package for the executors of one application."""

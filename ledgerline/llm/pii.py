@@ -22,9 +22,10 @@ that copies of one text count once: with n(t with e) / n(t) = p,
 takes its place, which is near independence for a k that is small.  Entities
 that occur in the same documents have the same counts and are weighed as one.
 
-All counts are over all documents.  Texts are shuffled to find repeated rows,
-their distinct terms to meet the revealing ones, and the places of terms in
-documents that have some.  All steps are DataFrame expressions.
+All counts are over all documents.  Shuffled are the keys of the rows, the
+distinct terms of texts as counts, texts with mentions, and the places of
+terms that pass a filter of fixed size for the revealing ones; the texts
+themselves only if rows repeat.  All steps are DataFrame expressions.
 
 Defined results: a null text counts as empty and has no spans; repeated rows
 each get their result and count once as evidence; an empty table gives an
@@ -36,7 +37,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import SPAN, Rule, blanked, bound, located, matches, no_spans, spans_of, stored
+from ledgerline.llm.common import SPAN, Rule, blanked, bound, located, matches, maybe_among, no_spans, spans_of, stored
 
 
 def _digits(hit: Column) -> Column:
@@ -89,15 +90,24 @@ def _mentions(text: Column, plain: Column, spans: Column) -> Column:
 
 
 def entities(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Of each distinct row: h1, h2, the spans and mentions of its entities,
-    and the text without them ("plain")."""
+    """Of each row: h1, h2, the spans and mentions of its entities, and the
+    text without them ("plain")."""
     numbered = list(enumerate(RULES))
     keyed = _keyed(docs, text, doc_id).select("h1", "h2", "text")
     found = keyed.withColumns(matches(F.col("text"), numbered)).select(
         "h1", "h2", "text", located(F.col("text"), numbered).alias("spans"))
     plain = found.withColumn("plain", F.when(F.size("spans") > 0, blanked(F.col("text"), F.col("spans"))).otherwise(F.col("text")))
     around = F.when(F.size("spans") > 0, _mentions(F.col("text"), F.col("plain"), F.col("spans")))
-    return plain.select("h1", "h2", "plain", "spans", around.alias("mentions")).dropDuplicates(["h1", "h2"])
+    return plain.select("h1", "h2", "plain", "spans", around.alias("mentions"))
+
+
+def _once(texts: DataFrame) -> DataFrame:
+    """The first of the rows that share h1 and h2; only keys are shuffled to
+    find the others, and the texts if there are any."""
+    keys = texts.select("tid", "h1", "h2")
+    several = keys.groupBy("h1", "h2").agg(F.min("tid").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    repeats = stored(keys.join(several, ["h1", "h2"]).filter("tid <> first").select("tid"), "repeats")
+    return texts if repeats.isEmpty() else texts.join(repeats, "tid", "left_anti")
 
 
 def _hits() -> Column:
@@ -134,17 +144,16 @@ def disclosures(texts: DataFrame) -> DataFrame:
 
 def _marked(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """h1, h2 and spans (entities and revealing terms) of each distinct row."""
-    texts = stored(entities(docs, text, doc_id).withColumn("tid", F.monotonically_increasing_id()), "texts")
+    texts = _once(stored(entities(docs, text, doc_id).withColumn("tid", F.monotonically_increasing_id()), "texts", "zstd"))
     weighed = stored(disclosures(texts).filter(F.col("disclosure") >= GENERALISE_FROM), "disclosures")
-    held = stored(_terms(texts, "tid").join(weighed, "term"), "revealing")
+    revealing = maybe_among(weighed, "term")
     # each bound: a lambda would split the text anew for every term
     found = bound(F.split("plain", TERM, -1), lambda pieces: bound(_hits(), lambda hits: F.arrays_zip(
         hits.alias("t"), spans_of(hits, pieces, "term", TERM_RANK).alias("x"))))
-    places = texts.select("tid", "plain").join(held.select("tid").distinct(), "tid", "left_semi").select(
-        "tid", F.explode(found).alias("z")).select(
-        "tid", F.lower("z.t").alias("term"), F.col("z.x.s").alias("s"), F.col("z.x.e").alias("e"))
+    places = texts.select("tid", F.explode(found).alias("z")).select(
+        "tid", F.lower("z.t").alias("term"), F.col("z.x.s").alias("s"), F.col("z.x.e").alias("e")).filter(revealing(F.col("term")))
     kind = F.when(F.col("disclosure") >= REMOVE_FROM, F.lit("removed")).otherwise(F.lit("general"))
-    terms = places.join(held, ["tid", "term"]).groupBy("tid").agg(F.collect_list(F.struct(
+    terms = places.join(weighed, "term").groupBy("tid").agg(F.collect_list(F.struct(
         "s", F.lit(TERM_RANK).alias("rank"), "e", kind.alias("kind"))).cast(SPAN).alias("terms"))
     both = F.array_sort(F.concat("spans", F.coalesce("terms", no_spans()))).cast(SPAN)
     return stored(texts.select("tid", "h1", "h2", "spans").join(terms, "tid", "left").select(
