@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import map_arrow
-from ledgerline.llm.tokens import library_encoder, slices, words
+from ledgerline.llm.tokens import library_encoder, lower_words, slices
 from ledgerline.session import scratch_path
 
 MAX_LENGTH = 2048
@@ -46,7 +46,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, max_length: int = MAX_L
         raise ValueError("the longest piece must be a power of two")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, number = library_encoder(tokenizer, words), TaskContext.get().partitionId() << 36
+        encoder, number = library_encoder(tokenizer, lower_words), TaskContext.get().partitionId() << 36
         for batch in batches:
             texts = batch["text"].to_pylist()
             for a, b in slices(texts):

@@ -6,6 +6,12 @@ word, with the space before it where the tokenizer keeps that).  Chunks repeat
 endlessly in a corpus, so each distinct one is encoded once per worker while a
 bounded table has room.  Texts with rarer kinds of white space, where library
 and Python could cut differently, are encoded whole.
+
+New chunks are given to the library many in one text, as a call costs more than
+a word.  The ids are cut apart by what the vocabulary marks: the first token of
+a chunk that begins with its space, or the last one of each word.  Chunks whose
+number of marks isn't plain beforehand, and texts whose marks don't add up, are
+encoded one by one.
 """
 
 from __future__ import annotations
@@ -47,6 +53,65 @@ def words(text: str) -> list[str]:
     return text.split()
 
 
+JOINED = 256  # chunks in one text
+_MARKS = ".,;:!?"
+
+
+def _plain_words(chunk: str) -> int:
+    """How many words (1 or 2) a tokenizer sees in a chunk of letters, or of
+    letters and one mark; 0: not known."""
+    low = chunk.lower()
+    if len(low) != len(chunk):
+        return 0
+    if low.isalpha():
+        return 1
+    return 2 if low[-1] in _MARKS and low[:-1].isalpha() else 0
+
+
+def _spaced(chunk: str) -> int:
+    return int(len(chunk) > 1 and chunk[0] == " " and chunk[1] != " ")
+
+
+class _Joined:
+    """Ids of chunks, encoded many in one text and cut at marked ids."""
+
+    def __init__(self, ids: Callable[[list[str]], list[list[int]]], marked: np.ndarray, at_end: bool) -> None:
+        self._ids, self._marked, self._at_end = ids, marked, at_end
+        self._count, self._between = (_plain_words, " ") if at_end else (_spaced, "")
+
+    def __call__(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids in a row, and where each chunk's begin and how many it has."""
+        marks = np.fromiter(map(self._count, chunks), np.int64, len(chunks))
+        easy, hard = np.flatnonzero(marks), [np.flatnonzero(marks == 0)]
+        groups = [easy[i:i + JOINED] for i in range(0, len(easy), JOINED)]
+        begin, sizes, flat, held = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64), [np.zeros(0, np.uint32)], 0
+        for g, own in zip(groups, self._ids([self._between.join([chunks[i] for i in g.tolist()]) for g in groups])):
+            ids = np.array(own, np.uint32)
+            at, wanted = np.flatnonzero(self._marked[ids]), marks[g]
+            if len(at) != wanted.sum():
+                hard.append(g)
+                continue
+            ends = at[np.cumsum(wanted) - 1] + 1 if self._at_end else np.append(at[1:], len(ids))
+            if ends[-1] != len(ids) or not (self._at_end or at[0] == 0):
+                hard.append(g)
+                continue
+            begin[g] = held + np.append(0, ends[:-1])
+            sizes[g] = np.diff(ends, prepend=0)
+            flat.append(ids)
+            held += len(ids)
+        rest = np.concatenate(hard)
+        alone = self._ids([chunks[i] for i in rest.tolist()])
+        sizes[rest] = list(map(len, alone))
+        begin[rest] = held + np.cumsum(sizes[rest]) - sizes[rest]
+        flat.append(np.fromiter(chain.from_iterable(alone), np.uint32, int(sizes[rest].sum())))
+        return np.concatenate(flat), begin, sizes
+
+
+def lower_words(text: str) -> list[str]:
+    """For tokenizers that drop white space and case."""
+    return text.lower().split() if text.isascii() else text.split()
+
+
 class _Table(dict):
     """Chunk to its number; a new chunk gets the next one."""
 
@@ -73,8 +138,8 @@ class Encoder:
     that can be encoded apart; texts that ``whole`` finds are not divided."""
 
     def __init__(self, ids: Callable[[list[str]], list[list[int]]], cut: Callable[[str], list[str]],
-                 whole: re.Pattern | None = None, chunks: int = CHUNKS) -> None:
-        self._ids, self._cut, self._whole, self._room = ids, cut, whole, chunks
+                 whole: re.Pattern | None = None, chunks: int = CHUNKS, joined: _Joined | None = None) -> None:
+        self._ids, self._cut, self._whole, self._room, self._joined = ids, cut, whole, chunks, joined
         self._clear()
 
     def _clear(self) -> None:
@@ -83,10 +148,13 @@ class Encoder:
         self._ids_held = self._held = 0  # the arrays have room beyond these
 
     def _learn(self) -> None:
-        ids = self._ids(self._table.new)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
-        self._start = appended(self._start, self._held, self._ids_held + np.cumsum(sizes) - sizes)
+        if self._joined:
+            flat, begin, sizes = self._joined(self._table.new)
+        else:
+            ids = self._ids(self._table.new)
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat, begin = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), np.cumsum(sizes) - sizes
+        self._start = appended(self._start, self._held, self._ids_held + begin)
         self._size = appended(self._size, self._held, sizes)
         self._flat = appended(self._flat, self._ids_held, flat)
         self._held, self._ids_held = self._held + len(sizes), self._ids_held + len(flat)
@@ -137,8 +205,16 @@ def library_encoder(path: str, cut: Callable[[str], list[str]]) -> Encoder:
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return Encoder(lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)],
-                   cut, RARE_SPACE)
+
+    def ids(texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    vocabulary = tokenizer.get_vocab()
+    marked, at_end = np.zeros(max(vocabulary.values()) + 1, bool), any(t.endswith("</w>") for t in vocabulary)
+    for token, at in vocabulary.items():
+        marked[at] = token.endswith("</w>") if at_end else token.startswith("\u0120")  # how byte-level files write a space
+    fits = marked.any() and (cut is spaced_chunks) != at_end
+    return Encoder(ids, cut, RARE_SPACE, joined=_Joined(ids, marked, at_end) if fits else None)
 
 
 def slices(texts: Sequence[str], limit: int = SLICE) -> Iterator[tuple[int, int]]:

@@ -161,3 +161,25 @@ def test_pieces_round_trip(spark):
     for t in (cases.PROSE, "über ☃ x", "a  b"):
         ids = model.encoder().encode([t])[0].tolist()
         assert own.decode(ids) == model.decode(ids) == t
+
+
+HARD_CHUNKS = ["the", "The", "don't", "it's", "word.", "word,.", "...", "été", "İstanbul", "ǅ", "naïve!", "x²", "a1b", "一二", "ﬁne", "é",
+               "<|endoftext|>", "'s", "s'", "A", "co-op", "straße", "Straße.", "ΟΔΥΣΣΕΥΣ", "😀", "ok?", "?", "ª", "á"]
+
+
+@pytest.mark.parametrize("name,cut,form", [(tokens.BYTE_BPE, tokens.spaced_chunks, " {}"), (tokens.BYTE_BPE, tokens.spaced_chunks, "{}"),
+                                           (tokens.WORD_BPE, tokens.lower_words, "{}"), (tokens.WORD_BPE, tokens.words, "{}")])
+def test_joined_chunks_have_the_ids_of_single_ones(name, cut, form):
+    encoder = tokens.library_encoder(tokens.tokenizer_path(name), cut)
+    chunks = [form.format(c) for c in HARD_CHUNKS * 30 + [f"w{i}" for i in range(300)]] + ["\n", "  ", "\n\n "]
+    flat, begin, sizes = encoder._joined(chunks)
+    assert [flat[b:b + n].tolist() for b, n in zip(begin.tolist(), sizes.tolist())] == [encoder._ids([c])[0] for c in chunks]
+    assert sum(map(encoder._joined._count, chunks)) > 300 or "{}" == form and name == tokens.BYTE_BPE
+
+
+def test_texts_of_words_that_lose_case():
+    encoder = tokens.library_encoder(tokens.tokenizer_path(tokens.WORD_BPE), tokens.lower_words)
+    texts = [" ".join(HARD_CHUNKS), "Plain Words. In ASCII, only!", "MIXED Été ß"] * 2
+    ids, sizes = encoder.encode(texts)
+    want = [encoder._ids([t])[0] for t in texts]
+    assert ids.tolist() == sum(want, []) and sizes.tolist() == list(map(len, want))
