@@ -1,9 +1,15 @@
 """License scan with ordered signature rules.
 
-Each license has a name pattern, a keyword and an identifier; every form in
-which licenses are mentioned (identifier tags, links, "licensed under ...",
-titles, bare names) makes one rule of each license, over two hundred regular
-expressions in all.  One pass of an Aho-Corasick automaton over the text finds
+Signatures are written by hand for the texts of licenses and for the notices
+that point to them: sentences that stand in one license only, titles with their
+dates, the standard notice of each version, and acronyms after "under".  Beside
+them each license has a name pattern, a keyword and an identifier; every form
+in which licenses are mentioned (identifier tags and the parts of their
+expressions, links, metadata fields, "licensed under ...", titles, bare names)
+makes one rule of each license.  These are over three hundred regular
+expressions in all.  A signature whose text goes on (a third clause, an
+endorsement) has a higher priority than the one it contains, which is then
+suppressed.  One pass of an Aho-Corasick automaton over the text finds
 the keywords, and only the rules whose keyword occurs are tried.  Detections
 are then resolved: taken in order of priority, one that lies within a
 detection of equal or higher priority is suppressed.
@@ -84,13 +90,159 @@ LICENSES = (
     ("wtfpl", r"wtfpl", r"wtfpl", r"wtfpl"),
     ("zlib", r"zlib", r"zlib", ""),
 )
+_AS_PUBLISHED = " as published by the free software foundation[;,]? "
+_GAP = r"[\s\S]{0,1600}?"  # to a clause further down in the same text
+# Signatures of license texts and notices: label, priority, a
+# keyword that every match contains, pattern (a space stands for white space
+# and comment marks).
+SIGNATURES = (
+    # permissive texts
+    ("mit", 92, "obtaining", r"permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("mit-0", 94, "obtaining", r"permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
+     r" \(the .software.\), to deal in the software without restriction, including without limitation the rights to use, copy, modify, merge, publish,"
+     r" distribute, sublicense, and.or sell copies of the software, and to permit persons to whom the software is furnished to do so\. the software is provided"),
+    ("x11", 95, "consortium", r"permission is hereby granted, free of charge, to any person obtaining a copy" + _GAP + r"except as contained in this notice, the name of the x consortium"),
+    ("bsl-1.0", 95, "organization", r"permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software"),
+    ("isc", 94, "permission", r"permission to use, copy, modify,? (?:and.or|and) distribute this software for any purpose with or without fee is hereby granted, provided that the above"
+     r" copyright notice and this permission notice appear in all copies"),
+    ("0bsd", 90, "permission", r"permission to use, copy, modify,? and.or distribute this software for any purpose with or without fee is hereby granted"),
+    ("hpnd", 91, "permission", r"permission to use, copy, modify,? and distribute this software and its documentation for any purpose (?:and )?without fee is hereby granted"),
+    ("bsd-1-clause", 84, "redistribution", r"redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions? (?:are|is) met"),
+    ("bsd-2-clause", 90, "redistribution", r"redistribution and use in source and binary forms, with or without modification, are permitted" + _GAP
+     + r"redistributions in binary form must reproduce the above copyright notice"),
+    ("bsd-3-clause", 93, "endorse", r"redistribution and use in source and binary forms, with or without modification, are permitted" + _GAP
+     + r"(?:neither the names? of|the names? of)" + r"[\s\S]{0,300}?" + r"endorse or promote products"),
+    ("bsd-4-clause", 95, "advertising", r"redistribution and use in source and binary forms, with or without modification, are permitted" + _GAP
+     + r"all advertising materials mentioning features" + _GAP + r"endorse or promote products"),
+    ("bsd-3-clause-clear", 96, "patent", r"redistribution and use in source and binary forms, with or without modification, are permitted \(subject to the limitations in the disclaimer below\)"
+     + _GAP + r"no express or implied licenses to any party's patent rights"),
+    ("zlib", 93, "altered", r"altered source versions must be plainly marked as such, and must not be misrepresented as being the original software"),
+    ("libpng", 95, "contributing", r"the contributing authors and .{0,40}disclaim all warranties, expressed or implied" + _GAP + r"altered versions must be plainly marked"),
+    ("unlicense", 95, "unencumbered", r"this is free and unencumbered software released into the public domain"),
+    ("wtfpl", 95, "everyone", r"everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed"),
+    ("beerware", 95, "beer", r"if we meet some day, and you think this stuff is worth it, you can buy me a beer"),
+    ("postgresql", 95, "documentation", r"permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is hereby granted"),
+    ("python-2.0", 94, "python", r"this license agreement is between the python software foundation"),
+    ("ncsa", 95, "disclaimers", r"to deal with the software without restriction" + _GAP + r"redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimers"),
+    ("ncsa", 94, "deal", r"to deal with the software without restriction, including without limitation the rights to use"),
+    ("artistic-1.0", 93, "artistic", r"the intent of this document is to state the conditions under which a package may be copied, such that the copyright holder maintains some semblance of artistic control"),
+    ("artistic-2.0", 93, "artistic", r"the artistic license 2\.0"),
+    ("openssl", 95, "openssl", r"this product includes software developed by the openssl project for use in the openssl toolkit"),
+    ("curl", 95, "permission", r"permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice"
+     r" and this permission notice appear in all copies\. the software is provided .as is., without warranty of any kind, express or implied, including but not limited to the"
+     r" warranties of merchantability, fitness for a particular purpose and noninfringement of third party rights"),
+    ("ofl-1.1", 94, "font", r"sil open font license version 1\.1"),
+    ("ofl-1.1", 94, "font", r"the font software may be sold as part of a larger software package but no copy of one or more of the font software typefaces may be sold by itself"),
+    ("cc0-1.0", 95, "affirmer", r"to the greatest extent permitted by, but not in contravention of, applicable law, affirmer hereby overtly, fully, permanently"),
+    ("cc0-1.0", 90, "waiv", r"(?:has|have) (?:dedicated the work to the public domain by waiving|waived) all (?:of )?(?:his or her |their )?(?:copyright|rights)"),
+    ("upl-1.0", 94, "universal", r"the universal permissive license \(upl\),? version 1\.0"),
+    ("afl-3.0", 94, "academic", r"licensed under the academic free license version 3\.0"),
+    ("osl-3.0", 94, "open", r"licensed under the open software license version 3\.0"),
+    # apache
+    ("apache-2.0", 94, "january", r"apache license,? version 2\.0, january 2004"),
+    ("apache-2.0", 93, "compliance", r"licensed (?:to .{1,80} )?under the apache license, version 2\.0 \(the .?license.?\);? you may not use this file except in compliance with the license"),
+    ("apache-2.0", 88, "perpetual", r"each contributor hereby grants to you a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce"),
+    ("apache-1.1", 94, "apache", r"apache (?:software )?licen[cs]e,? (?:version |v\.? ?)?1\.1"),
+    ("apache-1.0", 94, "apache", r"apache (?:software )?licen[cs]e,? (?:version |v\.? ?)?1\.0"),
+    ("apache-1.1", 95, "acknowledgment", r"this product includes software developed by the apache software foundation" + _GAP + r"alternately, this acknowledgment may appear"),
+    ("ecl-2.0", 94, "educational", r"licensed under the educational community license, version 2\.0"),
+    # gnu: titles with dates, notices with versions
+    ("gpl-1.0", 95, "february", r"gnu general public license version 1, february 1989"),
+    ("gpl-2.0", 95, "june", r"gnu general public license version 2, june 1991"),
+    ("gpl-3.0", 95, "june", r"gnu general public license version 3, 29 june 2007"),
+    ("lgpl-2.0", 95, "june", r"gnu library general public license version 2, june 1991"),
+    ("lgpl-2.1", 95, "february", r"gnu lesser general public license version 2\.1, february 1999"),
+    ("lgpl-3.0", 95, "june", r"gnu lesser general public license version 3, 29 june 2007"),
+    ("agpl-3.0", 95, "november", r"gnu affero general public license version 3, 19 november 2007"),
+    ("gfdl-1.1", 95, "march", r"gnu free documentation license version 1\.1, march 2000"),
+    ("gfdl-1.2", 95, "november", r"gnu free documentation license version 1\.2, november 2002"),
+    ("gfdl-1.3", 95, "november", r"gnu free documentation license version 1\.3, 3 november 2008"),
+    ("gpl-1.0", 94, "published", r"gnu general public license" + _AS_PUBLISHED + r"(?:either )?version 1(?![0-9.])"),
+    ("gpl-2.0", 94, "published", r"gnu general public license" + _AS_PUBLISHED + r"(?:either )?version 2(?![0-9.])"),
+    ("gpl-3.0", 94, "published", r"gnu general public license" + _AS_PUBLISHED + r"(?:either )?version 3(?![0-9.])"),
+    ("gpl-2.0", 93, "version", r"gnu general public license,? version 2(?![0-9])" + _AS_PUBLISHED.rstrip()),
+    ("gpl-3.0", 93, "version", r"gnu general public license,? version 3(?![0-9])" + _AS_PUBLISHED.rstrip()),
+    ("lgpl-2.0", 94, "published", r"gnu library general public license" + _AS_PUBLISHED + r"(?:either )?version 2(?![0-9.])"),
+    ("lgpl-2.1", 94, "published", r"gnu lesser general public license" + _AS_PUBLISHED + r"(?:either )?version 2\.1"),
+    ("lgpl-3.0", 94, "published", r"gnu lesser general public license" + _AS_PUBLISHED + r"(?:either )?version 3(?![0-9.])"),
+    ("agpl-3.0", 94, "published", r"(?:gnu )?affero general public license" + _AS_PUBLISHED + r"(?:either )?version 3(?![0-9.])"),
+    ("gfdl-1.1", 93, "documentation", r"gnu free documentation license, version 1\.1"),
+    ("gfdl-1.2", 93, "documentation", r"gnu free documentation license, version 1\.2"),
+    ("gfdl-1.3", 93, "documentation", r"gnu free documentation license, version 1\.3"),
+    ("gpl", 70, "freedom", r"the licenses for most software(?: and other practical works)? are designed to take away your freedom to share and change (?:it|the works)"),
+    ("lgpl", 70, "linking", r"a .work that uses the library. by linking"),
+    ("gpl-3.0", 45, "either", r"either version 3 of the license, or \(at your option\) any later version"),
+    ("gpl-2.0", 45, "either", r"either version 2 of the license, or \(at your option\) any later version"),
+    ("lgpl-2.1", 45, "either", r"either version 2\.1 of the license, or \(at your option\) any later version"),
+    # weak copyleft
+    ("mpl-2.0", 94, "source", r"this source code form is subject to the terms of the mozilla public license, v\. 2\.0"),
+    ("mpl-2.0", 93, "mozilla", r"mozilla public license,? version 2\.0"),
+    ("mpl-1.1", 94, "mozilla", r"the contents of this file are subject to the mozilla public license,? version 1\.1"),
+    ("mpl-1.0", 94, "mozilla", r"the contents of this file are subject to the mozilla public license,? version 1\.0"),
+    ("epl-2.0", 94, "eclipse", r"made available under the terms of the eclipse public license,? (?:version |v\.? ?)?2\.0"),
+    ("epl-1.0", 94, "eclipse", r"made available under the terms of the eclipse public license,? (?:version |v\.? ?)?1\.0"),
+    ("epl-1.0", 93, "eclipse", r"eclipse public license ?- ?v ?1\.0"),
+    ("epl-2.0", 93, "eclipse", r"eclipse public license ?- ?v ?2\.0"),
+    ("cpl-1.0", 93, "common", r"common public license ?(?:version |- ?v ?)1\.0"),
+    ("ipl-1.0", 93, "ibm", r"ibm public license version 1\.0"),
+    ("cddl-1.0", 94, "development", r"subject to the terms of the common development and distribution license,? (?:version 1\.0|\(the .license.\))"),
+    ("cddl-1.1", 94, "development", r"common development and distribution license \(cddl\) version 1\.1"),
+    ("cecill-2.1", 93, "cecill", r"cecill free software license agreement,? version 2\.1"),
+    ("cecill-b", 94, "cecill", r"cecill-b free software license agreement"),
+    ("cecill-c", 94, "cecill", r"cecill-c free software license agreement"),
+    ("eupl-1.1", 94, "european", r"european union public licen[cs]e,? (?:version |v\.? ?)1\.1"),
+    ("eupl-1.2", 94, "european", r"european union public licen[cs]e,? (?:version |v\.? ?)1\.2"),
+    ("ms-pl", 94, "microsoft", r"microsoft public license \(ms-pl\)"),
+    ("ms-rl", 94, "microsoft", r"microsoft reciprocal license \(ms-rl\)"),
+    ("lppl-1.3c", 94, "latex", r"conditions of the latex project public license, either version 1\.3c?"),
+    ("ruby", 94, "ruby", r"you may distribute the software in object code or binary form, provided that you do at least one of the following" + _GAP + r"ruby"),
+    ("vim", 94, "vim", r"there are no restrictions on distributing unmodified copies of vim"),
+    ("sleepycat", 95, "accompanied", r"redistributions in any form must be accompanied by information on how to obtain complete source code"),
+    ("qpl-1.0", 94, "public", r"the q public license version 1\.0"),
+    ("watcom-1.0", 94, "sybase", r"sybase open watcom public license version 1\.0"),
+    ("apsl-2.0", 94, "apple", r"apple public source license version 2\.0"),
+    ("nasa-1.3", 94, "nasa", r"nasa open source agreement version 1\.3"),
+    ("rpl-1.5", 94, "reciprocal", r"reciprocal public license,? (?:version )?1\.5"),
+    ("sspl-1.0", 94, "server", r"server side public license,? version 1"),
+    ("elastic-2.0", 94, "elastic", r"elastic license 2\.0"),
+    ("busl-1.1", 94, "business", r"business source license 1\.1"),
+    ("commons-clause", 94, "commons", r".commons clause. license condition v1\.0"),
+    ("json", 95, "evil", r"the software shall be used for good, not evil"),
+    ("odbl-1.0", 94, "database", r"open database license \(odbl\) v1\.0"),
+    ("odc-by-1.0", 94, "attribution", r"open data commons attribution license"),
+    ("pddl-1.0", 94, "dedication", r"public domain dedication (?:and|&) license"),
+    ("cc-by-4.0", 94, "attribution", r"creative commons attribution 4\.0 international"),
+    ("cc-by-sa-4.0", 94, "attribution", r"creative commons attribution-sharealike 4\.0 international"),
+    ("cc-by-nc-4.0", 94, "attribution", r"creative commons attribution-noncommercial 4\.0 international"),
+    ("cc-by-nd-4.0", 94, "attribution", r"creative commons attribution-noderivatives 4\.0 international"),
+    ("cc-by-nc-sa-4.0", 94, "attribution", r"creative commons attribution-noncommercial-sharealike 4\.0 international"),
+    ("cc-by-nc-nd-4.0", 94, "attribution", r"creative commons attribution-noncommercial-noderivatives 4\.0 international"),
+    ("cc-by-3.0", 93, "attribution", r"creative commons attribution 3\.0 (?:unported|united states)"),
+    ("cc-by-sa-3.0", 93, "attribution", r"creative commons attribution-share ?-?alike 3\.0 (?:unported|united states)"),
+    ("cc-by-2.0", 93, "attribution", r"creative commons attribution 2\.0 generic"),
+    ("cc-by-sa-2.0", 93, "attribution", r"creative commons attribution-sharealike 2\.0 generic"),
+    ("openrail-m", 93, "creativeml", r"creativeml open rail-?m"),
+    ("openrail-m", 92, "responsible", r"responsible ai licen[cs]e"),
+)
+# Acronyms that stand after "under (the)"; a version makes the label surer.
+ACRONYMS = (
+    ("gpl-2.0", r"gpl,? ?(?:version |v\.? ?)?2(?:\.0)?"), ("gpl-3.0", r"gpl,? ?(?:version |v\.? ?)?3(?:\.0)?"), ("gpl", r"gpl"),
+    ("lgpl-2.1", r"lgpl,? ?(?:version |v\.? ?)?2\.1"), ("lgpl-2.0", r"lgpl,? ?(?:version |v\.? ?)?2(?:\.0)?"),
+    ("lgpl-3.0", r"lgpl,? ?(?:version |v\.? ?)?3(?:\.0)?"), ("lgpl", r"lgpl"),
+    ("agpl-3.0", r"agpl(?:,? ?(?:version |v\.? ?)?3(?:\.0)?)?"), ("gfdl", r"gfdl|gnu fdl"),
+    ("mpl-2.0", r"mpl,? ?(?:version |v\.? ?)?2(?:\.0)?"), ("mpl-1.1", r"mpl,? ?(?:version |v\.? ?)?1\.1"), ("mpl", r"mpl"),
+    ("epl-1.0", r"epl,? ?(?:version |v\.? ?)?1(?:\.0)?"), ("epl-2.0", r"epl,? ?(?:version |v\.? ?)?2(?:\.0)?"), ("epl", r"epl"),
+    ("cddl-1.0", r"cddl"), ("eupl-1.2", r"eupl"), ("wtfpl", r"wtfpl"), ("cc0-1.0", r"cc0"), ("ofl-1.1", r"(?:sil )?ofl"),
+)
+
 # What may follow the identifiers of licenses in versions "only" or "or later".
 GNU = ("agpl-3.0", "gfdl-1.3", "gpl-2.0", "gpl-3.0", "lgpl-2.1", "lgpl-3.0")
 _LATER = r"(?:-only|-or-later|\+)?"
 # Forms of mention with their priority; {name}, {id}, {short}, {later}.
 _VERSION = r"(?:,? (?:version|v\.?) ?[0-9]+(?:\.[0-9]+)*)?"
 FORMS = (
-    (100, r"spdx-license-identifier: ?{id}{later}(?![a-z0-9.-])"),
+    (100, r"spdx-license-identifier:[ (]*(?:[a-z0-9.+-]+[ )]+(?:or|and|with)[ (]+)*(?P<at>{id}{later})(?![a-z0-9.-])"),
+    (97, r"(?<![a-z0-9])licen[cs]es?[\"']? ?[:=] ?[\"'(\[]*(?P<at>{id}{later})(?![a-z0-9.-])"),
     (90, r"(?:opensource\.org/licen[cs]es?|choosealicense\.com/licenses|spdx\.org/licenses)/{id}{later}(?![a-z0-9-])"),
     (80, r"(?:licen[cs]ed|released|distributed|available|published) under (?:the )?(?:terms of (?:the )?)?{name}(?: licen[cs]e)?" + _VERSION),
     (60, r"(?<![a-z0-9]){name} licen[cs]e(?![a-z0-9])" + _VERSION),
@@ -110,9 +262,10 @@ class Rule:
     pattern: re.Pattern
 
 
-def _spaced(pattern: str) -> str:
-    """A space in a pattern stands for any white space, outside of classes."""
-    return re.sub(r"(\[[^\]]*\])| \?| ", lambda m: m[1] or r"[\x20\x09-\x0D]" + ("*" if m[0] == " ?" else "+"), pattern)
+def _spaced(pattern: str, marks: str = "") -> str:
+    """A space in a pattern stands for any white space (or ``marks``), outside
+    of classes."""
+    return re.sub(r"(\[[^\]]*\])| \?| ", lambda m: m[1] or rf"[\x20\x09-\x0D{marks}]" + ("*" if m[0] == " ?" else "+"), pattern)
 
 
 @cache
@@ -123,11 +276,19 @@ def rules() -> tuple[Rule, ...]:
             if "{short}" in form and not short:
                 continue
             keywords = (keyword.split()[0],) if "{name}" in form else \
+                (re.match(r"[a-z0-9]+", label)[0],) if "licen[cs]es?" in form and "{id}" in form and "org" not in form else \
                 ("license-identifier", "opensource.org", "choosealicense.com", "spdx.org") if "{id}" in form else \
                 tuple({re.match(r"[a-z0-9]+", short)[0]})
             later = "" if label not in GNU else r"(?:-(?:no-)?invariants)?" + _LATER if label == "gfdl-1.3" else _LATER
             filled = form.format(id=re.escape(label), name=name, short=short, later=later)
             out.append(Rule(label, priority, keywords, re.compile(_spaced(filled))))
+    for label, priority, keyword, pattern in SIGNATURES:
+        out.append(Rule(label, priority, (keyword,), re.compile(_spaced(pattern, "*#/;"))))
+    for label, short in ACRONYMS:
+        priority = 75 if re.search("[0-9]", label) else 55
+        keywords = ("gfdl", "fdl") if label == "gfdl" else (re.sub(r"\(.*?\)\?", "", short)[:3],)
+        out.append(Rule(label, priority, keywords, re.compile(_spaced(
+            rf"under (?:the )?(?:terms of (?:the )?)?(?:gnu )?(?:{short})(?![a-z0-9.-]*[a-z0-9])"))))
     return tuple(out)
 
 
@@ -160,13 +321,18 @@ def resolve(found: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int,
     return kept
 
 
+def places(rule: Rule, text: str) -> list[tuple[int, int, int, str]]:
+    """What a rule finds by itself; of tags the identifier is the place."""
+    group = "at" if "at" in rule.pattern.groupindex else 0
+    return [(*m.span(group), rule.priority, rule.label) for m in rule.pattern.finditer(text)]
+
+
 def detections(text: str) -> list[tuple[int, int, int, str]]:
     """Resolved detections in a lower-case text: start, end, priority, label."""
     seen = {word for _, word in _prefilter().iter(text)}
     if not seen:
         return []
-    return resolve([(m.start(), m.end(), r.priority, r.label) for r in rules() if not seen.isdisjoint(r.keywords)
-                    for m in r.pattern.finditer(text)])
+    return resolve([found for r in rules() if not seen.isdisjoint(r.keywords) for found in places(r, text)])
 
 
 def base_places(words: list[bytes]) -> list[tuple[int, str]]:
