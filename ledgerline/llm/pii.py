@@ -30,6 +30,7 @@ themselves only if rows repeat.  All steps are DataFrame expressions.
 Defined results: a null text counts as empty and has no spans; repeated rows
 each get their result and count once as evidence; an empty table gives an
 empty result; other columns are ignored by ``scan`` and kept by ``sanitise``.
+Mentions are cut out of a text in time with the square of their number.
 """
 
 from __future__ import annotations

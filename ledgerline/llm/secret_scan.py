@@ -9,11 +9,13 @@ rule itself.  A rule whose expression has no mandatory trigram scans every
 text.
 
 Everything runs as DataFrame expressions.  Documents are keyed by 128 bits of
-hash over (doc_id, text); a collision could only add candidates for
-verification, and equal rows share one key, so copies are indexed once.
+hash over (doc_id, text), and equal rows share one key, so copies are indexed
+once.  Two rows with equal hashes and different texts, one chance in 2^128 a
+pair, would each get the spans of both.
 
 Defined results: a null text counts as empty and has no spans; an empty table
-gives an empty result; repeated rows each get their own result row.
+gives an empty result; repeated rows each get their own result row.  ``redact``
+of a text takes time with the square of its number of spans.
 """
 
 from __future__ import annotations
