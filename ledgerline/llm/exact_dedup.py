@@ -17,7 +17,8 @@ rest on chance.  Levels work on triples of integers that halve each time.
 Defined results: null and empty text are equal; rows repeated with the same
 doc_id form a group like any other and the first stored row stays; a null
 doc_id sorts after all others; an empty table gives an empty result; other
-columns are carried along by ``keep_first`` and ignored by ``group_equal``.
+columns are carried along by ``keep_first`` and ignored by ``group_equal``.  A
+very long text costs time and memory in proportion to its length.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import SPACE_RUN, stored, with_row_ids
+from ledgerline.llm.common import SPACE_RUN, bound, stored, with_row_ids
 
 BLOCK_BYTES = 4096
 
@@ -37,9 +38,11 @@ def normalised(text: Column) -> Column:
 
 
 def _blocks(text: Column, width: int) -> Column:
-    raw = text.cast("binary")
-    last = F.greatest(F.ceil(F.length(raw) / F.lit(width)).cast("int"), F.lit(1)) - 1
-    return F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(raw, i * width + 1, F.lit(width)))
+    def cut(raw: Column) -> Column:
+        last = F.greatest(F.ceil(F.length(raw) / F.lit(width)).cast("int"), F.lit(1)) - 1
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(raw, i * width + 1, F.lit(width)))
+
+    return bound(text.cast("binary"), cut)  # a cast inside the lambda would copy the text for every block
 
 
 def _fingerprint(block: Column, seed: int, bits: int) -> Column:

@@ -242,7 +242,8 @@ def link_rows(rows: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
     roots = components(links(fps, max_bits, block))
     placed = fps.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
-    heads = placed.groupBy("root").agg(F.min("first").alias("head"))
+    # stored, so that the join's inputs are plain shuffles and a large component can be split
+    heads = stored(placed.groupBy("root").agg(F.min("first").alias("head")), "heads")
     named = stored(placed.select("fp", "root").join(heads, "root").select(
         "fp", F.col("head.rid").alias("keep_rid"), F.col("head.doc_id").alias("component_id")), "components")
     return marked.join(named, "fp").select("rid", "doc_id", "fp", "keep_rid", "component_id")
