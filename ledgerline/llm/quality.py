@@ -140,6 +140,6 @@ def assess(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, all columns as they are.  The texts
-    are scanned twice instead of being stored or shuffled."""
-    seen = votes(traits(docs, text))
+    are scanned once; the rows are stored beside their votes, not shuffled."""
+    seen = stored(votes(traits(docs, text)), "voted", "zstd")
     return judged(seen, fit(seen)).filter("kept").select("row.*")
