@@ -141,6 +141,59 @@ def zorder(spark: SparkSession, path: str, out: str, cols: Sequence[str],
     return n
 
 
+def cell_files(cells: DataFrame, n_files: int) -> DataFrame:
+    """Rows (_z, _n) of cells and their row counts -> _z, _first, _files: which
+    of ``n_files`` equal shares of the rows, in key order, a cell goes to.
+
+    A cell goes whole to the share that holds its middle row; one that is
+    larger than a share is dealt over all the shares it covers.  The window
+    runs over the cells, a row each, never over data rows."""
+    order = Window.orderBy("_z")
+    upto, total = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.sum("_n").over(
+        order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    placed = cells.select("_z", "_n", (upto - F.col("_n")).alias("_before"), total.alias("_total"))
+
+    def share(twice: Column) -> Column:  # of a row's place, which is given doubled, in whole numbers
+        scaled = twice * n_files
+        return ((scaled - F.pmod(scaled, 2 * F.col("_total"))) / (2 * F.col("_total"))).cast("int")
+
+    first, last, middle = (share(x) for x in (2 * F.col("_before"), 2 * (F.col("_before") + F.col("_n") - 1),
+                                              2 * F.col("_before") + F.col("_n") - 1))
+    large = F.col("_n") * n_files > F.col("_total")
+    return placed.select("_z", F.when(large, first).otherwise(middle).alias("_first"),
+                         F.when(large, last - first + 1).otherwise(1).alias("_files"))
+
+
+def zorder_cells(spark: SparkSession, path: str, out: str, cols: Sequence[str],
+                 target_bytes: int = DEFAULT_TARGET_BYTES, n_files: int | None = None) -> int:
+    """``zorder`` without sampling: files are cut at whole cells of the Morton
+    grid, found by counting the cells, so the same rows give the same files on
+    any cluster, and what a window reads can be said beforehand.  Costs one
+    narrow pass over the columns more than the sampled form."""
+    n = n_files or _file_count(spark, path, target_bytes)
+    df = spark.read.parquet(path)
+    keyed = df.withColumns({"_z": zorder_key(df, list(cols)), "_tb": _row_hash(df)})
+    files = cell_files(keyed.groupBy("_z").agg(F.count(F.lit(1)).alias("_n")), n)
+    number = F.col("_first") + F.pmod(F.col("_tb"), F.col("_files")).cast("int")
+    (keyed.join(files, "_z").withColumn("_file", number).repartitionById(n, "_file").sortWithinPartitions("_z")
+     .select(*df.columns).write.mode("overwrite").parquet(out))
+    return n
+
+
+def benchmark(spark: SparkSession, path: str, col: str, lo, hi) -> DataFrame:
+    """One row: what a window on ``col`` costs in this layout, by the files'
+    own footers, and what it returns."""
+    files = footers(spark, path, [col])
+    hit = F.coalesce(_overlap(col, lo, hi), F.lit(False))
+    cost = files.agg(
+        F.count(F.lit(1)).alias("files_total"), F.count_if(hit).alias("files_read"), F.count_if(~hit).alias("files_pruned"),
+        F.coalesce(F.sum("num_rows"), F.lit(0)).alias("rows_total"),
+        F.coalesce(F.sum(F.when(hit, F.col("num_rows"))), F.lit(0)).alias("rows_read"),
+        F.coalesce(F.sum(F.when(hit, F.col("file_size"))), F.lit(0)).alias("bytes_read")).first()
+    found = spark.read.parquet(path).filter(F.col(col).between(F.lit(lo), F.lit(hi))).agg(F.count(F.lit(1)).alias("window_rows"))
+    return found.select(*[F.lit(cost[c]).alias(c) for c in cost.asDict()], "window_rows")
+
+
 def manifest(spark: SparkSession, path: str, cols: Sequence[str]) -> DataFrame:
     """Per-file rows, bytes and min/max of ``cols`` (one aggregate)."""
     df = spark.read.parquet(path)

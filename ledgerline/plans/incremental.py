@@ -5,8 +5,11 @@ Here only batches not yet processed are staged, and:
 
 * their eligible rows are merged into ``silver.transactions`` with the same
   latest-wins order (``operators.upsert.merge_latest``).  Silver is
-  partitioned by event date, which the key fixes (the key embeds the step),
-  so only the dates the new rows touch are rewritten.  The winner per key
+  partitioned by event time, which the key fixes (the key embeds the step),
+  so only the folders the new rows touch are rewritten.  A folder holds a
+  day, a month or a year: the finest unit whose folders are worth a file
+  (``unit_for``), by the measured rows of a day.  A table that outgrows its
+  unit is laid out anew, which happens twice at most.  The winner per key
   is the maximum over the old winner and the new rows, which equals the
   maximum over all rows, so the table equals a full rebuild.
 * their quarantined rows replace exactly their ``_source_file`` partitions of
@@ -36,7 +39,10 @@ from ledgerline.session import parquet_exists, read_partitioned, scratch_path
 from ledgerline.sources import bronze as bronze_table
 from ledgerline.sources.raw import SOURCE_FILE_COL, now_utc
 
-EVENT_DATE = "_event_date"
+# Rewrite units of silver: partition column and about how many days it covers.
+UNITS = {"day": ("_event_date", 1), "month": ("_event_month", 30), "year": ("_event_year", 365)}
+# Rows below which a folder isn't worth its own files (some 25 MB).
+FOLDER_ROWS = 250_000
 STATS_COLUMNS = ("bronze_rows", "bronze_amount", "eligible_rows", "eligible_amount",
                  "quarantine_rows", "quarantine_amount")
 
@@ -65,13 +71,41 @@ def new_batches(spark: SparkSession, bronze_path: str, root: str) -> DataFrame:
     return landed
 
 
+def unit_for(rows_per_day: float) -> str:
+    """The finest unit of which a folder has ``FOLDER_ROWS``; else a year."""
+    return next((u for u, (_, days) in UNITS.items() if rows_per_day * days >= FOLDER_ROWS), "year")
+
+
+def _rows_per_day(rows: DataFrame) -> float:
+    """The size of the day in which the average row lies."""
+    days = rows.groupBy(F.to_date("event_ts")).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    return days.agg(F.try_divide(F.sum(F.col("n") * F.col("n")), F.sum("n"))).first()[0] or 0.0
+
+
+def table_unit(spark: SparkSession, path: str) -> str | None:
+    """The unit of a stored table, which the name of its partition column says."""
+    columns = spark.read.parquet(path).columns if parquet_exists(spark, path) else []
+    return next((u for u, (column, _) in UNITS.items() if column in columns), None)
+
+
+def outgrown(spark: SparkSession, path: str, unit: str) -> bool:
+    """Whether the table's days now ask for a finer unit.  Only tables of
+    coarse units, small ones, are looked at: one narrow pass over a column."""
+    if unit == "day":
+        return False
+    return list(UNITS).index(unit_for(_rows_per_day(spark.read.parquet(path)))) < list(UNITS).index(unit)
+
+
 def update_silver(spark: SparkSession, bronze_path: str, root: str, buckets: int | None = None) -> int:
     """Process the new batches; returns how many there were.  ``buckets``
-    (new silver tables only) adds key buckets under the event-date folders,
-    so a merge rewrites (date, bucket) folders instead of whole days."""
+    (new silver tables only) adds key buckets under the event folders, so a
+    merge rewrites (unit, bucket) folders; left out, their number follows from
+    the rows of a folder."""
     p = paths(root)
-    # a full run leaves a table without day folders: start over from all batches
-    anew = parquet_exists(spark, p["transactions"]) and EVENT_DATE not in spark.read.parquet(p["transactions"]).columns
+    # a full run leaves a table without event folders, and a table can outgrow
+    # its unit: start over from all batches
+    exists, unit = parquet_exists(spark, p["transactions"]), table_unit(spark, p["transactions"])
+    anew = exists and (unit is None or outgrown(spark, p["transactions"], unit))
     if anew:
         spark.createDataFrame([], BATCHES_SCHEMA).write.mode("overwrite").parquet(p["batches"])
     # batch names, not rows: one entry per landed batch (metadata-sized)
@@ -104,8 +138,11 @@ def update_silver(spark: SparkSession, bronze_path: str, root: str, buckets: int
          .partitionBy(SOURCE_FILE_COL).parquet(p["stats"]))
 
     def merge():
-        eligible = silver.clean_eligible(staged).withColumn(EVENT_DATE, F.to_date("event_ts"))
-        merge_latest(spark, p["transactions"], eligible, "transaction_id", EVENT_DATE, silver.DEDUP_ORDER,
+        eligible = silver.clean_eligible(staged)
+        chosen = unit_for(_rows_per_day(eligible)) if anew or not exists else unit
+        column, _ = UNITS[chosen]
+        eligible = eligible.withColumn(column, F.trunc("event_ts", chosen) if chosen != "day" else F.to_date("event_ts"))
+        merge_latest(spark, p["transactions"], eligible, "transaction_id", column, silver.DEDUP_ORDER,
                      stage_updates=False,  # eligible reads the staged batch already written above
                      buckets=buckets, replace=anew)
 

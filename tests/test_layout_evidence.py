@@ -102,3 +102,47 @@ def test_many_kept_files_are_joined_not_listed(spark, layouts, monkeypatch):
     monkeypatch.setattr(layout, "LISTED_FILES", 1)
     assert sorted(map(str, layout.opened(spark, layouts.zordered, man, "date_key", lo, hi).collect())) == want
     assert 0 < len(want) < spark.read.parquet(layouts.zordered).count()
+
+
+def test_cells_go_to_equal_shares(spark):
+    import random
+    rng = random.Random(4)
+    for n_files in (1, 3, 8):
+        counts = [rng.choice([1, 2, 5, 40]) for _ in range(30)] + [900]  # the last is larger than a share
+        rng.shuffle(counts)
+        cells = spark.createDataFrame(list(enumerate(counts)), "_z long, _n long")
+        got = {r["_z"]: (r["_first"], r["_files"]) for r in layout.cell_files(cells, n_files).collect()}
+        total, before = sum(counts), 0
+        for z, n in enumerate(counts):
+            if n * n_files > total:
+                want = (before * n_files // total, (before + n - 1) * n_files // total - before * n_files // total + 1)
+            else:
+                want = ((2 * before + n - 1) * n_files // (2 * total), 1)
+            assert got[z] == want
+            before += n
+
+
+def test_whole_cells_keep_rows_order_and_hot_cells_apart(spark, tmp):
+    src, out = os.path.join(tmp, "src"), os.path.join(tmp, "out")
+    hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50)  # a third of the rows in one cell
+    rows = spark.range(3000).select(hot.alias("a"), (F.col("id") % 2).alias("b"), "id").filter("a <> 7 OR b = 1 OR id % 3 > 0")
+    rows.repartition(5).write.parquet(src)
+    n = layout.zorder_cells(spark, src, out, ["a", "b"], n_files=6)
+    files = footers(spark, out, ["a"])
+    assert n == 6 and files.count() == 6
+    assert sorted(map(tuple, spark.read.parquet(out).collect())) == sorted(map(tuple, spark.read.parquet(src).collect()))
+    mean = spark.read.parquet(src).count() / 6
+    assert files.agg(F.max("num_rows")).first()[0] < 2 * mean
+    again = os.path.join(tmp, "again")
+    layout.zorder_cells(spark, src, again, ["a", "b"], n_files=6)
+    boxes = [sorted((r["num_rows"], r["min_a"], r["max_a"]) for r in footers(spark, p, ["a"]).collect()) for p in (out, again)]
+    assert boxes[0] == boxes[1]
+
+
+def test_whole_cells_are_in_key_order_when_no_cell_is_split(spark, layouts, tmp):
+    out = os.path.join(tmp, "cells")
+    layout.zorder_cells(spark, layouts.fragmented, out, catalog.CLUSTER_BY, n_files=8)
+    assert flags(catalog.zorder_report(spark, out), "files_in_order", "boxes_hold") == {(True, True)}
+    cost = layout.benchmark(spark, out, "date_key", *catalog.VOLUME_WINDOW).first()
+    assert cost["files_read"] + cost["files_pruned"] == cost["files_total"] == 8 and cost["files_pruned"] > 0
+    assert cost["window_rows"] <= cost["rows_read"] < cost["rows_total"]

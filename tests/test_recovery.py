@@ -152,3 +152,27 @@ def test_incremental_silver_out_of_order_batches(spark, tmp):
     want = sorted(tuple(r) for r in chain_from(bronze_table.bronze_view(spark, bpath)).clean.collect())
     got = sorted(tuple(r) for r in incremental.read_silver(spark, root).collect())
     assert got == want and len(got) == 821
+
+
+def test_silver_folders_follow_the_rows_of_a_day(spark, tmp, monkeypatch):
+    """A small table has a folder a year; when its days grow it is laid out
+    anew by month, then by day, and always equals a full rebuild."""
+    from ledgerline.catalog import chain_from
+    from ledgerline.plans import incremental
+
+    assert [incremental.unit_for(n) for n in (1, 600, 700, 8000, 9000, 249_999, 250_000)] == [
+        "year", "year", "year", "year", "month", "month", "day"]
+    bpath, root = os.path.join(tmp, "bronze"), os.path.join(tmp, "lake")
+    table = incremental.paths(root)["transactions"]
+    full = fixture.batch(spark, SF001, 0, stamped=False)
+    # 821 rows over some months: the limits are those of a table that has grown
+    for i, (rows_a_folder, unit) in enumerate(((10**6, "year"), (100, "month"), (2, "day"), (10**6, "day"))):
+        monkeypatch.setattr(incremental, "FOLDER_ROWS", rows_a_folder)
+        part = full.filter(F.pmod(F.crc32(F.concat_ws("|", "nameOrig", "step").cast("binary")), F.lit(4)) == i)
+        bronze_table.ingest_batch(spark, bpath, f"part-{i}", part, f"2024-02-0{i + 1} 00:00:00")
+        incremental.update_silver(spark, bpath, root)
+        assert incremental.table_unit(spark, table) == unit
+        want = sorted(tuple(r) for r in chain_from(bronze_table.bronze_view(spark, bpath)).clean.collect())
+        assert sorted(tuple(r) for r in incremental.read_silver(spark, root).collect()) == want
+        audit = incremental.audit(spark, root).first()
+        assert audit["rows_tie"] and audit["amount_tie"] and audit["clean_rows"] == len(want)
