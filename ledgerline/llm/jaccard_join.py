@@ -18,10 +18,11 @@ Lists are worked off in two steps, so that a large family of near copies costs
 no pair of each two of its members.  First each group meets the next ``NEXT``
 ones of each list, which is every pair of the short lists, and the list's first
 two: those with the fewest rare shingles before the meeting point, the middle
-of a family.  The members of a group meet likewise.  Verified links give
-components.  Then the lists and groups that hold several components, and only
-those, give all pairs of members of different components, in blocks of bounded
-size.  Pairs inside a component need no look: they are connected already.  So
+of a family.  A group is there for one of its members; the members of a group
+meet likewise.  Verified links give components.  Then the lists that are longer
+or have a group of several members, and the groups, as far as they hold several
+components, give all pairs of members of different components, in blocks of
+bounded size.  Pairs inside a component need no look: they are connected already.  So
 components are exact.
 
 The order is a matter of speed alone: any function of a shingle's hash gives the
@@ -30,7 +31,7 @@ counted over all shingles of all classes (16 bytes a distinct value are held by
 the task that sums a shuffle partition); if they are more than ``MOST_FREQUENT`` (8 bytes each, the bound of what is broadcast), the limit
 doubles until they fit.
 
-Shingles are told apart by 64 bits and texts by 128; lists by 48 bits, where
+Shingles are told apart by 64 bits, texts by 128 and groups by 63; lists by 48 bits, where
 equal bits of different shingles give a candidate more, never a link more.
 
 Defined results: null, empty and blank texts have no shingle and are linked with
@@ -227,7 +228,7 @@ def _posted(classes: DataFrame, shingle: int, percent: int, common: np.ndarray,
                 late = often[np.minimum(np.searchsorted(often, some), len(often) - 1)] == some
             light, heavy = own[~late], own[late]
             prefix = np.concatenate([light, heavy])[:n - -(-percent * n // 100) + 1]
-            g = xxhash.xxh3_64_intdigest(prefix.tobytes(), n) >> (64 - _KEY_BITS)
+            g = xxhash.xxh3_64_intdigest(prefix.tobytes(), n) >> 1
             posts.append(((prefix >> drop).astype(np.int64), np.full(len(prefix), g, np.int64), (np.arange(len(prefix)) << 32) + n))
             bits = max(64, 1 << (n - 1).bit_length())
             rows.append((~g, cid, n, len(light), _parity(heavy, bits).tobytes() + _parity(light, bits).tobytes()))
@@ -254,13 +255,14 @@ _MET = "a long, b long, token long, g long, at long, light long, maps binary"
 def _neighbours(postings: DataFrame, percent: int) -> DataFrame:
     """Over lists sorted by position: candidates (a, b) of each member with
     the next ones and with the list's first two, each with ``token`` 0 for
-    groups and -1 for classes; the postings of lists that this doesn't cover;
-    and all class rows."""
+    groups and -1 for classes; the postings of lists that this doesn't cover
+    (long ones, and those of two groups or more where one has several members,
+    as only one of them was met); and all class rows."""
     lists = postings.repartition("token").sortWithinPartitions("token", "at", "g")
     reach, names = NEXT + 1, ("token", "g", "at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, before = [np.zeros(0, np.int64)] * 3, 0  # the first ``before`` rows were handed on, but are context
+        held, many, before = [np.zeros(0, np.int64)] * 3, np.zeros(0, bool), 0  # the first ``before`` rows were handed on, but are context
         heads = None  # of the list that the held rows begin in: token, and (g, at) of its first two
         for batch in chain(batches, [None]):
             if batch is not None:
@@ -270,12 +272,14 @@ def _neighbours(postings: DataFrame, percent: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([none, none, *(classes[c] for c in (*names, "light", "maps"))],
                                                      ["a", "b", *names, "light", "maps"])
                 new = [batch[c].to_numpy(zero_copy_only=False) for c in names]
-                # classes of one group post the same rows
+                # classes of one group post the same rows: one is kept, and whether there are many
                 joined = [np.concatenate([h[-1:], x]) for h, x in zip(held, new)]
-                other = np.any([x[1:] != x[:-1] for x in joined], axis=0)
-                if not len(held[0]):
-                    other = np.append(True, other)[:len(new[0])]
-                held = [np.concatenate([h, x[other]]) for h, x in zip(held, new)]
+                other = np.append(True, np.any([x[1:] != x[:-1] for x in joined], axis=0))[:len(joined[0])]
+                again = np.append(~other[1:], False)[other]
+                if len(many):
+                    again[0] |= many[-1]
+                held = [np.concatenate([h[:-1], x[other]]) for h, x in zip(held, joined)]
+                many = np.concatenate([many[:-1], again])
                 if len(held[0]) < _CHUNK:
                     continue
             token, g, at = held
@@ -311,6 +315,9 @@ def _neighbours(postings: DataFrame, percent: int) -> DataFrame:
             wide, long_list = np.flatnonzero(token[:-reach] == token[reach:]), np.zeros(len(token), bool)
             for step in range(reach + 1):
                 long_list[wide + step] = True
+            for step in range(1, reach):  # a short list has no places further apart
+                i = np.flatnonzero((token[:-step] == token[step:]) & (many[:-step] | many[step:]))
+                long_list[i] = long_list[i + step] = True
             own = before + np.flatnonzero(long_list[before:end] & (token[before:end] >= 0))
             pairs = np.unique(np.stack([np.concatenate(x) for x in (kind, left, right)]), axis=1)
             blank, absent = pa.nulls(len(own), pa.int64()), pa.nulls(pairs.shape[1], pa.int64())
@@ -325,7 +332,7 @@ def _neighbours(postings: DataFrame, percent: int) -> DataFrame:
             run_of = of[keep]
             heads = (token[keep], [(int(hubs[k][0][run_of]), int(hubs[k][1][run_of])) for k in range(2)]) if keep > starts[run_of] or (
                 heads is not None and run_of == 0 and heads[0] == token[0]) else None
-            held, before = [h[keep:] for h in held], end - keep
+            held, many, before = [h[keep:] for h in held], many[keep:], end - keep
 
     return stored(map_arrow(lists, run, _MET), "neighbours")
 

@@ -73,6 +73,23 @@ def test_no_link_is_lost(spark, options):
     assert got == plain_groups(rows, options.get("percent", 80))
 
 
+def families(n=40):
+    """Of sets of single words: two that agree in their prefix and size alone,
+    and a third that links with one of them by another prefix."""
+    rows = []
+    for f in range(n):
+        words = sorted((f"f{f}w{i}" for i in range(60)), key=lambda w: int(jaccard_join.shingle_set(w.encode(), 1)[0]))
+        first, second, third = words[:5] + words[10:25], words[:5] + words[30:45], words[1:6] + words[30:45]
+        rows += [(3 * f + i, " ".join(own)) for i, own in enumerate((first, second, third))]
+    return rows
+
+
+def test_members_of_a_group_in_a_short_list(spark):
+    rows = families()
+    got = sorted(tuple(r) for r in jaccard_join.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), 1).collect())
+    assert got == [(d, 20, d - 1 if d % 3 == 2 else d) for d, _ in rows]
+
+
 def test_empty_table_and_clashing_columns(spark):
     assert jaccard_join.near_groups(cases.docs(spark, [])).count() == 0
     df = cases.docs(spark, extra=True).withColumnRenamed("lang", "raw").withColumnRenamed("source", "n")
