@@ -7,7 +7,7 @@ with ordinary DataFrame operators:
 * ``fragment``: every file holds a hash shard of the key, so every file spans
   every date (the worst case for a date-range scan).
 * ``compact``: ``n = ceil(bytes / target)`` files, range-partitioned on the
-  clustering columns and sorted inside each file.
+  clustering columns, where there are any, and sorted inside each file.
 * ``zorder``: the same, on an interleaved (Morton) key, so each file's
   min/max box is small in *every* clustering column.
 * ``write_manifest``: one distributed aggregate of per-file row counts and
@@ -28,16 +28,24 @@ Evidence, each computed from the files apart from the operator that it judges:
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, StructField, StructType
 
-from ledgerline.functions.zorder import zorder_key
+from ledgerline.functions.zorder import CELL_BITS, zorder_key
 from ledgerline.operators.footers import footers
 
 DEFAULT_TARGET_BYTES = 128 * 1024 * 1024
 LISTED_FILES = 10_000
+# A row of the shuffle of a rewrite holds at most so many rows of one cell, taken
+# from as many as a task holds at once.
+CHUNK_ROWS = 4096
+HELD_ROWS = 1 << 19
+HELD_BYTES = 128 * 1024 * 1024
 
 
 def crc32_shard(key: str, n: int) -> Column:
@@ -60,6 +68,71 @@ def _row_hash(df: DataFrame):
     return F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
 
 
+def _chunked(rows: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[Column]]:
+    """Rows of arrays, each with rows of one task that agree in the whole
+    numbers ``by``, and how the other columns are had from their elements (x).
+    Texts that are lower-case hexadecimal, as hashes are, go as bytes."""
+    by = list(by)
+    fields = [f for f in rows.schema.fields if f.name not in by]
+    sent, back = [], []  # columns that are shuffled, and how each is had again
+    for f in fields:
+        c, at = F.col(f"`{f.name}`"), len(sent)
+        if f.dataType.simpleString() != "string":
+            sent.append((c, f.dataType))
+            back.append(F.col(f"x.c{at}").alias(f.name))
+            continue
+        same = F.lower(F.hex(F.unhex(c))) == c
+        sent += [(F.when(same, F.unhex(c)), BinaryType()), (F.when(same, F.lit(None)).otherwise(c), f.dataType)]
+        back.append(F.coalesce(F.lower(F.hex(f"x.c{at}")), F.col(f"x.c{at + 1}")).alias(f.name))
+    names = [f"c{i}" for i in range(len(sent))]
+    slim = rows.select(*by, *[c.alias(name) for name, (c, _) in zip(names, sent)])
+    schema = StructType([slim.schema[c] for c in by] + [StructField(name, ArrayType(kind)) for name, (_, kind) in zip(names, sent)])
+    longest, most_rows, most_bytes = CHUNK_ROWS, HELD_ROWS, HELD_BYTES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def chunks(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            table = pa.Table.from_batches(parts).sort_by([(c, "ascending") for c in by])
+            keys = [table[c].to_numpy() for c in by]
+            starts = np.flatnonzero(np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0)))
+            place = np.arange(len(table)) - np.repeat(starts, np.diff(np.append(starts, len(table))))
+            starts = np.flatnonzero(place % longest == 0)
+            offsets = pa.array(np.append(starts, len(table)), pa.int32())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(k[starts]) for k in keys]
+                + [pa.ListArray.from_arrays(offsets, pa.concat_arrays(table[c].chunks)) for c in names], by + names)
+
+        held, count, size = [], 0, 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                count, size = count + batch.num_rows, size + batch.nbytes
+            if count >= most_rows or size >= most_bytes:
+                yield chunks(held)
+                held, count, size = [], 0, 0
+        if held:
+            yield chunks(held)
+
+    return slim.mapInArrow(run, schema), back
+
+
+def _write_numbered(rows: DataFrame, n: int, out: str, order: str | None = None) -> None:
+    """Write ``rows`` (and their number below ``n``, ``_file``) as one file a
+    number, each sorted by the whole number ``order`` (left out in the file).
+
+    One task writes a file, so it reads all its rows, however large the table
+    is.  What it reads and sorts is therefore kept close to the values: rows
+    of one file and one ``order`` move as rows of arrays, which are opened
+    after the sort.  Cells of few rows gain less."""
+    by = ["_file"] + ([order] if order else [])
+    chunks, back = _chunked(rows, by)
+    moved = chunks.repartitionById(n, "_file")
+    if order:
+        moved = moved.sortWithinPartitions(order)
+    lists = [c for c in chunks.columns if c not in by]
+    (moved.select(F.explode(F.arrays_zip(*lists)).alias("x")).select(*back)
+     .write.mode("overwrite").parquet(out))
+
+
 def detail(spark: SparkSession, path: str) -> DataFrame:
     """``num_files``, ``size_bytes``, ``num_rows`` of a Parquet table, from its
     files' footers: no data is read."""
@@ -101,7 +174,7 @@ def boxes_hold(spark: SparkSession, path: str, cols: Sequence[str]) -> DataFrame
     ``cols`` are those of the rows that it holds."""
     said, seen = footers(spark, path, cols), manifest(spark, path, cols)
     names = ["num_rows"] + [f"{end}_{c}" for c in cols for end in ("min", "max")]
-    tagged = [df.select(F.regexp_replace("file_path", "^file:/+", "/").alias("f"), *names) for df in (said, seen)]
+    tagged = [df.filter("num_rows > 0").select(F.regexp_replace("file_path", "^file:/+", "/").alias("f"), *names) for df in (said, seen)]
     odd = tagged[0].exceptAll(tagged[1]).unionByName(tagged[1].exceptAll(tagged[0]))
     return odd.agg((F.count(F.lit(1)) == 0).alias("holds"))
 
@@ -119,46 +192,66 @@ def compact(spark: SparkSession, path: str, out: str, target_bytes: int = DEFAUL
     if cluster_by:
         # row hash as last range key: a hot clustering value still spreads
         # over several files instead of landing in one task
-        df = (df.withColumn("_tb", _row_hash(df)).repartitionByRange(n, *cluster_by, "_tb")
-              .sortWithinPartitions(*cluster_by).drop("_tb"))
-    else:
-        df = df.repartition(n)
-    df.write.mode("overwrite").parquet(out)
+        (df.withColumn("_tb", _row_hash(df)).repartitionByRange(n, *cluster_by, "_tb")
+         .sortWithinPartitions(*cluster_by).drop("_tb").write.mode("overwrite").parquet(out))
+    else:  # dealt in turn, file by file
+        turn = F.xxhash64("_metadata.file_path") + F.col("_metadata.row_index")
+        _write_numbered(df.withColumn("_file", F.pmod(turn, F.lit(n)).cast("int")), n, out)
     return n
 
 
 def zorder(spark: SparkSession, path: str, out: str, cols: Sequence[str],
            target_bytes: int = DEFAULT_TARGET_BYTES, n_files: int | None = None) -> int:
-    """Compact and cluster on the Morton key of ``cols``; returns file count."""
+    """Compact and cluster on the Morton key of ``cols`` into files of equal
+    row counts; returns file count.
+
+    Rows sharing one Z value (a hot date x type cell) split over the files
+    that its places in key order fall to, each row by its hash; such a file's
+    box stays one Z value wide."""
     n = n_files or _file_count(spark, path, target_bytes)
     df = spark.read.parquet(path)
-    z = zorder_key(df, list(cols))
-    # (z, row hash) as range key: rows sharing one Z value (a hot date x type
-    # cell) split over several files; each file's box stays one Z value wide
-    (df.withColumns({"_z": z, "_tb": _row_hash(df)}).repartitionByRange(n, "_z", "_tb")
-     .sortWithinPartitions("_z").drop("_z", "_tb")
-     .write.mode("overwrite").parquet(out))
+    keyed = df.withColumns({"_z": zorder_key(df, list(cols)), "_tb": _row_hash(df)})
+    cells = _placed(keyed.groupBy("_z").agg(F.count(F.lit(1)).alias("_n")))
+    number = _share(2 * (F.col("_before") + F.pmod("_tb", "_n")), n)
+    _write_numbered(_beside_cells(keyed, cells, cols).withColumn("_file", number).select(*_columns(df), "_z", "_file"), n, out, "_z")
     return n
 
 
-def cell_files(cells: DataFrame, n_files: int) -> DataFrame:
-    """Rows (_z, _n) of cells and their row counts -> _z, _first, _files: which
-    of ``n_files`` equal shares of the rows, in key order, a cell goes to.
+def _columns(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
 
-    A cell goes whole to the share that holds its middle row; one that is
-    larger than a share is dealt over all the shares it covers.  The window
-    runs over the cells, a row each, never over data rows."""
+
+def _placed(cells: DataFrame) -> DataFrame:
+    """Cells (_z, _n) with the rows before each in key order and of all.  The
+    window runs over the cells, a row each, never over data rows."""
     order = Window.orderBy("_z")
     upto, total = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.sum("_n").over(
         order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    placed = cells.select("_z", "_n", (upto - F.col("_n")).alias("_before"), total.alias("_total"))
+    return cells.select("_z", "_n", (upto - F.col("_n")).alias("_before"), total.alias("_total"))
+
+
+def _share(twice: Column, n_files: int) -> Column:
+    """Which of ``n_files`` equal shares of the ``_total`` rows a row's place,
+    which is given doubled, lies in, in whole numbers."""
+    scaled = twice * n_files
+    return ((scaled - F.pmod(scaled, 2 * F.col("_total"))) / (2 * F.col("_total"))).cast("int")
+
+
+def _beside_cells(keyed: DataFrame, cells: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows with the columns of their cell.  Two columns have a million cells at
+    most, which are broadcast, so the rows aren't shuffled for it."""
+    return keyed.join(F.broadcast(cells) if len(cols) * CELL_BITS <= 20 else cells, "_z")
 
-    def share(twice: Column) -> Column:  # of a row's place, which is given doubled, in whole numbers
-        scaled = twice * n_files
-        return ((scaled - F.pmod(scaled, 2 * F.col("_total"))) / (2 * F.col("_total"))).cast("int")
 
-    first, last, middle = (share(x) for x in (2 * F.col("_before"), 2 * (F.col("_before") + F.col("_n") - 1),
-                                              2 * F.col("_before") + F.col("_n") - 1))
+def cell_files(cells: DataFrame, n_files: int) -> DataFrame:
+    """Rows (_z, _n) of cells and their row counts -> _z, _first, _files: which
+    of ``n_files`` equal shares of the rows, in key order, a cell goes to.
+
+    A cell goes whole to the share that holds its middle row; one that is
+    larger than a share is dealt over all the shares it covers."""
+    placed = _placed(cells)
+    first, last, middle = (_share(x, n_files) for x in (2 * F.col("_before"), 2 * (F.col("_before") + F.col("_n") - 1),
+                                                        2 * F.col("_before") + F.col("_n") - 1))
     large = F.col("_n") * n_files > F.col("_total")
     return placed.select("_z", F.when(large, first).otherwise(middle).alias("_first"),
                          F.when(large, last - first + 1).otherwise(1).alias("_files"))
@@ -166,17 +259,15 @@ def cell_files(cells: DataFrame, n_files: int) -> DataFrame:
 
 def zorder_cells(spark: SparkSession, path: str, out: str, cols: Sequence[str],
                  target_bytes: int = DEFAULT_TARGET_BYTES, n_files: int | None = None) -> int:
-    """``zorder`` without sampling: files are cut at whole cells of the Morton
-    grid, found by counting the cells, so the same rows give the same files on
-    any cluster, and what a window reads can be said beforehand.  Costs one
-    narrow pass over the columns more than the sampled form."""
+    """``zorder`` with files cut at whole cells of the Morton grid, so the same
+    rows give the same files on any cluster, and what a window reads can be said
+    beforehand."""
     n = n_files or _file_count(spark, path, target_bytes)
     df = spark.read.parquet(path)
     keyed = df.withColumns({"_z": zorder_key(df, list(cols)), "_tb": _row_hash(df)})
     files = cell_files(keyed.groupBy("_z").agg(F.count(F.lit(1)).alias("_n")), n)
     number = F.col("_first") + F.pmod(F.col("_tb"), F.col("_files")).cast("int")
-    (keyed.join(files, "_z").withColumn("_file", number).repartitionById(n, "_file").sortWithinPartitions("_z")
-     .select(*df.columns).write.mode("overwrite").parquet(out))
+    _write_numbered(_beside_cells(keyed, files, cols).withColumn("_file", number).select(*_columns(df), "_z", "_file"), n, out, "_z")
     return n
 
 

@@ -146,3 +146,25 @@ def test_whole_cells_are_in_key_order_when_no_cell_is_split(spark, layouts, tmp)
     cost = layout.benchmark(spark, out, "date_key", *catalog.VOLUME_WINDOW).first()
     assert cost["files_read"] + cost["files_pruned"] == cost["files_total"] == 8 and cost["files_pruned"] > 0
     assert cost["window_rows"] <= cost["rows_read"] < cost["rows_total"]
+
+
+def test_rewrites_shuffle_rows_of_arrays(spark, tmp):
+    """A task that writes a file reads all of it: hashes go as bytes, and the
+    rows of a cell together."""
+    ids = F.when(F.col("id") % 50 == 0, F.element_at(F.array(*[F.lit(x) for x in ("", "AB", "abc", "zz", "00")], F.lit(None)),
+                                                     (F.col("id") / 50 % 6 + 1).cast("int"))).otherwise(F.sha2(F.col("id").cast("string"), 256))
+    rows = spark.range(6000, numPartitions=2).select(
+        ids.alias("a.id"), (F.col("id") % 20).alias("k"), F.expr("CASE WHEN id % 7 > 0 THEN CAST(id % 7 AS DECIMAL(18,2)) END AS m"))
+    chunks, back = layout._chunked(rows.withColumn("_file", (F.col("k") % 3).cast("int")).withColumn("_z", F.col("k")), ["_file", "_z"])
+    assert chunks.count() == 2 * 20
+    bytes_of = F.aggregate("c0", F.lit(0), lambda n, x: n + F.coalesce(F.length(x), F.lit(0)))
+    assert chunks.agg(F.sum(bytes_of)).first()[0] == 32 * 5880 + 20  # and "00" of 20 rows
+    src, out = f"{tmp}/src", f"{tmp}/out"
+    rows.write.parquet(src)
+    want = sorted(map(str, rows.collect()))
+    layout.compact(spark, src, out, target_bytes=layout.detail(spark, src).first()["size_bytes"] // 4 + 1)
+    assert sorted(map(str, spark.read.parquet(out).collect())) == want
+    layout.zorder(spark, src, out, ["k", "m"], n_files=5)
+    assert sorted(map(str, spark.read.parquet(out).collect())) == want
+    sizes = [r[0] for r in footers(spark, out).select("num_rows").collect()]
+    assert len(sizes) == 5 and max(sizes) < 1.2 * min(sizes)
