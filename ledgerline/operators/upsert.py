@@ -122,8 +122,30 @@ def bucket_column(spark: SparkSession, path: str, requested: int | None) -> str
 
 def _clustered(df: DataFrame, parts: list[str]) -> DataFrame:
     """Rows of a folder together, so a task doesn't write a file into every
-    folder; adaptive execution splits a hot folder and joins small ones."""
-    return df.hint("rebalance", *parts)
+    folder; adaptive execution splits a hot folder and joins small ones.  Texts
+    that are lower-case hexadecimal, as keys that are hashes, move as bytes."""
+    sent, back = [], []
+    for i, f in enumerate(df.schema.fields):
+        c = F.col(f"`{f.name}`")
+        if f.name in parts or f.dataType.simpleString() != "string":
+            sent.append(c)
+            back.append(c)
+            continue
+        same = F.lower(F.hex(F.unhex(c))) == c
+        sent += [F.when(same, F.unhex(c)).alias(f"_bytes_{i}"), F.when(same, F.lit(None)).otherwise(c).alias(f"_text_{i}")]
+        back.append(F.coalesce(F.lower(F.hex(f"_bytes_{i}")), F.col(f"_text_{i}")).alias(f.name))
+    return df.select(*sent).hint("rebalance", *parts).select(*back)
+
+
+def repeated(updates: DataFrame, key: str) -> DataFrame:
+    """Key values that occur more than once, and their ``count``.  First hashes
+    are counted, a few bytes a row; only keys whose hash repeats are counted
+    themselves."""
+    hashed = updates.select(F.col(key), F.xxhash64(F.col(key)).alias("_hash"))
+    often = hashed.groupBy("_hash").count().filter(F.col("count") > 1).select("_hash")
+    if often.isEmpty():
+        return updates.select(F.col(key), F.lit(0).cast("long").alias("count")).limit(0)
+    return hashed.join(often, "_hash", "left_semi").groupBy(key).count().filter(F.col("count") > 1)
 
 
 def _rewrite(spark: SparkSession, path: str, updates: DataFrame, key: str, partition: str,
@@ -188,7 +210,7 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = "trans
     """
     updates = _staged(spark, updates, stage_updates)
     if check_unique:
-        dup = updates.groupBy(key).count().filter(F.col("count") > 1)
+        dup = repeated(updates, key)
         if not dup.isEmpty():
             raise ValueError(f"upsert batch has duplicate {key} values, e.g. {dup.first()}")
     return _rewrite(spark, path, updates, key, partition, buckets,

@@ -176,3 +176,20 @@ def test_silver_folders_follow_the_rows_of_a_day(spark, tmp, monkeypatch):
         assert sorted(tuple(r) for r in incremental.read_silver(spark, root).collect()) == want
         audit = incremental.audit(spark, root).first()
         assert audit["rows_tie"] and audit["amount_tie"] and audit["clean_rows"] == len(want)
+
+
+def test_keys_move_as_bytes_and_come_back(spark, tmp):
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators import upsert
+
+    rows = [("ab" * 32, "x", 1), ("AB" * 32, None, 1), ("abc", "", 2), (None, "00", 2), ("", "zz", 3), ("é", "0f", None)]
+    df = spark.createDataFrame(rows, "id string, note string, day int")
+    moved = upsert._clustered(df, ["day"])
+    assert moved.columns == df.columns and sorted(map(str, moved.collect())) == sorted(map(str, df.collect()))
+    assert "unhex" in moved._jdf.queryExecution().optimizedPlan().toString()
+    assert upsert.repeated(df, "id").isEmpty()
+    twice = upsert.repeated(df.unionByName(df.filter(F.col("id").isNull() | (F.col("id") == "abc"))), "id")
+    assert sorted(map(str, map(tuple, twice.collect()))) == ["('abc', 2)", "(None, 2)"]
+    upsert.upsert(spark, f"{tmp}/t", df, "id", "day")
+    assert sorted(map(str, spark.read.parquet(f"{tmp}/t").select(*df.columns).collect())) == sorted(map(str, df.collect()))
