@@ -32,6 +32,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, StructField, StructType
@@ -41,11 +42,12 @@ from ledgerline.operators.footers import footers
 
 DEFAULT_TARGET_BYTES = 128 * 1024 * 1024
 LISTED_FILES = 10_000
-# A row of the shuffle of a rewrite holds at most so many rows of one cell, taken
-# from as many as a task holds at once.
+# A row of the shuffle of a rewrite holds at most so many rows of one stretch, taken
+# from as many as a task holds at once.  A stretch is so many places in key order.
 CHUNK_ROWS = 4096
-HELD_ROWS = 1 << 19
+HELD_ROWS = 1 << 20
 HELD_BYTES = 128 * 1024 * 1024
+STRETCH_BITS = 18
 
 
 def crc32_shard(key: str, n: int) -> Column:
@@ -68,34 +70,66 @@ def _row_hash(df: DataFrame):
     return F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
 
 
-def _chunked(rows: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[Column]]:
-    """Rows of arrays, each with rows of one task that agree in the whole
-    numbers ``by``, and how the other columns are had from their elements (x).
-    Texts that are lower-case hexadecimal, as hashes are, go as bytes."""
-    by = list(by)
-    fields = [f for f in rows.schema.fields if f.name not in by]
-    sent, back = [], []  # columns that are shuffled, and how each is had again
-    for f in fields:
+def _slim(rows: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[Column]]:
+    """Columns ``by`` and, as c0, c1, ..., what is shuffled of the others; and
+    how these are had again (from x.c0, ...).  Texts that are lower-case
+    hexadecimal, as hashes are, go as bytes."""
+    sent, back = [], []
+    for f in rows.schema.fields:
+        if f.name in by:
+            continue
         c, at = F.col(f"`{f.name}`"), len(sent)
         if f.dataType.simpleString() != "string":
-            sent.append((c, f.dataType))
+            sent.append(c)
             back.append(F.col(f"x.c{at}").alias(f.name))
             continue
         same = F.lower(F.hex(F.unhex(c))) == c
-        sent += [(F.when(same, F.unhex(c)), BinaryType()), (F.when(same, F.lit(None)).otherwise(c), f.dataType)]
+        sent += [F.when(same, F.unhex(c)), F.when(same, F.lit(None)).otherwise(c)]
         back.append(F.coalesce(F.lower(F.hex(f"x.c{at}")), F.col(f"x.c{at + 1}")).alias(f.name))
-    names = [f"c{i}" for i in range(len(sent))]
-    slim = rows.select(*by, *[c.alias(name) for name, (c, _) in zip(names, sent)])
-    schema = StructType([slim.schema[c] for c in by] + [StructField(name, ArrayType(kind)) for name, (_, kind) in zip(names, sent)])
+    return rows.select(*by, *[c.alias(f"c{i}") for i, c in enumerate(sent)]), back
+
+
+def _even(column: pa.ChunkedArray) -> pa.ChunkedArray:
+    """Texts or bytes of one length without their offsets, which compress badly."""
+    kind = column.type
+    if not (pa.types.is_binary(kind) or pa.types.is_string(kind)) or column.null_count:
+        return column
+    shortest, longest = pc.min_max(pc.binary_length(column)).as_py().values()
+    return column.cast(pa.binary()).cast(pa.binary(longest)) if longest and shortest == longest else column
+
+
+def _chunked(rows: DataFrame, by: Sequence[str], packed: bool = False, then: str | None = None) -> tuple[DataFrame, list[Column]]:
+    """Rows of arrays, each with rows of one task that agree in the whole
+    numbers ``by``, and how the other columns are had from their elements (x).
+    ``packed`` has the arrays as one compressed Arrow stream, ``chunk``, which
+    ``_unpacked`` opens, sorted by ``then`` (c0, ...) in it."""
+    by = list(by)
+    slim, back = _slim(rows, by)
+    fields = slim.schema.fields[len(by):]
+    names = [f.name for f in fields]
+    lists = [StructField("chunk", BinaryType())] if packed else [StructField(f.name, ArrayType(f.dataType)) for f in fields]
+    schema = StructType(slim.schema.fields[:len(by)] + lists)
     longest, most_rows, most_bytes = CHUNK_ROWS, HELD_ROWS, HELD_BYTES
 
+    def stream(part: pa.Table) -> bytes:
+        part, sink = pa.table([_even(c) for c in part.columns], names), pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(part)
+        return sink.getvalue().to_pybytes()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def chunks(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-            table = pa.Table.from_batches(parts).sort_by([(c, "ascending") for c in by])
+            table = pa.Table.from_batches(parts).sort_by([(c, "ascending") for c in by + ([then] if then else [])])
             keys = [table[c].to_numpy() for c in by]
             starts = np.flatnonzero(np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0)))
             place = np.arange(len(table)) - np.repeat(starts, np.diff(np.append(starts, len(table))))
             starts = np.flatnonzero(place % longest == 0)
+            ends = np.append(starts[1:], len(table))
+            if packed:
+                whole = table.select(names).combine_chunks()
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(k[starts]) for k in keys]
+                    + [pa.array([stream(whole.slice(a, b - a)) for a, b in zip(starts.tolist(), ends.tolist())], pa.binary())], by + ["chunk"])
             offsets = pa.array(np.append(starts, len(table)), pa.int32())
             return pa.RecordBatch.from_arrays(
                 [pa.array(k[starts]) for k in keys]
@@ -115,21 +149,55 @@ def _chunked(rows: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[Column
     return slim.mapInArrow(run, schema), back
 
 
+def _unpacked(chunks: DataFrame, schema: StructType, sort: str | None = None) -> DataFrame:
+    """The rows in packed ``chunks``, as structs x.  With ``sort``, chunks of one
+    stretch (``_stretch``), which must follow each other, are opened together
+    and their rows sorted; a task holds one stretch at a time."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow, most = to_arrow_schema(schema), CHUNK_ROWS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(parts: list[pa.Table]) -> list[pa.RecordBatch]:
+            table = pa.concat_tables(parts)
+            return (table.sort_by(sort) if sort else table).combine_chunks().to_batches(max_chunksize=16 * most)
+
+        held, count, at = [], 0, None
+        for batch in batches:
+            stretches = batch["_stretch"].to_pylist() if sort else [None] * batch.num_rows
+            for stretch, chunk in zip(stretches, batch["chunk"]):
+                if held and (stretch != at if sort else count >= 16 * most):
+                    yield from rows(held)
+                    held, count = [], 0
+                # a copy of its own: what is held must not keep the whole batch
+                table = pa.ipc.open_stream(chunk.as_py()).read_all()
+                held.append(pa.table([c.cast(pa.binary()).cast(f.type) if pa.types.is_fixed_size_binary(c.type) else c.cast(f.type)
+                                      for c, f in zip(table.columns, arrow)], arrow))
+                count, at = count + held[-1].num_rows, stretch
+        if held:
+            yield from rows(held)
+
+    return chunks.select(*(["_stretch"] if sort else []), "chunk").mapInArrow(run, schema).select(F.struct("*").alias("x"))
+
+
 def _write_numbered(rows: DataFrame, n: int, out: str, order: str | None = None) -> None:
     """Write ``rows`` (and their number below ``n``, ``_file``) as one file a
-    number, each sorted by the whole number ``order`` (left out in the file).
+    number, each sorted by the column ``order`` (left out in the file), along
+    which ``_stretch`` never falls.
 
     One task writes a file, so it reads all its rows, however large the table
     is.  What it reads and sorts is therefore kept close to the values: rows
-    of one file and one ``order`` move as rows of arrays, which are opened
-    after the sort.  Cells of few rows gain less."""
-    by = ["_file"] + ([order] if order else [])
-    chunks, back = _chunked(rows, by)
+    of one file and stretch move as compressed Arrow streams.  They are sorted
+    by stretch as they are, and opened one stretch at a time."""
+    by = ["_file"] + (["_stretch"] if order else [])
+    if order:
+        rows = rows.select(order, *[F.col(f"`{c}`") for c in rows.columns if c != order])
+    chunks, back = _chunked(rows, by, packed=True, then="c0" if order else None)
     moved = chunks.repartitionById(n, "_file")
     if order:
-        moved = moved.sortWithinPartitions(order)
-    lists = [c for c in chunks.columns if c not in by]
-    (moved.select(F.explode(F.arrays_zip(*lists)).alias("x")).select(*back)
+        moved, back = moved.sortWithinPartitions("_stretch"), back[1:]
+    fields = StructType(_slim(rows, by)[0].schema.fields[len(by):])
+    (_unpacked(moved, fields, "c0" if order else None).select(*back)
      .write.mode("overwrite").parquet(out))
 
 
@@ -212,8 +280,8 @@ def zorder(spark: SparkSession, path: str, out: str, cols: Sequence[str],
     df = spark.read.parquet(path)
     keyed = df.withColumns({"_z": zorder_key(df, list(cols)), "_tb": _row_hash(df)})
     cells = _placed(keyed.groupBy("_z").agg(F.count(F.lit(1)).alias("_n")))
-    number = _share(2 * (F.col("_before") + F.pmod("_tb", "_n")), n)
-    _write_numbered(_beside_cells(keyed, cells, cols).withColumn("_file", number).select(*_columns(df), "_z", "_file"), n, out, "_z")
+    number = _share(2 * _spot(), n)
+    _write_numbered(_beside_cells(keyed, cells, cols).select(*_columns(df), "_z", number.alias("_file"), _stretch()), n, out, "_z")
     return n
 
 
@@ -221,6 +289,15 @@ def _columns(df: DataFrame) -> list[Column]:
     return [F.col(f"`{c}`") for c in df.columns]
 
 
+def _spot() -> Column:
+    """A row's place in key order, by its hash within its cell's."""
+    return F.col("_before") + F.pmod("_tb", "_n")
+
+
+def _stretch() -> Column:
+    return F.shiftright(_spot(), STRETCH_BITS).alias("_stretch")
+
+
 def _placed(cells: DataFrame) -> DataFrame:
     """Cells (_z, _n) with the rows before each in key order and of all.  The
     window runs over the cells, a row each, never over data rows."""
@@ -245,7 +322,8 @@ def _beside_cells(keyed: DataFrame, cells: DataFrame, cols: Sequence[str]) -> Da
 
 def cell_files(cells: DataFrame, n_files: int) -> DataFrame:
     """Rows (_z, _n) of cells and their row counts -> _z, _first, _files: which
-    of ``n_files`` equal shares of the rows, in key order, a cell goes to.
+    of ``n_files`` equal shares of the rows, in key order, a cell goes to; with
+    _n and _before, the rows before it.
 
     A cell goes whole to the share that holds its middle row; one that is
     larger than a share is dealt over all the shares it covers."""
@@ -254,7 +332,7 @@ def cell_files(cells: DataFrame, n_files: int) -> DataFrame:
                                                         2 * F.col("_before") + F.col("_n") - 1))
     large = F.col("_n") * n_files > F.col("_total")
     return placed.select("_z", F.when(large, first).otherwise(middle).alias("_first"),
-                         F.when(large, last - first + 1).otherwise(1).alias("_files"))
+                         F.when(large, last - first + 1).otherwise(1).alias("_files"), "_n", "_before")
 
 
 def zorder_cells(spark: SparkSession, path: str, out: str, cols: Sequence[str],
@@ -267,7 +345,7 @@ def zorder_cells(spark: SparkSession, path: str, out: str, cols: Sequence[str],
     keyed = df.withColumns({"_z": zorder_key(df, list(cols)), "_tb": _row_hash(df)})
     files = cell_files(keyed.groupBy("_z").agg(F.count(F.lit(1)).alias("_n")), n)
     number = F.col("_first") + F.pmod(F.col("_tb"), F.col("_files")).cast("int")
-    _write_numbered(_beside_cells(keyed, files, cols).withColumn("_file", number).select(*_columns(df), "_z", "_file"), n, out, "_z")
+    _write_numbered(_beside_cells(keyed, files, cols).select(*_columns(df), "_z", number.alias("_file"), _stretch()), n, out, "_z")
     return n
 
 

@@ -168,3 +168,37 @@ def test_rewrites_shuffle_rows_of_arrays(spark, tmp):
     assert sorted(map(str, spark.read.parquet(out).collect())) == want
     sizes = [r[0] for r in footers(spark, out).select("num_rows").collect()]
     assert len(sizes) == 5 and max(sizes) < 1.2 * min(sizes)
+
+
+def test_rewrites_shuffle_little_more_than_the_hashes(spark, tmp):
+    """What a file's task reads is near what can't be compressed, with many
+    cells too, and it opens a stretch of the sorted file at a time."""
+    rows = spark.range(40_000, numPartitions=1).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("id"), F.expr("date_add(DATE '1992-01-01', CAST(id * 7919 % 1000 AS INT))").alias("day"),
+        F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R")), (F.col("id") % 3 + 1).cast("int")).alias("kind"),
+        F.expr("CAST(id * 104729 % 9000000 / 100 AS DECIMAL(18,2))").alias("amount"), (F.col("id") % 11 == 0).alias("flag"))
+    chunks, back = layout._chunked(rows.select("*", F.lit(0).alias("_file")), ["_file"], packed=True)
+    assert chunks.agg(F.sum(F.length("chunk"))).first()[0] < 40 * 40_000
+    fields = layout._slim(rows, [])[0].schema
+    assert sorted(map(str, layout._unpacked(chunks, fields).select(*back).collect())) == sorted(map(str, rows.collect()))
+
+
+def test_files_are_sorted_over_stretches_and_hot_cells(spark, tmp, monkeypatch):
+    monkeypatch.setattr(layout, "STRETCH_BITS", 6)
+    monkeypatch.setattr(layout, "CHUNK_ROWS", 16)
+    monkeypatch.setattr(layout, "HELD_ROWS", 300)
+    spread = F.pmod(F.hash("id"), F.lit(400))
+    rows = spark.range(6000, numPartitions=3).select(  # a third of the rows in one cell, the others in many
+        "id", F.when(F.col("id") % 3 == 0, F.lit(200)).otherwise(spread).alias("a"), F.expr("IF(id % 3 = 0, 'x', CAST(id % 5 AS STRING))").alias("b"))
+    src = f"{tmp}/src"
+    rows.write.parquet(src)
+    want = sorted(map(tuple, rows.collect()))
+    for write in (layout.zorder, layout.zorder_cells):
+        out = f"{tmp}/{write.__name__}"
+        assert write(spark, src, out, ["a", "b"], n_files=3) == 3
+        back = spark.read.parquet(out)
+        assert sorted(map(tuple, back.collect())) == want and footers(spark, out).count() == 3
+        keyed = back.select("_metadata.file_path", "_metadata.row_index", layout.zorder_key(back, ["a", "b"]).alias("z"))
+        for f, in back.select("_metadata.file_path").distinct().collect():
+            zs = [r["z"] for r in keyed.filter(F.col("file_path") == f).orderBy("row_index").collect()]
+            assert zs == sorted(zs) and len(zs) > 1000
