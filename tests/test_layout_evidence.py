@@ -202,3 +202,52 @@ def test_files_are_sorted_over_stretches_and_hot_cells(spark, tmp, monkeypatch):
         for f, in back.select("_metadata.file_path").distinct().collect():
             zs = [r["z"] for r in keyed.filter(F.col("file_path") == f).orderBy("row_index").collect()]
             assert zs == sorted(zs) and len(zs) > 1000
+
+
+def test_keys_are_worked_out_for_values_not_for_rows(spark, tmp, monkeypatch):
+    path = os.path.join(tmp, "t")
+    rows = [(i, None if i % 7 == 0 else i % 5, (None, "A", "", "A ", "b")[i % 5] if i % 3 else "z", float("nan") if i % 11 == 0 else -0.0 if i % 2 else 0.0)
+            for i in range(400)]
+    spark.createDataFrame(rows + rows[:50], "i int, a int, b string, c double").repartition(3).write.parquet(path)
+    df, cols = spark.read.parquet(path), ["a", "b", "c"]
+    want = sorted(map(tuple, df.select("i", layout.zorder_key(df, cols)).collect()))
+    sizes = {}
+    for _, z in want:
+        sizes[z] = sizes.get(z, 0) + 1
+    for most in (layout.LISTED_VALUES, 1):
+        monkeypatch.setattr(layout, "LISTED_VALUES", most)
+        keyed = layout._beside_cells(df, cols, layout._placed)
+        got = keyed.select("i", "_z", "_n").collect()
+        assert sorted((r["i"], r["_z"]) for r in got) == want
+        assert all(r["_n"] == sizes[r["_z"]] for r in got)
+        plan = keyed._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        left = min(x.index(":") for x in plan if x.lstrip().startswith(":"))
+        of_rows = [x for x in plan if x[left:left + 1] == ":"]  # the join's left side
+        assert of_rows and any("aggregate(" in x for x in of_rows) == (most == 1)
+
+
+def test_hexadecimal_texts_go_as_bytes_and_come_back():
+    import random
+
+    import pyarrow as pa
+    rng = random.Random(6)
+    for k in range(150):
+        pool = ["ab" * rng.randrange(5), "f0" * 32, "09"] + ([] if k % 3 == 0 else [None, "", "AB", "abc", "zz", "00", "é", "0é"])
+        texts = pa.array([rng.choice(pool) for _ in range(rng.randrange(40))], pa.string())
+        texts = texts.slice(rng.randrange(len(texts) + 1), rng.randrange(len(texts) + 1))
+        known, others = layout._hex_bytes(texts)
+        known.validate(full=True), others.validate(full=True)
+        plain = texts.to_pylist()
+        same = [t is not None and len(t) % 2 == 0 and set(t) <= set("0123456789abcdef") for t in plain]
+        assert known.to_pylist() == [bytes.fromhex(t) if s else None for t, s in zip(plain, same)]
+        assert others.to_pylist() == [None if s else t for t, s in zip(plain, same)]
+        for a in (0, 1):
+            assert layout._texts(known.slice(a), others.slice(a)).to_pylist() == plain[a:]
+
+
+def test_numbers_sort_as_one_where_they_fit():
+    import numpy as np
+    rng = np.random.default_rng(8)
+    for low, high in ((0, 5), (-3, 4), (-2 ** 62, 2 ** 62)):
+        keys = [rng.integers(low, high, 500), rng.integers(0, 8, 500).astype(np.int32), rng.integers(low, high, 500)]
+        assert layout._sorted_places(keys).tolist() == np.lexsort(keys[::-1]).tolist()
